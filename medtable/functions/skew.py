@@ -89,34 +89,57 @@ def mode_per(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFr
     return counts.groupBy(*keys).agg(F.min_by(F.col(value), F.struct(-F.col("_n"), F.col(value))).alias(out))
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, cells: int = 4096) -> DataFrame:
-    """Exact median per key by narrowing, so that no task holds a key's values.
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float],
+                    weight: str | None = None, cells: int = 4096, few_groups: bool = False) -> DataFrame:
+    """Exact interpolated quantiles per key by narrowing, so that no task holds a key's values.
 
-    A histogram of ``cells`` equal-width cells finds the one or two cells with the middle ranks; only the
-    distinct values in those cells, with their counts, are ordered.
+    Values are first reduced to (key, value, count). A histogram of ``cells`` equal-width cells finds the
+    cells that hold the wanted ranks, and only those cells are put in order. ``few_groups`` states that
+    the keys are a fixed vocabulary, which makes the per-key tables safe to broadcast.
     """
     keys = list(keys)
-    vals = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    vals = vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    span = vals.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total"))
+    small = F.broadcast if few_groups else (lambda x: x)
+    vals = df.where(F.col(value).isNotNull()).select(
+        *keys, F.col(value).cast("double").alias("_v"), (F.col(weight) if weight else F.lit(1)).alias("_w"))
+    vals = vals.groupBy(*keys, "_v").agg(F.sum("_w").alias("_n"))
+    span = vals.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_t"))
     width = F.col("_hi") - F.col("_lo")
     cell = F.when(width > 0, F.floor((F.col("_v") - F.col("_lo")) / width * (cells - 1))).otherwise(F.lit(0))
-    vals = vals.join(span, keys).withColumn("_cell", cell.cast("int"))
-    hist = vals.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_c"), F.first("_total").alias("_t"))
+    on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    vals = vals.alias("a").join(small(span.alias("b")), on)
+    vals = vals.select(*[f"a.{k}" for k in keys], "_v", "_n", "_t", cell.cast("int").alias("_cell"))
+    hist = vals.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_c"), F.max("_t").alias("_t"))
     upto = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.withColumn("_before", F.coalesce(F.sum("_c").over(upto), F.lit(0)))
-    low, high = F.floor((F.col("_t") + 1) / 2), F.floor((F.col("_t") + 2) / 2)
-    wanted = hist.where((F.col("_before") < high) & (F.col("_before") + F.col("_c") >= low))
-    wanted = wanted.select(*keys, "_cell", "_before", low.alias("_r1"), high.alias("_r2"))
-    part = vals.select(*keys, "_cell", "_v", "_n").join(wanted, [*keys, "_cell"])
+
+    def ranks(q: float) -> list[Column]:
+        at = (F.col("_t") - 1) * F.lit(q)
+        return [F.floor(at) + 1, F.ceil(at) + 1]
+
+    def holds(rank: Column) -> Column:
+        return (F.col("_before") < rank) & (F.col("_before") + F.col("_c") >= rank)
+
+    need = F.lit(False)
+    for q in wanted.values():
+        for rank in ranks(q):
+            need = need | holds(rank)
+    hits = hist.where(need).select(*keys, "_cell", "_before")
+    on.append(F.col("a._cell") == F.col("b._cell"))
+    part = vals.alias("a").join(small(hits.alias("b")), on)
+    part = part.select(*[f"a.{k}" for k in keys], "a._cell", "_v", "_n", "_t", "_before")
     run = Window.partitionBy(*keys, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     part = part.withColumn("_last", F.col("_before") + F.sum("_n").over(run))
     part = part.withColumn("_first", F.col("_last") - F.col("_n") + 1)
 
-    def at(rank: str) -> Column:
-        return F.max(F.when(F.col(rank).between(F.col("_first"), F.col("_last")), F.col("_v")))
+    def at_rank(rank: Column) -> Column:
+        return F.max(F.when(rank.between(F.col("_first"), F.col("_last")), F.col("_v")))
 
-    return part.groupBy(*keys).agg(((at("_r1") + at("_r2")) / 2).alias(out))
+    picks = []
+    for name, q in wanted.items():
+        low, high = ranks(q)
+        share = F.max((F.col("_t") - 1) * F.lit(q) - F.floor((F.col("_t") - 1) * F.lit(q)))
+        picks.append((at_rank(low) + (at_rank(high) - at_rank(low)) * share).alias(name))
+    return part.groupBy(*keys).agg(*picks)
 
 
 def asof_last(refs: DataFrame, facts: DataFrame, key: str, ref_ts: str, fact_ts: str, fact_tie: str,

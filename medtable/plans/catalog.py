@@ -1,6 +1,6 @@
 """Imports every query module, which fills the registry."""
 
-from . import queries_gold  # noqa: F401
+from . import queries_aggregates, queries_gold  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

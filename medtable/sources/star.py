@@ -33,7 +33,7 @@ FLAT = {
     "patient": f"""
         SELECT c_custkey AS k, c_nationkey AS nk, CAST(c_custkey AS STRING) AS patient_id, c_name AS name_text,
           {_pick("c_custkey % 4", ["male", "female", "other", "unknown"])} AS gender,
-          DATE '1940-01-01' + CAST((c_custkey * 37) % 25000 AS INT) AS birth_date,
+          DATE '1940-01-01' + CAST((c_custkey * 37) % 22000 AS INT) AS birth_date,
           '555-010-' || lpad(CAST(c_custkey % 10000 AS STRING), 4, '0') AS phone,
           CASE WHEN c_custkey % 5 <> 0 THEN 'p' || CAST(c_custkey AS STRING) || '@example.org' END AS email,
           CAST(c_custkey AS STRING) || ' Main St' AS address_line, n_name AS address_city,
