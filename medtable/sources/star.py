@@ -97,6 +97,17 @@ FLAT = {
           {_pick("CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) % 3", ["bronze", "silver", "gold"])} AS pipeline_stage,
           value / 1000 AS value, user_id
         FROM {{events}}""",
+    "validation": f"""
+        SELECT event_id, CAST(event_id AS STRING) AS resource_id, ts,
+          {_pick("user_id % 4", ["Patient", "Observation", "Encounter", "Condition"])} AS resource_type,
+          CASE WHEN event_id % 2 = 0 THEN 'schema' ELSE 'profile' END AS validation_type,
+          {_pick("user_id % 3", ["bronze", "silver", "gold"])} AS pipeline_stage,
+          event_type <> 'error' AS is_valid, CAST(event_id % 4 AS INT) AS issue_count,
+          {_pick("event_id % 5", ["fatal", "error", "warning", "information", "odd"])} AS severity,
+          {_pick("user_id % 9", ["Property is missing", "Unknown target", "Does not conform to profile", "Invalid minimum",
+                                 "Constraint violated", "Code not in binding", "No permission", "Conflict between fields",
+                                 "Something else"])} || CASE WHEN event_id % 2 = 0 THEN '' ELSE ' (' || event_type || ')' END AS message
+        FROM {{events}}""",
     "note": f"""
         SELECT doc_id, CAST(doc_id AS STRING) AS patient_id, text,
           {_pick("doc_id % 4", ["Progress note", "Discharge summary", "Imaging report", "Consent form"])} AS type_display,
