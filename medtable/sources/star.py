@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import types
 from ..functions.codes import LOINC, RACE_URL, TIER_SYSTEM, US_CORE, VITALS
@@ -278,9 +279,9 @@ def raw(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Nested frame of one record type, read back from raw JSON with the declared schema."""
-    parsed = raw(spark, sf_dir, kind).select(F.from_json("json_data", types.SCHEMAS[kind]).alias("r"))
-    return parsed.select("r.*")
+    """Nested frame of one record type in its declared schema; fields the star has no value for are null."""
+    base = flat(spark, sf_dir, FLAT_OF[kind], with_patient=True)
+    return base.selectExpr(*RECORDS[kind]).to(T.StructType.fromDDL(types.SCHEMAS[kind]))
 
 
 def oracle_prelude(*names: str) -> str:
