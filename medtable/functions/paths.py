@@ -69,7 +69,7 @@ def nav(name: str) -> Nav:
 def path(spec: str, root: Column | None = None) -> Column:
     """Dotted path with ``[n]``, ``[*]`` and ``[?field='v']`` selectors."""
     here: Nav | None = None if root is None else Nav(root)
-    for step in spec.split("."):
+    for step in re.split(r"\.(?![^\[]*\])", spec):
         found = _STEP.fullmatch(step)
         if not found:
             raise ValueError(f"bad path step {step!r} in {spec!r}")

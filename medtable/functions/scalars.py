@@ -118,8 +118,9 @@ def fix_date(text: Column) -> Column:
     for pattern, target in codes.DATE_FIXES:
         iso = F.regexp_replace(text, pattern, target)
         options.append(F.when(text.rlike(pattern) & F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).isNotNull(), iso))
-    padded = F.try_to_timestamp(text, F.lit("M/d/yyyy"))
-    options.append(F.when(~text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.date_format(padded, "yyyy-MM-dd")))
+    # Layouts a lenient reader also accepts; month first, then day first.
+    for layout in ("M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "yyyy/M/d", "d MMM yyyy", "MMM d, yyyy"):
+        options.append(F.when(~text.rlike(r"^\d{4}-\d{2}"), F.date_format(F.try_to_timestamp(text, F.lit(layout)), "yyyy-MM-dd")))
     return F.coalesce(*options, text)
 
 

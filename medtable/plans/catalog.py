@@ -1,6 +1,14 @@
 """Imports every query module, which fills the registry."""
 
-from . import queries_aggregates, queries_gold, queries_joins, queries_metrics, queries_narrative, queries_records  # noqa: F401
+from . import (  # noqa: F401
+    queries_aggregates,
+    queries_gold,
+    queries_joins,
+    queries_metrics,
+    queries_narrative,
+    queries_quality,
+    queries_records,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -7,7 +7,7 @@ check build the same inputs. The nested record frames add the list and struct fi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -275,7 +275,15 @@ FLAT_OF = {"Patient": "patient", "Encounter": "encounter", "Observation": "obser
 def raw(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Raw (bronze) frame of one record type: a single ``json_data`` column."""
     base = flat(spark, sf_dir, FLAT_OF[kind], with_patient=True)
-    return base.selectExpr(*RECORDS[kind]).select(F.to_json(F.struct("*")).alias("json_data"))
+    return stored_text(base.selectExpr(*RECORDS[kind]), F.to_json(F.struct("*")))
+
+
+def stored_text(df: DataFrame, text: Column) -> DataFrame:
+    """Raw frame whose text is built once per row, as if read from storage.
+
+    The generator keeps the optimiser from repeating the expression at every use of the column.
+    """
+    return df.select(F.explode(F.array(text)).alias("json_data"))
 
 
 def records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
@@ -297,3 +305,45 @@ def oracle_prelude(*names: str) -> str:
                     f"JOIN orders ON CAST(o_orderkey AS STRING) = s.encounter_id")
         parts.append(f"{name.rstrip('+')} AS ({base})")
     return "WITH " + ", ".join(parts) + " "
+
+
+def dirty_records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Records with deterministic defects, for validation and repair."""
+    df = records(spark, sf_dir, kind)
+    if kind == "Patient":
+        k = F.col("id").cast("bigint")
+        empty = k % 11 == 0
+        name = F.transform("name", lambda n: n.withField("family", F.when(~empty, n["family"])).withField("text", F.when(~empty, n["text"])).withField(
+            "use", F.when(empty, F.lit(None)).when(k % 14 == 0, F.lit("alias")).otherwise(n["use"])))
+        telecom = F.transform("telecom", lambda t: t.withField("system", F.when(k % 9 == 0, F.lit("carrier")).otherwise(t["system"])).withField(
+            "use", F.when(k % 9 == 1, F.lit("primary")).otherwise(t["use"])))
+        slashed = F.date_format(F.col("birthDate").cast("date"), "MM/dd/yyyy")
+        absent = F.array(F.named_struct(F.lit("url"), F.lit("http://hl7.org/fhir/StructureDefinition/data-absent-reason"), F.lit("valueCode"), F.lit("unknown")))
+        marker = df.schema["_gender"].dataType.fields[0].dataType
+        full = F.transform(absent, lambda e: _as(e, marker.elementType))
+        return df.withColumns({
+            "gender": F.when(k % 13 == 0, F.lit("M")).otherwise(F.col("gender")), "birthDate": F.when(k % 17 == 0, slashed).otherwise(F.col("birthDate")),
+            "name": name, "telecom": telecom, "identifier": F.when(k % 8 != 0, F.col("identifier")),
+            "_gender": F.when(k % 6 == 0, F.struct(full.alias("extension")))})
+    if kind == "Encounter":
+        k = F.col("id").cast("bigint")
+        spaced = F.replace(F.replace(F.col("period")["start"], F.lit("T"), F.lit(" ")), F.lit("Z"), F.lit(""))
+        return df.withColumns({
+            "status": F.when(k % 12 == 0, F.lit(None)).when(k % 10 == 0, F.lit("arrived-late")).otherwise(F.col("status")),
+            "period": F.col("period").withField("start", F.when(k % 5 == 0, spaced).otherwise(F.col("period")["start"]))})
+    if kind == "Observation":
+        parts = F.split("id", "-")
+        ln, pk = F.get(parts, F.lit(1)).cast("int"), F.get(parts, F.lit(2)).cast("bigint")
+        bare = F.replace(F.col("subject")["reference"], F.lit("Patient/"), F.lit(""))
+        coding = F.transform(F.col("code")["coding"], lambda c: c.withField("system", F.when(pk % 5 == 0, F.lit("loinc")).otherwise(c["system"])))
+        return df.withColumns({
+            "status": F.when(ln == 2, F.lit(None)).when(ln == 6, F.lit("done")).otherwise(F.col("status")),
+            "code": F.when(~((ln == 7) & (pk % 2 == 0)), F.col("code").withField("coding", coding)),
+            "subject": F.col("subject").withField("reference", F.when(ln == 4, bare).when(ln == 3, F.concat(F.lit("Patient"), bare)).otherwise(F.col("subject")["reference"]))})
+    raise ValueError(f"no defects defined for {kind}")
+
+
+def _as(value, kind: T.StructType):
+    """Widen a struct to a declared type; absent fields are null."""
+    have = {"url", "valueCode"}
+    return F.struct(*[(value[f.name] if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in kind.fields])
