@@ -64,30 +64,35 @@ def check_alerts(metrics: DataFrame, definitions: Sequence[Definition], as_of: s
         F.col("op"), F.col("metric_value"), F.col("lower"), F.col("upper"))).drop("total")
 
 
-def alert_history(metrics: DataFrame, definitions: Sequence[Definition]) -> DataFrame:
-    """Alerts raised by an hourly check, honouring look-back, minimum sample and cool-down.
-
-    Metrics are first summed per hour for every definition, so what follows sees at most one row per
-    definition and hour of history. The greedy cool-down scan folds over that sorted list.
-    """
-    hour = F.date_trunc("hour", "ts")
+def hourly_totals(metrics: DataFrame, definitions: Sequence[Definition]) -> DataFrame:
+    """Sum and count per definition and hour, from one partial aggregate."""
     aggs = []
     for i, d in enumerate(definitions):
         aggs += [F.sum(F.when(d.matches(), F.col("value"))).alias(f"_s{i}"), F.count(F.when(d.matches(), F.col("value"))).alias(f"_n{i}")]
-    hourly = metrics.groupBy(hour.alias("hour")).agg(*aggs).select("hour", F.inline(_rules(definitions)))
-    # The check at the end of an hour sees the look-back hours up to and including it.
+    wide = metrics.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(d.name).alias("name"), F.col(f"_s{i}").alias("total"), F.col(f"_n{i}").alias("samples")) for i, d in enumerate(definitions)])
+    return wide.select("hour", F.inline(rows)).where("samples > 0")
+
+
+def raise_alerts(hourly: DataFrame, definitions: Sequence[Definition]) -> DataFrame:
+    """Alerts of an hourly check, honouring look-back, minimum sample and cool-down.
+
+    Input has at most one row per definition and hour of history. A check runs at the end of each hour
+    with new metrics and sees the look-back hours up to and including it; the greedy cool-down scan folds
+    over the sorted hits.
+    """
     hourly = hourly.withColumn("_h", F.floor(F.unix_seconds("hour") / 3600))
-    parts = []
+    parts = None
     for d in definitions:
         back = Window.partitionBy("name").orderBy("_h").rangeBetween(1 - d.lookback_hours, 0)
-        parts.append(hourly.where(F.col("name") == d.name).withColumns({"_total": F.sum("total").over(back), "_samples": F.sum("samples").over(back)}))
-    seen = parts[0]
-    for p in parts[1:]:
-        seen = seen.unionByName(p)
-    seen = seen.withColumn("_value", F.col("_total") / F.nullif(F.col("_samples"), F.lit(0)))
-    hits = seen.where((F.col("_samples") >= F.col("min_samples")) & S.crosses(F.col("op"), F.col("_value"), F.col("lower"), F.col("upper")))
-    event = F.struct((F.unix_seconds("hour") + 3600).alias("at"), F.col("_value").alias("value"), F.col("_samples").cast("bigint").alias("samples"))
-    per = hits.groupBy("name", "category", "severity", "cooldown_minutes").agg(F.array_sort(F.collect_list(event)).alias("_e"))
+        part = hourly.where(F.col("name") == d.name).select("name", "hour", F.sum("total").over(back).alias("_total"), F.sum("samples").over(back).alias("_samples"))
+        value = F.col("_total") / F.col("_samples")
+        hit = S.crosses(F.lit(d.op), value, F.lit(float(d.lower)), F.lit(None if d.upper is None else float(d.upper)).cast("double"))
+        part = part.where((F.col("_samples") >= d.min_samples) & hit).select(
+            "name", F.lit(d.category).alias("category"), F.lit(d.severity).alias("severity"), F.lit(d.cooldown_minutes).alias("cooldown_minutes"),
+            F.struct((F.unix_seconds("hour") + 3600).alias("at"), value.alias("value"), F.col("_samples").cast("bigint").alias("samples")).alias("_event"))
+        parts = part if parts is None else parts.unionByName(part)
+    per = parts.groupBy("name", "category", "severity", "cooldown_minutes").agg(F.array_sort(F.collect_list("_event")).alias("_e"))
     empty = F.array().cast("array<struct<at:bigint,value:double,samples:bigint>>")
 
     def step(kept, x):
@@ -99,6 +104,11 @@ def alert_history(metrics: DataFrame, definitions: Sequence[Definition]) -> Data
         "name", "category", "severity", F.timestamp_seconds("at").alias("triggered_at"), F.col("value").alias("metric_value"), "samples")
 
 
+def alert_history(metrics: DataFrame, definitions: Sequence[Definition]) -> DataFrame:
+    """T08 over a stored metric table."""
+    return raise_alerts(hourly_totals(metrics, definitions), definitions)
+
+
 def alert_summary(alerts: DataFrame) -> DataFrame:
     """Counts by status, by severity and by category."""
     keys = ["status", "severity", "category"]

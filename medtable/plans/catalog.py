@@ -3,6 +3,7 @@
 from . import (  # noqa: F401
     queries_aggregates,
     queries_gold,
+    queries_io,
     queries_joins,
     queries_metrics,
     queries_narrative,

@@ -153,7 +153,7 @@ _HITS = METRIC.replace("WITH ", "WITH RECURSIVE ", 1) + ", h AS (" + " UNION ALL
     f"SELECT '{d.name}' AS name, date_trunc('hour', ts) AS hour, coalesce(sum(value) FILTER (WHERE {_WHERE[d.name]}), 0) AS s, count(value) FILTER (WHERE {_WHERE[d.name]}) AS n FROM metric GROUP BY 2"
     for d in DEFINITIONS) + "), w AS (" + " UNION ALL ".join(
     f"""SELECT name, hour, sum(s) OVER z / nullif(sum(n) OVER z, 0) AS v, sum(n) OVER z AS n, '{d.category}' AS category, '{d.severity}' AS severity, {d.min_samples} AS ms, {d.cooldown_minutes} AS cd
- FROM h WHERE name = '{d.name}' WINDOW z AS (ORDER BY hour RANGE BETWEEN INTERVAL {d.lookback_hours - 1} HOUR PRECEDING AND CURRENT ROW)""" for d in DEFINITIONS) + """),
+ FROM h WHERE name = '{d.name}' AND n > 0 WINDOW z AS (ORDER BY hour RANGE BETWEEN INTERVAL {d.lookback_hours - 1} HOUR PRECEDING AND CURRENT ROW)""" for d in DEFINITIONS) + """),
  c AS (SELECT name, category, severity, hour + INTERVAL 1 HOUR AS t, v, n, cd FROM w WHERE n >= ms AND n > 0 AND CASE name """ + " ".join(
     f"WHEN '{n}' THEN {t}" for n, t in _TEST.items()) + """ END),
  a AS (SELECT name, min(t) AS t FROM c GROUP BY 1

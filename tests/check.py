@@ -19,7 +19,7 @@ def norm(v):
     if isinstance(v, decimal.Decimal):
         v = float(v)
     if isinstance(v, float):
-        return round(v, 5) + 0.0
+        return (v if os.environ.get("STRICT") else round(v, 5)) + 0.0
     if isinstance(v, (datetime.date, datetime.datetime)):
         return str(v)
     return v
