@@ -30,13 +30,43 @@ def distinct_list(df: DataFrame, keys: Sequence[str], value: str, out: str, coun
         F.array_sort(F.collect_list(value)).alias(out), F.sum("_n").alias(count_out), *extra_merge)
 
 
-def sequence_within(df: DataFrame, keys: Sequence[str], coarse: str, fine: str, tie: str, out: str) -> DataFrame:
+# A key above this many rows is split; there can be at most (rows / HOT_ROWS) such keys, which bounds
+# the broadcast of their list.
+HOT_ROWS = 1_000_000
+
+
+def match(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Null-safe equi-join on equally named columns, keeping the left names."""
+    other = right.select(*[F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    joined = left.join(other, cond, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{c}" for c in cols])
+
+
+def sequence_within(df: DataFrame, keys: Sequence[str], coarse: str, fine: str, tie: str, out: str,
+                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """Exact 1..n position per key in (coarse, fine, tie) order.
 
-    ``coarse`` must be a prefix of the order (the day of a time), ``tie`` a hex digest. Rows are
-    numbered inside (key, coarse, fine, first digits of tie); the offsets come from counts only.
+    ``coarse`` must be a prefix of the order (the day of a time), ``tie`` a hex digest. Ordinary keys
+    are numbered by one window. Keys above ``hot_rows`` go through ``_sequence_split``; when a run has
+    none, AQE drops that branch as soon as the key counts are known.
     """
     keys = list(keys)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
+    hot = F.broadcast(sizes)
+    per_key = Window.partitionBy(*keys).orderBy(coarse, fine, tie)
+    cold = match(df, hot, keys, "left_anti").withColumn(out, F.row_number().over(per_key).cast("bigint"))
+    return cold.unionByName(_sequence_split(match(df, hot, keys, "left_semi"), keys, coarse, fine, tie, out))
+
+
+def _sequence_split(df: DataFrame, keys: list[str], coarse: str, fine: str, tie: str, out: str) -> DataFrame:
+    """Positions without ordering a key in one task.
+
+    Rows are numbered inside (key, coarse, fine, first digits of tie). The offset of such a cell is the
+    size of the earlier ones, summed over counts: first over a key's coarse values, then inside one.
+    """
     cell = [*keys, coarse, fine, "_p"]
     rows = df.withColumn("_p", F.substring(tie, 1, 2))
     counts = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
@@ -44,11 +74,10 @@ def sequence_within(df: DataFrame, keys: Sequence[str], coarse: str, fine: str,
     before_day = Window.partitionBy(*keys).orderBy(coarse).rowsBetween(Window.unboundedPreceding, -1)
     days = days.select(*keys, coarse, F.coalesce(F.sum("_day_n").over(before_day), F.lit(0)).alias("_day_off"))
     in_day = Window.partitionBy(*keys, coarse).orderBy(fine, "_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (counts.withColumn("_cell_off", F.coalesce(F.sum("_n").over(in_day), F.lit(0)))
-               .join(days, [*keys, coarse])
-               .select(*cell, (F.col("_day_off") + F.col("_cell_off")).alias("_off")))
+    offsets = match(counts.withColumn("_cell_off", F.coalesce(F.sum("_n").over(in_day), F.lit(0))), days, [*keys, coarse])
+    offsets = offsets.select(*cell, (F.col("_day_off") + F.col("_cell_off")).alias("_off"))
     in_cell = Window.partitionBy(*cell).orderBy(tie)
-    return (rows.join(offsets, cell)
+    return (match(rows, offsets, cell)
             .withColumn(out, (F.col("_off") + F.row_number().over(in_cell)).cast("bigint"))
             .drop("_p", "_off"))
 
@@ -71,13 +100,13 @@ def earlier_count(df: DataFrame, key: str, ts: str, out: str) -> DataFrame:
 
 
 def chunked_list(df: DataFrame, keys: Sequence[str], coarse: str, fine: str, tie: str, value: Column, out: str,
-                 chunk_rows: int = 10_000) -> DataFrame:
+                 chunk_rows: int = 10_000, hot_rows: int = HOT_ROWS) -> DataFrame:
     """All values per key in order, as one array per ``chunk`` of at most ``chunk_rows`` rows.
 
     A key below the limit has the single chunk 0; a hot key gets as many as it needs, so the
     result stays whole and no array outgrows a task.
     """
-    seq = sequence_within(df, keys, coarse, fine, tie, "_seq")
+    seq = sequence_within(df, keys, coarse, fine, tie, "_seq", hot_rows)
     seq = seq.withColumn("chunk", F.floor((F.col("_seq") - 1) / chunk_rows).cast("int"))
     items = F.array_sort(F.collect_list(F.struct(F.col("_seq"), value.alias("_v"))))
     return seq.groupBy(*keys, "chunk").agg(F.transform(items, lambda x: x["_v"]).alias(out))

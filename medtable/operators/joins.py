@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.paths import nav, path
-from ..functions.skew import sequence_within
+from ..functions.skew import HOT_ROWS, sequence_within
+from ..session import checkpointed
 
 
 def reconcile(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
@@ -35,7 +36,7 @@ def children_of(parent: DataFrame, child: DataFrame, parent_key: str, reference:
 
 
 def wide_dataset(index: DataFrame, key: str, related: dict[str, tuple[DataFrame, Column]], order: str, ident: str,
-                 chunk_rows: int = 10_000) -> DataFrame:
+                 chunk_rows: int = 10_000, hot_rows: int = HOT_ROWS) -> DataFrame:
     """J09 (D8): one list column per related frame, with its first value as ``<name>_first``.
 
     Rows of an index entry are numbered per column and cut into chunks of ``chunk_rows``; an entry below
@@ -46,7 +47,7 @@ def wide_dataset(index: DataFrame, key: str, related: dict[str, tuple[DataFrame,
         part = df.select(F.col(key), F.lit(name).alias("_col"), value.cast("string").alias("_v"), F.col(order).alias("_at"), F.to_date(order).alias("_day"),
                          S.row_key(F.col(ident)).alias("_tie")).where("_v IS NOT NULL")
         rows = part if rows is None else rows.unionByName(part)
-    rows = sequence_within(rows, [key, "_col"], "_day", "_at", "_tie", "_seq").withColumn("chunk", F.floor((F.col("_seq") - 1) / chunk_rows).cast("int"))
+    rows = sequence_within(rows, [key, "_col"], "_day", "_at", "_tie", "_seq", hot_rows).withColumn("chunk", F.floor((F.col("_seq") - 1) / chunk_rows).cast("int"))
     lists = []
     for name in related:
         items = F.array_sort(F.collect_list(F.when(F.col("_col") == name, F.struct("_seq", "_v"))))
@@ -148,10 +149,11 @@ def resolve(roots: DataFrame, edges: DataFrame, depth: int = 2, include: Sequenc
     """Records reachable from each root within ``depth`` steps, each once at its smallest depth.
 
     Every round joins the distinct frontier with the edges and drops what the root has already seen.
+    Edges and frontiers are checkpointed, so a round neither repeats earlier ones nor loses them with an executor.
     """
     hops = edges.where(~F.col("dst_type").isin(list(exclude))) if exclude else edges
     hops = hops.where(F.col("dst_type").isin(list(include))) if include else hops
-    hops = hops.select("src_type", "src_id", "dst_type", "dst_id").distinct()
+    hops = checkpointed(hops.select("src_type", "src_id", "dst_type", "dst_id").distinct())
     root = [F.col("root_type"), F.col("root_id")]
     front = roots.select(F.col("src_type").alias("root_type"), F.col("src_id").alias("root_id"), F.col("src_type").alias("type"), F.col("src_id").alias("id"))
     seen, found = front, None
@@ -159,6 +161,7 @@ def resolve(roots: DataFrame, edges: DataFrame, depth: int = 2, include: Sequenc
         step = front.join(hops, (front["type"] == hops["src_type"]) & (front["id"] == hops["src_id"])).select(
             *root, F.col("dst_type").alias("type"), F.col("dst_id").alias("id")).distinct()
         front = step.join(seen, ["root_type", "root_id", "type", "id"], "left_anti")
+        front = checkpointed(front) if level < depth else front
         seen = seen.unionByName(front)
         level_rows = front.withColumn("depth", F.lit(level))
         found = level_rows if found is None else found.unionByName(level_rows)

@@ -40,8 +40,12 @@ def flag(df: DataFrame, rules: Sequence[Rule], out: str = "issues") -> DataFrame
 
 
 def issue_rows(df: DataFrame, kind: str, rules: Sequence[Rule], key: str = "id") -> DataFrame:
-    """Issue table: one row per violated rule; valid rows give none."""
-    return flag(df, rules).where(F.size("issues") > 0).select(F.lit(kind).alias("resource_type"), F.col(key).alias("resource_id"), F.inline("issues"))
+    """Issue table: one row per violated rule; valid rows give none.
+
+    The rule results are exploded before the test for null, so each rule is evaluated once per row.
+    """
+    found = F.explode(F.array(*[r.issue() for r in rules])).alias("_i")
+    return df.select(F.lit(kind).alias("resource_type"), F.col(key).alias("resource_id"), found).where("_i IS NOT NULL").select("resource_type", "resource_id", "_i.*")
 
 
 # --- rule builders --------------------------------------------------------------------------------
@@ -193,7 +197,8 @@ def model_rules(kind: str) -> list[Rule]:
 def raw_validation(raw: DataFrame) -> DataFrame:
     """Q07: JSON syntax, type, and patient identifier, name (error) and gender (warning), from the raw text."""
     shape = "resourceType STRING, id STRING, identifier STRING, name STRING, gender STRING, _corrupt_record STRING"
-    rows = raw.select(F.from_json("json_data", shape, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("p"))
+    parsed = F.from_json("json_data", shape, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = raw.select(F.explode(F.array(parsed)).alias("p"))  # a generator keeps the parse from being repeated per rule
     ok, kind = F.col("p._corrupt_record").isNull(), F.col("p.resourceType")
 
     def lacks(name):
@@ -203,8 +208,9 @@ def raw_validation(raw: DataFrame) -> DataFrame:
              Rule("required", "identifier", "error", "Missing required field: identifier", lacks("identifier")),
              Rule("required", "name", "error", "Missing required field: name", lacks("name")),
              Rule("recommended", "gender", "warning", "Missing recommended field: gender", ok & (kind == "Patient") & F.col("p.gender").isNull())]
-    return flag(rows, rules).where(F.size("issues") > 0).select(
-        F.when(ok, F.coalesce(kind, F.lit("Unknown"))).otherwise("Unknown").alias("resource_type"), F.when(ok, F.col("p.id")).alias("resource_id"), F.inline("issues"))
+    found = F.explode(F.array(*[r.issue() for r in rules])).alias("_i")
+    return rows.select(F.when(ok, F.coalesce(kind, F.lit("Unknown"))).otherwise("Unknown").alias("resource_type"), F.when(ok, F.col("p.id")).alias("resource_id"),
+                       found).where("_i IS NOT NULL").select("resource_type", "resource_id", "_i.*")
 
 
 # --- structure validity ---------------------------------------------------------------------------

@@ -15,7 +15,7 @@ METRIC = oracle_prelude("metric")
 VALIDATION = oracle_prelude("validation")
 
 
-@query("metric_query_f14", METRIC + f"""SELECT event_id, metric, resource_type, pipeline_stage, value, strftime(ts, {TS}) AS ts FROM metric
+@query("metric_query_f14", METRIC + f"""SELECT event_id, metric, resource_type, pipeline_stage, round(value, 6) AS value, strftime(ts, {TS}) AS ts FROM metric
  WHERE metric LIKE 'quality.%i%' AND resource_type IN ('Patient', 'Encounter') AND ts >= TIMESTAMP '2024-01-05' AND ts <= TIMESTAMP '2024-01-25'""")
 def metric_query(spark, sf):
     rows = M.query_metrics(flat(spark, sf, "metric"), "quality.*i*", {"resource_type": ["Patient", "Encounter"]}, "2024-01-05", "2024-01-25")
@@ -23,14 +23,14 @@ def metric_query(spark, sf):
 
 
 @query("metric_resample_w04_t07", METRIC + " UNION ALL ".join(
-    f"""SELECT '{name}' AS "interval", resource_type, dimension, strftime(date_trunc('{unit}', ts), {TS}) AS ts, round(avg(value), 6) AS value,
+    f"""SELECT '{name}' AS "interval", resource_type, dimension, strftime(date_trunc('{unit}', ts), {TS}) AS ts, round(avg(value) * count(value), 6) AS total,
   CAST(count(value) AS BIGINT) AS samples FROM metric GROUP BY 1, 2, 3, 4""" for name, unit in M.INTERVALS.items()))
 def metric_resample(spark, sf):
     rows, out = flat(spark, sf, "metric"), None
     for name in M.INTERVALS:
         part = M.resample(rows, ["resource_type", "dimension"], name).withColumn("interval", F.lit(name))
         out = part if out is None else out.unionByName(part)
-    return out
+    return out.withColumn("total", F.col("value") * F.col("samples")).drop("value")
 
 
 @query("metric_stats_a20_a21_q34", METRIC + """

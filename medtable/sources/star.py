@@ -18,6 +18,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 
 AS_OF = "2002-01-01"
+SMALL_FILE = 256 * 1024 * 1024
+BASE = {"patient": "customer", "encounter": "orders"}
 
 
 def _pick(expr: str, values: list[str]) -> str:
@@ -135,6 +137,19 @@ def flat(spark: SparkSession, sf_dir: str, name: str, with_patient: bool = False
     return df
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
+    """Give a frame that comes from one small file as many partitions as there are cores.
+
+    A single small file is a single task, however costly the projection on top of it. A table stored as
+    a folder of files is left alone: its splits already are the parallelism, and a shuffle would be waste.
+    """
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    status = hpath.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hpath)
+    if status.isDirectory() or status.getLen() > SMALL_FILE:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
+
+
 def _instant(col: str) -> str:
     return f"date_format({col}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
 
@@ -272,10 +287,14 @@ FLAT_OF = {"Patient": "patient", "Encounter": "encounter", "Observation": "obser
            "MedicationRequest": "medication_request", "DiagnosticReport": "diagnostic_report"}
 
 
+def _base(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    name = FLAT_OF[kind]
+    return spread(spark, sf_dir, BASE.get(name, "lineitem"), flat(spark, sf_dir, name, with_patient=True))
+
+
 def raw(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Raw (bronze) frame of one record type: a single ``json_data`` column."""
-    base = flat(spark, sf_dir, FLAT_OF[kind], with_patient=True)
-    return stored_text(base.selectExpr(*RECORDS[kind]), F.to_json(F.struct("*")))
+    return stored_text(_base(spark, sf_dir, kind).selectExpr(*RECORDS[kind]), F.to_json(F.struct("*")))
 
 
 def stored_text(df: DataFrame, text: Column) -> DataFrame:
@@ -288,8 +307,7 @@ def stored_text(df: DataFrame, text: Column) -> DataFrame:
 
 def records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Nested frame of one record type in its declared schema; fields the star has no value for are null."""
-    base = flat(spark, sf_dir, FLAT_OF[kind], with_patient=True)
-    return base.selectExpr(*RECORDS[kind]).to(T.StructType.fromDDL(types.SCHEMAS[kind]))
+    return _base(spark, sf_dir, kind).selectExpr(*RECORDS[kind]).to(T.StructType.fromDDL(types.SCHEMAS[kind]))
 
 
 def oracle_prelude(*names: str) -> str:
