@@ -24,19 +24,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_ROOT: list[str] = []
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting is required: a folder on one machine is lost with it. Only a
-    local session without the setting gets a fresh temporary folder.
+    local session without the setting gets a fresh temporary folder, once per process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="medtable-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    if not _LOCAL_ROOT:
+        _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="medtable-"))
+    return _LOCAL_ROOT[0]
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
