@@ -47,9 +47,10 @@ def read_cursor(spark: SparkSession, path: str, kind: str):
 
 
 def update_cursor(spark: SparkSession, path: str, batch: DataFrame, ts: str, kind: str, as_of: str) -> None:
-    """Typed maximum and count of the new rows, merged by type."""
+    """Typed maximum and count of the new rows, merged by type; the mark never moves back."""
     mark = batch.agg(F.max(ts).alias("last_updated"), F.count(F.lit(1)).alias("record_count")).where("last_updated IS NOT NULL")
-    K.upsert(spark, path, mark.select(F.lit(kind).alias("resource_type"), "last_updated", F.lit(as_of).alias("extracted_at"), "record_count"), ["resource_type"])
+    row = mark.select(F.lit(kind).alias("resource_type"), "last_updated", F.lit(as_of).alias("extracted_at"), "record_count")
+    K.upsert_latest(spark, path, row, ["resource_type"], ["last_updated"])
 
 
 def pull(spark: SparkSession, source: str, schema: T.StructType, bronze: str, cursor: str, checkpoint: str, ts: str, kind: str, as_of: str,
