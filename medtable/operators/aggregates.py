@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes
@@ -13,7 +13,7 @@ from ..functions.skew import exact_quantiles, latest_per, mode_per
 
 
 def aggregate(df: DataFrame, aggs: dict[str, Column], groupings: Sequence[str] = (), where: Column | None = None) -> DataFrame:
-    """Filtered, grouped aggregation."""
+    """Filtered, grouped aggregation; the filter is any Column."""
     rows = df if where is None else df.where(where)
     return rows.groupBy(*groupings).agg(*[c.alias(n) for n, c in aggs.items()])
 
@@ -72,9 +72,12 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def distribution(df: DataFrame, col: str) -> DataFrame:
-    """Count per value and percentage of the total; the total is taken over the counts."""
+    """Count per value and percentage of the total.
+
+    The total is a scalar subquery over the counts, so the values never meet in one task.
+    """
     counts = count_by(df, col)
-    return counts.withColumn("percentage", 100 * F.col("count") / F.sum("count").over(Window.partitionBy()))
+    return counts.withColumn("percentage", 100 * F.col("count") / counts.agg(F.sum("count")).scalar())
 
 
 def demographics(patient: DataFrame, as_of: str) -> DataFrame:
@@ -218,8 +221,7 @@ def count_match(left: DataFrame, right: DataFrame, kind: str) -> DataFrame:
 
 def run_metric(step: str, kind: str, inputs: DataFrame, outputs: DataFrame, as_of: str) -> DataFrame:
     """One metric row of a transform step, with its loss and status."""
-    counts = (inputs.agg(F.count(F.lit(1)).alias("i")).withColumn("_k", F.lit(1))
-              .join(outputs.agg(F.count(F.lit(1)).alias("o")).withColumn("_k", F.lit(1)), "_k"))
+    counts = inputs.agg(F.count(F.lit(1)).alias("i")).withColumn("o", outputs.agg(F.count(F.lit(1))).scalar())
     loss = F.when(F.col("i") > 0, 100 * (F.col("i") - F.col("o")) / F.col("i")).otherwise(0.0)
     return counts.select(F.lit(step).alias("step"), F.lit(kind).alias("resource_type"), F.col("i").alias("input_record_count"),
                          F.col("o").alias("output_record_count"), loss.alias("loss_pct"),

@@ -232,7 +232,7 @@ def _lineage(source_system: str) -> list[Column]:
 
 
 def patient_gold(df: DataFrame, source_system: str = "source") -> DataFrame:
-    """R09 (D5, D6): 27 columns; filter-then-first on every list."""
+    """R09, D-U6 (D5, D6): 27 columns; filter-then-first on every list."""
     def use(*allowed):
         return lambda x: x["use"].isin(*allowed) | x["use"].isNull()
 

@@ -300,13 +300,10 @@ def implied_rules(kind: str) -> list[Rule]:
 
 
 def key_set_issues(raw: DataFrame) -> DataFrame:
-    """Q13 generic: records whose top-level fields differ from those of the first record (smallest id).
-
-    The reference row is a single aggregated row, so broadcasting it is bounded.
-    """
-    keys = raw.select(F.get_json_object("json_data", "$.id").alias("id"), F.array_sort(F.json_object_keys("json_data")).alias("k"), F.lit(1).alias("_one"))
-    first = keys.groupBy("_one").agg(F.min_by("k", "id").alias("ref"))
-    both = keys.join(F.broadcast(first), "_one")
+    """Q13 generic: records whose top-level fields differ from those of the first record (smallest id)."""
+    keys = raw.select(F.get_json_object("json_data", "$.id").alias("id"), F.array_sort(F.json_object_keys("json_data")).alias("k"))
+    first = keys.agg(F.min_by("k", "id")).scalar()
+    both = keys.withColumn("ref", first)
     return both.select("id", F.array_except("ref", "k").alias("missing"), F.array_except("k", "ref").alias("extra")).where((F.size("missing") > 0) | (F.size("extra") > 0))
 
 

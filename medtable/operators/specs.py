@@ -17,7 +17,7 @@ _CALL = re.compile(r"^(.*)\.(replace|substring|first|toString|exists)\((.*)\)$")
 
 
 def rule(text: str | Column, root: Column | None = None) -> Column:
-    """One mapping rule as a Column.
+    """P07, P21, D-U1, D-U2, D-U3: one mapping rule as a Column.
 
     Forms: a path, ``a | b`` (first non-null), ``"literal"``, ``path.replace('x','y')``, ``.substring(n)``,
     ``.first()``, ``.toString()``, ``.exists()`` and ``{{path}} text`` templates. ``text.div`` loses its markup.
@@ -61,7 +61,7 @@ def map_fields(df: DataFrame, expressions: dict[str, str], fields: dict[str, tup
 
 
 def parse_raw(df: DataFrame, kind: str, spec: dict[str, str | Column] | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """Typed parse of ``json_data``, then the spec, with the ingest columns carried in the same select."""
+    """P21, J07, D-U4: typed parse of ``json_data``, then the spec, with the ingest columns carried in the same select."""
     parsed = df.select(*keep, F.from_json("json_data", types.SCHEMAS[kind]).alias("_r")).select(*keep, "_r.*")
     return parsed if spec is None else apply_spec(parsed, spec, keep)
 

@@ -126,12 +126,17 @@ def severity_norm(severity: Column) -> Column:
 
 
 def issue_counts(issues: DataFrame) -> DataFrame:
-    """Issues per severity and category with the five most frequent messages of each."""
+    """Issues per severity and category with the five most frequent messages of each.
+
+    The rank is filtered before anything is collected, so Spark limits each group ahead of the shuffle.
+    """
+    keys = ["severity", "category"]
     labelled = issues.select(severity_norm(F.col("severity")).alias("severity"), S.issue_category(F.col("message")).alias("category"), "message")
-    counts = labelled.groupBy("severity", "category", "message").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = counts.withColumn("_r", F.row_number().over(Window.partitionBy("severity", "category").orderBy(F.desc("_n"), "message")))
-    top = F.array_sort(F.collect_list(F.when(F.col("_r") <= 5, F.struct("_r", "message"))))
-    return ranked.groupBy("severity", "category").agg(F.sum("_n").alias("count"), F.transform(top, lambda x: x["message"]).alias("top_messages"))
+    counts = labelled.groupBy(*keys, "message").agg(F.count(F.lit(1)).alias("_n"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_n"), "message"))
+    top = counts.withColumn("_r", rank).where(F.col("_r") <= 5).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_r", "message"))).alias("_t"))
+    totals = labelled.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+    return totals.join(top, keys).select(*keys, "count", F.transform("_t", lambda x: x["message"]).alias("top_messages"))
 
 
 def batch_validation(results: DataFrame) -> DataFrame:
