@@ -11,7 +11,7 @@ from ..sources import readers as S
 from ..sources import writers as K
 from ..sources.star import AS_OF, dirty_records, flat, oracle_prelude, raw, records, table
 from ..streaming import incremental as I
-from .queries_metrics import _HITS, DEFINITIONS
+from .queries_metrics import _HITS, DEFINITIONS, with_total
 from .registry import query
 
 TS = "'%Y-%m-%d %H:%M:%S'"
@@ -263,11 +263,11 @@ def _metric_columns(df):
                      F.element_at(F.array(*[F.lit(x) for x in tiers]), level + 1).alias("pipeline_stage"), (F.col("value") / 1000).alias("value"))
 
 
-@query("alert_stream_t08", _HITS + f"""SELECT c.name, c.category, c.severity, strftime(c.t, {TS}) AS triggered_at, round(c.v, 6) AS metric_value, CAST(c.n AS BIGINT) AS samples FROM c JOIN a ON a.name = c.name AND a.t = c.t""")
+@query("alert_stream_t08", _HITS + f"""SELECT c.name, c.category, c.severity, strftime(c.t, {TS}) AS triggered_at, round(c.v * c.n, 6) AS metric_total, CAST(c.n AS BIGINT) AS samples FROM c JOIN a ON a.name = c.name AND a.t = c.t""")
 def alert_stream(spark, sf):
     """T08 as a stream: the same alerts as the batch history."""
     where, stream = _event_stream(spark, sf)
-    return I.alert_stream(_metric_columns(stream), f"{where}/state", f"{where}/ckpt", DEFINITIONS, "60 days")
+    return with_total(I.alert_stream(_metric_columns(stream), f"{where}/state", f"{where}/ckpt", DEFINITIONS, "60 days"))
 
 
 @query("quality_tracking_q34", oracle_prelude("metric") + """, d AS (SELECT resource_type, dimension, date_trunc('day', ts) AS ts, avg(value) AS value FROM metric GROUP BY 1, 2, 3)

@@ -160,10 +160,15 @@ _HITS = METRIC.replace("WITH ", "WITH RECURSIVE ", 1) + ", h AS (" + " UNION ALL
    UNION ALL SELECT a.name, min(c.t) FROM a JOIN c ON c.name = a.name AND c.t >= a.t + to_minutes(c.cd) GROUP BY 1) """
 
 
-@query("alert_history_t08", _HITS + f"""SELECT c.name, c.category, c.severity, strftime(c.t, {TS}) AS triggered_at, round(c.v, 6) AS metric_value, CAST(c.n AS BIGINT) AS samples
+@query("alert_history_t08", _HITS + f"""SELECT c.name, c.category, c.severity, strftime(c.t, {TS}) AS triggered_at, round(c.v * c.n, 6) AS metric_total, CAST(c.n AS BIGINT) AS samples
 FROM c JOIN a ON a.name = c.name AND a.t = c.t""")
 def alert_history(spark, sf):
-    return L.alert_history(flat(spark, sf, "metric"), DEFINITIONS)
+    return with_total(L.alert_history(flat(spark, sf, "metric"), DEFINITIONS))
+
+
+def with_total(alerts):
+    """Sum instead of mean: it has few decimals, so rounding is the same in every engine."""
+    return alerts.withColumn("metric_total", F.col("metric_value") * F.col("samples")).drop("metric_value")
 
 
 _LOG = """ log AS (SELECT event_id, user_id AS alert_id, ts, CASE event_type WHEN 'signup' THEN 'active' WHEN 'click' THEN 'acknowledged' WHEN 'view' THEN 'silenced'
