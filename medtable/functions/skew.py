@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 
 def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Newest row per key as a partial + final aggregate, no window and no sort per key."""
@@ -49,16 +51,18 @@ def sequence_within(df: DataFrame, keys: Sequence[str], coarse: str, fine: str,
                     hot_rows: int = HOT_ROWS) -> DataFrame:
     """Exact 1..n position per key in (coarse, fine, tie) order.
 
-    ``coarse`` must be a prefix of the order (the day of a time), ``tie`` a hex digest. Ordinary keys
-    are numbered by one window. Keys above ``hot_rows`` go through ``_sequence_split``; when a run has
-    none, AQE drops that branch as soon as the key counts are known.
+    ``coarse`` must be a prefix of the order (the day of a time), ``tie`` a hex digest. One pass over the
+    keys alone finds those above ``hot_rows``; their list is checkpointed, so it is known to be small.
+    Ordinary keys are numbered by one window, hot ones by ``_sequence_split``.
     """
     keys = list(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
-    hot = F.broadcast(sizes)
-    per_key = Window.partitionBy(*keys).orderBy(coarse, fine, tie)
-    cold = match(df, hot, keys, "left_anti").withColumn(out, F.row_number().over(per_key).cast("bigint"))
-    return cold.unionByName(_sequence_split(match(df, hot, keys, "left_semi"), keys, coarse, fine, tie, out))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = checkpointed(sizes.select(*keys))
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(coarse, fine, tie)).cast("bigint")
+    if hot.isEmpty():
+        return df.withColumn(out, position)
+    cold = match(df, F.broadcast(hot), keys, "left_anti").withColumn(out, position)
+    return cold.unionByName(_sequence_split(match(df, F.broadcast(hot), keys, "left_semi"), keys, coarse, fine, tie, out))
 
 
 def _sequence_split(df: DataFrame, keys: list[str], coarse: str, fine: str, tie: str, out: str) -> DataFrame:
