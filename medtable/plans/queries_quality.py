@@ -380,7 +380,7 @@ def modification_log(spark, sf):
 
 
 @query("tier_report_e14", DIRTY + """SELECT 'Encounter' AS resource_type, 'SILVER' AS tier, CAST(count(*) AS BIGINT) AS records, CAST(sum((s IS NULL OR s = 'arrived-late')::INT + (k % 5 = 0)::INT) AS BIGINT) AS modifications FROM e
- UNION ALL SELECT 'Observation', 'SILVER', count(*), sum((s IS NULL)::INT + (NOT has_code)::INT + (ln IN (3, 4))::INT) FROM o""")
+ UNION ALL SELECT 'Observation', 'SILVER', count(*), CAST(sum((s IS NULL)::INT + (NOT has_code)::INT + (ln IN (3, 4))::INT) AS BIGINT) FROM o""")
 def tier_report(spark, sf):
     return E.tier_report({k: E.to_silver(dirty_records(spark, sf, k), k) for k in ("Observation", "Encounter")})
 
