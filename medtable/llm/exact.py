@@ -120,7 +120,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     single = marks.join(twins, KEY, "left_anti").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
                                                         F.lit(True).alias("kept"), "text_sha256")
     # only here do texts move, and only those of rows that have a twin are stored
-    rest = written(arrow_map(docs, _prints(True), _MARK + ", chunks array<binary>").join(twins, KEY), "twin_texts")
+    # (twins grow with the data, so they are never broadcast, and small runs move texts as large ones do)
+    rest = written(arrow_map(docs, _prints(True), _MARK + ", chunks array<binary>").join(twins.hint("merge"), KEY), "twin_texts")
     classes, number = [], 0
     while True:
         leaders = rest.where(_best().eqNullSafe(F.col("_lead"))).dropDuplicates(KEY).select(*KEY, F.col("chunks").alias("_chunks"))
