@@ -126,7 +126,7 @@ def drops(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[Data
     shared = keyed.groupBy("key").agg(F.min(node).alias("_a"), F.max(node).alias("_b"), F.max(flag).alias("_i")).where("_a <> _b and _i = 1").select("key")
     met = keyed.join(shared, "key", "left_semi").groupBy("key", node.alias("node")).agg(F.max(flag).alias("indexed"))
     met = written(met, "met")
-    texts = long_lines.select("node", "line").join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    texts = long_lines.select("node", "line").join(met.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"])
     texts = written(texts.join(firsts, "node"), "met_lines")
     met = written(met.join(texts.select("node", "first"), "node"), "met_order")
 
@@ -175,7 +175,7 @@ def clean(docs: DataFrame) -> DataFrame:
     gone = F.col("exact") | F.col("near")
     cut = marked.groupBy("doc_id").agg(F.collect_set(F.when(gone, F.col("line_no"))).alias("_cut"), F.count_if(~gone & ~F.col("blank")).alias("_left"))
     cut = written(cut.where(F.size("_cut") > 0).withColumnRenamed("doc_id", "_id"), "cuts")
-    rows = docs.join(cut, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")), "left").where("_left is null or _left > 0")
+    rows = docs.join(cut.hint("merge"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")), "left").where("_left is null or _left > 0")
     kept = F.filter(F.split(whole_text(), "\n"), lambda line, k: ~F.array_contains("_cut", k))
     text = F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return rows.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])

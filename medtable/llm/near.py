@@ -226,7 +226,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that stay, one of each class, with all their columns."""
     stay = written(_classified(docs, threshold).where("kept").select(F.col("doc_id").alias("_id"), "_hash"), "stay")
     text = F.xxhash64(whole_text())
-    rows = docs.join(stay, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (text == F.col("_hash")))
+    rows = docs.join(stay.hint("merge"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (text == F.col("_hash")))
     # equal rows with one doc_id: the first one
     rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.lit(0))))
     return rows.where("_nth = 1").select(*[docs[c] for c in docs.columns])
@@ -251,7 +251,8 @@ def _classified(docs: DataFrame, threshold: float) -> DataFrame:
     sizes = families.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
     placed = families.join(sizes, "label").join(nodes, "node").select("node", F.col("label").alias("family"), "blocks", "doc_id", *PRINT)
     placed = written(placed.join(one.select("node", "signature"), "node"), "families")
-    texts = docs.withColumnRenamed("doc_id", "_id").join(placed, F.col("_id").eqNullSafe(F.col("doc_id"))).drop("_id", "doc_id")
+    # members grow with the data, so they are never broadcast
+    texts = docs.withColumnRenamed("doc_id", "_id").join(placed.hint("merge"), F.col("_id").eqNullSafe(F.col("doc_id"))).drop("_id", "doc_id")
     rich = arrow_map(texts.select("text", "node", "family", "blocks", "signature", *PRINT), _with_shingles,
                      "node bigint, family bigint, blocks int, signature binary, elements binary, weights binary")
     rich = rich.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
