@@ -25,15 +25,15 @@ LEAST = 40
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 0), the line without outer white space and its hash."""
+    """doc_id, line_no (from 0), the line without outer white space, its hash and its size."""
     rows = docs.select(F.col("doc_id").cast("bigint"), F.posexplode(F.split(whole_text(), "\n")).alias("line_no", "line"))
-    rows = rows.withColumn("line", F.regexp_replace("line", r"^\s+|\s+$", ""))
-    return rows.withColumn("node", F.shiftrightunsigned(F.xxhash64("line"), 1))
+    rows = rows.withColumn("line", F.btrim("line", F.lit(" \t\v\f\r")))
+    return rows.withColumn("node", F.shiftrightunsigned(F.xxhash64("line"), 1)).withColumn("size", F.length("line"))
 
 
 def segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
     """Start (from 1) and size of segment ``i`` (from 0) of a line: even parts, the longer ones last."""
-    size = F.floor(length / F.lit(edits + 1)).cast("int")
+    size = ((length - length % F.lit(edits + 1)) / F.lit(edits + 1)).cast("int")
     longer = (length % F.lit(edits + 1)).cast("int")
     first_long = F.lit(edits + 1) - longer
     start = size * F.lit(i) + F.greatest(F.lit(i) - first_long, F.lit(0)) + F.lit(1)
@@ -41,7 +41,7 @@ def segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
 
 
 def probes(line: Column, length: Column, edits: int) -> list[Column]:
-    """(key, indexed) of every substring that may match a segment of a line of this length or up to ``edits`` shorter.
+    """(key, indexed; -1: none) of every substring that may match a segment of a line of this length or up to ``edits`` shorter.
 
     The substrings at the segments' own places are the index entries of the line too.
     """
@@ -54,10 +54,26 @@ def probes(line: Column, length: Column, edits: int) -> list[Column]:
                 at = start + F.lit(shift)
                 inside = (at >= 1) & (at + size - 1 <= length)
                 key = F.xxhash64(F.lit(i), other, F.substring(line, at, size))
-                out.append(F.when(inside, F.struct(key.alias("key"), F.lit(int(less == 0 and shift == 0)).cast("bigint").alias("indexed"))))
+                tag = F.when(inside, F.lit(int(less == 0 and shift == 0))).otherwise(-1)
+                out.append(F.struct(key.alias("key"), tag.cast("bigint").alias("indexed")))
     return out
 
 
+def may_match(a: Column, b: Column, edits: int, parts: int = 8) -> Column:
+    """False only for texts that are further apart: each edit spoils at most one of the parts of ``a``, and
+    every other part stands in ``b`` at most ``edits`` places away."""
+    size = F.floor(F.length(a) / F.lit(parts)).cast("int")
+    whole = F.lit(0)
+    for k in range(parts):
+        start = size * F.lit(k) + F.lit(1)
+        found = F.lit(False)
+        for shift in range(-edits, edits + 1):
+            at = start + F.lit(shift)
+            found = found | ((at >= 1) & (F.substring(b, at, size) == F.substring(a, start, size)))
+        whole = whole + F.when(found, 1).otherwise(0)
+    return whole >= parts - edits
+
+
 def within(a: Column, b: Column, edits: int) -> Column:
     """Whether two texts are within ``edits`` edits: Hyyro's banded form of the bit-vector algorithm.
 
@@ -118,13 +134,12 @@ def drops(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[Data
     firsts = written(seen.where("not blank").groupBy("node").agg(F.min(order).alias("first")), "first_lines")
 
     # keys of substrings; a key matters if an indexed line and another line have it
-    length = F.length("line")
-    long_lines = lines.where(length >= least)
-    keyed = long_lines.select("node", F.explode(F.array(*probes(F.col("line"), length, edits))).alias("p")).where("p is not null")
+    long_lines = lines.where(F.col("size") >= least)
+    keyed = long_lines.select("node", F.explode(F.array(*probes(F.col("line"), F.col("size"), edits))).alias("p")).where("p.indexed >= 0")
     keyed = keyed.select(F.col("p.key").alias("key"), F.shiftleft("node", 1).bitwiseOR(F.col("p.indexed")).alias("tagged")).repartition("key")
     node, flag = F.shiftrightunsigned("tagged", 1), F.col("tagged").bitwiseAND(F.lit(1).cast("bigint"))
     shared = keyed.groupBy("key").agg(F.min(node).alias("_a"), F.max(node).alias("_b"), F.max(flag).alias("_i")).where("_a <> _b and _i = 1").select("key")
-    met = keyed.join(shared, "key", "left_semi").groupBy("key", node.alias("node")).agg(F.max(flag).alias("indexed"))
+    met = keyed.join(shared.hint("shuffle_hash"), "key", "left_semi").groupBy("key", node.alias("node")).agg(F.max(flag).alias("indexed"))
     met = written(met, "met")
     texts = long_lines.select("node", "line").join(met.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"])
     texts = written(texts.join(firsts, "node"), "met_lines")
@@ -135,7 +150,8 @@ def drops(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[Data
         later = texts.select(F.col("node").alias("later"), F.col("line").alias("_a"))
         earlier = texts.select(F.col("node").alias("earlier"), F.col("line").alias("_b"))
         both = pairs.distinct().join(later, "later").join(earlier, "earlier")
-        return written(both.where(within(F.col("_a"), F.col("_b"), edits)).select("later", "earlier"), "line_links")
+        possible = both.where(may_match(F.col("_a"), F.col("_b"), edits))
+        return written(possible.where(within(F.col("_a"), F.col("_b"), edits)).select("later", "earlier"), "line_links")
 
     heads = met.where("indexed = 1").groupBy("key").agg(F.min(F.struct("first", "node")).alias("head"))
     star = met.join(heads, "key").where(F.col("node") != F.col("head.node"))
