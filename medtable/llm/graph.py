@@ -1,4 +1,4 @@
-"""Connected components of a table of links, by minimum labels with shortcuts."""
+"""Connected components of a table of links, by contraction."""
 
 from __future__ import annotations
 
@@ -9,19 +9,32 @@ from .common import written
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node`` and ``label`` (the smallest node reached) for every node of ``links`` (a bigint, b bigint).
+    """``node`` and ``label`` for every node of ``links`` (a bigint, b bigint); a component's nodes share one of them as label.
 
-    Each round takes the smallest label around a node and then the label of that label, so long chains
-    close in a logarithmic number of rounds. Rounds are cut by tables in the shared folder; only the count of
-    changed labels comes to the driver.
+    In each round every node moves to the neighbour (or itself) that comes first in a new random order, and from
+    there on to that one's choice. Links inside a group then vanish and equal ones are merged, so the table
+    shrinks by a factor in every round, also for long chains. Rounds are cut by tables in the shared
+    folder; only whether links are left comes to the driver.
     """
-    both = written(links.select("a", "b").where("a <> b").union(links.select(F.col("b"), F.col("a")).where("a <> b")).distinct(), "links")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "labels")
+    links = written(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    labels, turn = None, 0
     while True:
-        around = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_near"))
-        lower = labels.join(around, "node").select("node", "label", F.least("label", "_near").alias("_low"))
-        roots = labels.select(F.col("node").alias("_low"), F.col("label").alias("_root"))
-        rounds = written(lower.join(roots, "_low", "left").select("node", F.col("label").alias("_old"), F.least("_low", "_root").alias("label")), "labels")
-        if rounds.where("label <> _old").limit(1).count() == 0:
-            return rounds.select("node", "label")
-        labels = rounds.select("node", "label")
+        both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a"))
+
+        def place(name: str):
+            return F.struct(F.xxhash64(F.lit(turn), F.col(name)).alias("at"), F.col(name).alias("node"))  # noqa: B023
+        first = both.groupBy("node").agg(F.min(place("other")).alias("_first"))
+        first = first.select("node", F.least(place("node"), F.col("_first")).getField("node").alias("to"))
+        step = first.select(F.col("node").alias("to"), F.col("to").alias("_next"))
+        moved = written(first.join(step, "to").select("node", F.col("_next").alias("to")), "moves")
+        if labels is None:
+            labels = moved.select("node", F.col("to").alias("label"))
+        else:
+            then = moved.select(F.col("node").alias("label"), F.col("to").alias("_to"))
+            labels = written(labels.join(then, "label", "left").select("node", F.coalesce("_to", "label").alias("label")), "labels")
+        left = links.join(moved.select(F.col("node").alias("a"), F.col("to").alias("_a")), "a")
+        left = left.join(moved.select(F.col("node").alias("b"), F.col("to").alias("_b")), "b").where("_a <> _b")
+        links = written(left.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "links")
+        turn += 1
+        if links.isEmpty():
+            return labels
