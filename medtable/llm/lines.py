@@ -22,6 +22,8 @@ from .registry import query
 
 EDITS = 2
 LEAST = 40
+#: Pairs that one task should verify.
+PAIRS = 1_000
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -31,47 +33,42 @@ def split_lines(docs: DataFrame) -> DataFrame:
     return rows.withColumn("node", F.shiftrightunsigned(F.xxhash64("line"), 1)).withColumn("size", F.length("line"))
 
 
-def segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 1) and size of segment ``i`` (from 0) of a line: even parts, the longer ones last."""
-    size = ((length - length % F.lit(edits + 1)) / F.lit(edits + 1)).cast("int")
-    longer = (length % F.lit(edits + 1)).cast("int")
-    first_long = F.lit(edits + 1) - longer
-    start = size * F.lit(i) + F.greatest(F.lit(i) - first_long, F.lit(0)) + F.lit(1)
-    return start, size + F.when(F.lit(i) >= first_long, 1).otherwise(0)
+def probes(line: Column, length: Column, edits: int) -> Column:
+    """Array of (key, indexed; -1: none) of every substring that may match a segment of a line of this length or up
+    to ``edits`` shorter.
 
-
-def probes(line: Column, length: Column, edits: int) -> list[Column]:
-    """(key, indexed; -1: none) of every substring that may match a segment of a line of this length or up to ``edits`` shorter.
-
-    The substrings at the segments' own places are the index entries of the line too.
+    A line is cut into even segments, the longer ones last. Segment ``i`` of a line ``less`` shorter can only match at
+    few places: its own, moved by less than what the edits before and after it allow. The substrings at the segments'
+    own places are the index entries of the line too.
     """
-    out = []
-    for less in range(edits + 1):
-        other = length - F.lit(less)
-        for i in range(edits + 1):
-            start, size = segment(other, i, edits)
-            for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                at = start + F.lit(shift)
-                inside = (at >= 1) & (at + size - 1 <= length)
-                key = F.xxhash64(F.lit(i), other, F.substring(line, at, size))
-                tag = F.when(inside, F.lit(int(less == 0 and shift == 0))).otherwise(-1)
-                out.append(F.struct(key.alias("key"), tag.cast("bigint").alias("indexed")))
-    return out
+    plan = [(i, less, shift) for less in range(edits + 1) for i in range(edits + 1)
+            for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)]
+    places = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(less).alias("less"), F.lit(shift).alias("shift")) for i, less, shift in plan])
+
+    def one(p: Column) -> Column:
+        other = length - p["less"]
+        longer = other % F.lit(edits + 1)
+        size = ((other - longer) / F.lit(edits + 1)).cast("int")
+        beyond = p["i"] - (F.lit(edits + 1) - longer)  # how many longer segments stand before, from 0 on
+        start = size * p["i"] + F.greatest(beyond, F.lit(0)) + F.lit(1) + p["shift"]
+        whole = size + (beyond >= 0).cast("int")
+        key = F.xxhash64(p["i"], other, F.substring(line, start, whole))
+        own = (p["less"] == 0) & (p["shift"] == 0)
+        inside = (start >= 1) & (start + whole - 1 <= length)
+        return F.struct(key.alias("key"), F.when(inside, own.cast("bigint")).otherwise(F.lit(-1).cast("bigint")).alias("indexed"))
+    return F.transform(places, one)  # a loop: unrolled, the generated method is too long to be compiled
 
 
 def may_match(a: Column, b: Column, edits: int, parts: int = 8) -> Column:
     """False only for texts that are further apart: each edit spoils at most one of the parts of ``a``, and
     every other part stands in ``b`` at most ``edits`` places away."""
     size = F.floor(F.length(a) / F.lit(parts)).cast("int")
-    whole = F.lit(0)
-    for k in range(parts):
-        start = size * F.lit(k) + F.lit(1)
-        found = F.lit(False)
-        for shift in range(-edits, edits + 1):
-            at = start + F.lit(shift)
-            found = found | ((at >= 1) & (F.substring(b, at, size) == F.substring(a, start, size)))
-        whole = whole + F.when(found, 1).otherwise(0)
-    return whole >= parts - edits
+
+    def stands(k: Column) -> Column:
+        start = size * k + F.lit(1)
+        return F.exists(F.array(*[F.lit(x) for x in range(-edits, edits + 1)]),
+                        lambda s: (start + s >= 1) & (F.substring(b, start + s, size) == F.substring(a, start, size)))
+    return F.size(F.filter(F.array(*[F.lit(k) for k in range(parts)]), stands)) >= parts - edits
 
 
 def within(a: Column, b: Column, edits: int) -> Column:
@@ -80,10 +77,16 @@ def within(a: Column, b: Column, edits: int) -> Column:
     Bit k of the vectors stands for row j - edits + k of column j; the band has 2 * edits + 1 rows. The distance is
     followed along the lowest diagonal of the band and then along the last row.
     """
+    # the characters are bound to a variable, or they would be split anew for each look at one
+    chars = F.struct(F.split(a, "").alias("rows"), F.split(b, "").alias("columns"), F.length(a).alias("m"), F.length(b).alias("n"))
+    m, n = F.length(a), F.length(b)
+    near = F.element_at(F.transform(F.array(chars), lambda t: _distance(t["rows"], t["columns"], t["m"], t["n"], edits) <= edits), 1)
+    return F.when(F.abs(m - n) > edits, False).when((m == 0) | (n == 0), F.greatest(m, n) <= edits).otherwise(near)
+
+
+def _distance(rows: Column, columns: Column, m: Column, n: Column, edits: int) -> Column:
     width = 2 * edits + 1
     full, low = (1 << width) - 1, 1 << (width - 1)
-    rows, columns = F.split(a, ""), F.split(b, "")
-    m, n = F.length(a), F.length(b)
 
     def long(x: int) -> Column:
         return F.lit(x).cast("bigint")
@@ -119,8 +122,7 @@ def within(a: Column, b: Column, edits: int) -> Column:
         return F.element_at(chain, 1)
 
     start = F.struct(long(full & ~((1 << edits) - 1)).alias("vp"), long(0).alias("vn"), F.lit(edits).alias("d"))
-    walked = F.aggregate(F.sequence(F.lit(0), n - 1), start, step, lambda acc: acc["d"])
-    return F.when(F.abs(m - n) > edits, False).when((m == 0) | (n == 0), F.greatest(m, n) <= edits).otherwise(walked <= edits)
+    return F.aggregate(F.sequence(F.lit(0), n - 1), start, step, lambda acc: acc["d"])
 
 
 def drops(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -135,7 +137,8 @@ def drops(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[Data
 
     # keys of substrings; a key matters if an indexed line and another line have it
     long_lines = lines.where(F.col("size") >= least)
-    keyed = long_lines.select("node", F.explode(F.array(*probes(F.col("line"), F.col("size"), edits))).alias("p")).where("p.indexed >= 0")
+    keyed = long_lines.select("node", probes(F.col("line"), F.col("size"), edits).alias("_probes"))
+    keyed = keyed.select("node", F.explode("_probes").alias("p")).where("p.indexed >= 0")
     keyed = keyed.select(F.col("p.key").alias("key"), F.shiftleft("node", 1).bitwiseOR(F.col("p.indexed")).alias("tagged")).repartition("key")
     node, flag = F.shiftrightunsigned("tagged", 1), F.col("tagged").bitwiseAND(F.lit(1).cast("bigint"))
     shared = keyed.groupBy("key").agg(F.min(node).alias("_a"), F.max(node).alias("_b"), F.max(flag).alias("_i")).where("_a <> _b and _i = 1").select("key")
@@ -149,7 +152,9 @@ def drops(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[Data
         """Links among pairs (later, earlier)."""
         later = texts.select(F.col("node").alias("later"), F.col("line").alias("_a"))
         earlier = texts.select(F.col("node").alias("earlier"), F.col("line").alias("_b"))
-        both = pairs.distinct().join(later, "later").join(earlier, "earlier")
+        pairs = written(pairs.distinct(), "line_pairs")
+        # verification is work for all cores, though the pairs take few bytes
+        both = pairs.join(later, "later").join(earlier, "earlier").repartition(max(1, -(-pairs.count() // PAIRS)), "later", "earlier")
         possible = both.where(may_match(F.col("_a"), F.col("_b"), edits))
         return written(possible.where(within(F.col("_a"), F.col("_b"), edits)).select("later", "earlier"), "line_links")
 
