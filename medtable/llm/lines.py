@@ -121,7 +121,7 @@ def _distance(rows: Column, columns: Column, m: Column, n: Column, edits: int) -
             chain = F.transform(chain, f)
         return F.element_at(chain, 1)
 
-    start = F.struct(long(full & ~((1 << edits) - 1)).alias("vp"), long(0).alias("vn"), F.lit(edits).alias("d"))
+    start = F.struct(long(full & ~((1 << edits) - 1)).alias("vp"), long(0).alias("vn"), F.least(m, F.lit(edits)).alias("d"))
     return F.aggregate(F.sequence(F.lit(0), n - 1), start, step, lambda acc: acc["d"])
 
 
