@@ -138,19 +138,21 @@ HEALTH_VITALS = ["8867-4", "8480-6", "8462-4", "8310-5", "8302-2", "8287-5", "82
 def health_summary(patient: DataFrame, observation: DataFrame, condition: DataFrame, encounter: DataFrame, as_of: str) -> DataFrame:
     """Newest vital and lab per name, active conditions, encounter counts, newest encounter.
 
-    Maps are keyed by code names, a bounded vocabulary. The detail rows of active conditions are a
+    Maps are keyed by code names, a bounded vocabulary; of several codes with one name the newest value
+    wins, and rows without a name or class count as "Unknown". The detail rows of active conditions are a
     separate, chunked table.
     """
-    rows = observation.where("value IS NOT NULL")
-    newest = latest_per(rows, ["patient_id", "code_code", "code_display"], ["issued_datetime", "observation_id"], ["value", "unit", "issued_datetime"])
-    entry = F.struct("code_display", F.struct("value", "unit", F.col("issued_datetime").alias("date")))
-    is_vital = F.col("code_code").isin(HEALTH_VITALS)
+    rows = observation.where("value IS NOT NULL").withColumns({
+        "_name": F.coalesce("code_display", F.lit("Unknown")), "_vital": F.coalesce(F.col("code_code").isin(HEALTH_VITALS), F.lit(False))})
+    newest = latest_per(rows, ["patient_id", "_vital", "_name"], ["issued_datetime", "observation_id"], ["value", "unit", "issued_datetime"])
+    entry = F.struct("_name", F.struct("value", "unit", F.col("issued_datetime").alias("date")))
+    is_vital = F.col("_vital")
     obs = newest.groupBy("patient_id").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.when(is_vital, entry)))).alias("vital_signs"),
         F.map_from_entries(F.array_sort(F.collect_list(F.when(~is_vital, entry)))).alias("lab_results"))
     active = condition.where("clinical_status = 'active'").groupBy("patient_id", "code_display").agg(F.count(F.lit(1)).alias("_n"))
     conditions = active.groupBy("patient_id").agg(F.array_sort(F.collect_list("code_display")).alias("conditions"), F.sum("_n").alias("active_condition_count"))
-    by_type = encounter.groupBy("patient_id", "class_code").agg(
+    by_type = encounter.withColumn("class_code", F.coalesce("class_code", F.lit("Unknown"))).groupBy("patient_id", "class_code").agg(
         F.count(F.lit(1)).alias("_n"), F.max_by(F.struct("class_code", "start_datetime", "reason_display"), F.struct("start_datetime", "encounter_id")).alias("_last"),
         F.max(F.struct("start_datetime", "encounter_id")).alias("_at"))
     encounters = by_type.groupBy("patient_id").agg(

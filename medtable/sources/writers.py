@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..functions.skew import match
 from ..operators.projections import flatten_first
 from ..session import scratch_dir
 from .readers import exists
@@ -62,11 +63,11 @@ def _commit(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
 def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Update matched keys, insert the others, as a new committed version.
 
-    ``source`` has one row per key. A reader sees the old version until the new one is complete, and a
+    ``source`` has one row per key; null keys match each other. A reader sees the old version until the new one is complete, and a
     job that dies half-way leaves the old one in place. Single writer.
     """
     target = read_version(spark, path)
-    merged = source if target is None else target.join(source.select(*keys).distinct(), list(keys), "left_anti").unionByName(source, allowMissingColumns=True)
+    merged = source if target is None else match(target, source.select(*keys).distinct(), list(keys), "left_anti").unionByName(source, allowMissingColumns=True)
     return _commit(spark, path, merged)
 
 

@@ -7,6 +7,7 @@ import decimal
 import math
 import os
 import sys
+import tempfile
 import time
 import traceback
 
@@ -59,7 +60,8 @@ def connect(sf_dir):
 def session(cpus="8"):
     from pyspark.sql import SparkSession
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("medtable").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-             .config("spark.driver.memory", "12g").config("spark.sql.shuffle.partitions", "8").getOrCreate())
+             .config("spark.driver.memory", "12g").config("spark.sql.shuffle.partitions", "8")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="medtable-tests-")).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

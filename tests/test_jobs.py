@@ -82,3 +82,25 @@ def test_hash_sample_is_repeatable(spark):
     a = S.hash_sample(df, ["id"], 30)
     assert 200 < a.count() < 400 and a.count() == S.hash_sample(df.repartition(7), ["id"], 30).count()
     assert S.hash_sample(df, ["id"], 30, invert=True).count() == 1000 - a.count()
+
+
+def test_upsert_of_a_null_key_replaces_it(spark, tmp_path):
+    from medtable.sources import writers
+
+    path = str(tmp_path / "table")
+    for value in (1, 2):
+        out = writers.upsert(spark, path, spark.createDataFrame([(None, value), ("a", value)], "k string, v int"), ["k"])
+    assert sorted((r.k or "", r.v) for r in out.collect()) == [("", 2), ("a", 2)]
+
+
+def test_health_summary_of_shared_and_missing_names(spark):
+    from medtable.operators.aggregates import health_summary
+
+    patient = spark.createDataFrame([("p", "n", "male", "1980-01-01")], "patient_id string, name_text string, gender string, birth_date string")
+    patient = patient.withColumn("birth_date", patient.birth_date.cast("date"))
+    seen = [("p", "o1", "c1", "Glucose", 1.0, "u", "2024-01-01"), ("p", "o2", "c2", "Glucose", 2.0, "u", "2024-01-02"), ("p", "o3", None, None, 3.0, "u", "2024-01-03")]
+    observation = spark.createDataFrame(seen, "patient_id string, observation_id string, code_code string, code_display string, value double, unit string, issued_datetime string")
+    condition = spark.createDataFrame([], "patient_id string, clinical_status string, code_display string")
+    encounter = spark.createDataFrame([("p", "e", None, "2024-01-01", "r")], "patient_id string, encounter_id string, class_code string, start_datetime string, reason_display string")
+    row = health_summary(patient, observation, condition, encounter, "2024-06-01").collect()[0]
+    assert {k: v["value"] for k, v in row.lab_results.items()} == {"Glucose": 2.0, "Unknown": 3.0} and row.encounters_by_type == {"Unknown": 1}
