@@ -47,7 +47,11 @@ _LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)
 
 def plain_text(page: str) -> str:
     """Visible text: a line for each block, single spaces, character references resolved."""
-    page = _HIDDEN.sub(" ", _COMMENT.sub("", page))
+    return _visible(_COMMENT.sub("", page))
+
+
+def _visible(page: str) -> str:
+    page = _HIDDEN.sub(" ", page)
     page = _TAG.sub("", _BLOCK.sub("\n", page))
     text = _SPACES.sub(" ", html.unescape(page).replace("\r", "\n"))
     return _LINES.sub("\n", text).strip()
@@ -97,7 +101,7 @@ def _derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fields = [("title", html.unescape(title)), ("languages-cld", lang), ("charset", charset),
                       *(("source-header", h) for h in r["headers"].split("\r\n") if h), *(("outlink", x) for x in _links(visible))]
             meta = "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in fields if v).encode()
-            for kind, content_type, block in (("metadata", "application/warc-fields", meta), ("conversion", "text/plain; charset=utf-8", plain_text(page).encode())):
+            for kind, content_type, block in (("metadata", "application/warc-fields", meta), ("conversion", "text/plain; charset=utf-8", _visible(visible).encode())):
                 own = record_id(kind, source)
                 head = [("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Refers-To", source), ("WARC-Target-URI", r["target_uri"]), ("WARC-Date", r["warc_date"]),
                         ("WARC-Refers-To-Target-URI", r["target_uri"]), ("WARC-Refers-To-Date", r["warc_date"]), ("WARC-Source-Payload-Digest", payload),
