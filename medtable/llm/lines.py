@@ -59,6 +59,12 @@ def probes(line: Column, length: Column, edits: int) -> Column:
     return F.transform(places, one)  # a loop: unrolled, the generated method is too long to be compiled
 
 
+def line_probes(line: Column, edits: int) -> Column:
+    """``probes`` with the line bound to a variable, or it would be cut and trimmed anew for each substring."""
+    bound = F.array(F.struct(line.alias("line"), F.length(line).alias("size")))
+    return F.element_at(F.transform(bound, lambda t: probes(t["line"], t["size"], edits)), 1)
+
+
 def may_match(a: Column, b: Column, edits: int, parts: int = 8) -> Column:
     """False only for texts that are further apart: each edit spoils at most one of the parts of ``a``, and
     every other part stands in ``b`` at most ``edits`` places away."""
@@ -137,7 +143,7 @@ def drops(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[Data
 
     # keys of substrings; a key matters if an indexed line and another line have it
     long_lines = lines.where(F.col("size") >= least)
-    keyed = long_lines.select("node", probes(F.col("line"), F.col("size"), edits).alias("_probes"))
+    keyed = long_lines.select("node", line_probes(F.col("line"), edits).alias("_probes"))
     keyed = keyed.select("node", F.explode("_probes").alias("p")).where("p.indexed >= 0")
     keyed = keyed.select(F.col("p.key").alias("key"), F.shiftleft("node", 1).bitwiseOR(F.col("p.indexed")).alias("tagged")).repartition("key")
     node, flag = F.shiftrightunsigned("tagged", 1), F.col("tagged").bitwiseAND(F.lit(1).cast("bigint"))
