@@ -144,11 +144,13 @@ def drops(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[Data
     # keys of substrings; a key matters if an indexed line and another line have it
     long_lines = lines.where(F.col("size") >= least)
     keyed = long_lines.select("node", line_probes(F.col("line"), edits).alias("_probes"))
-    keyed = keyed.select("node", F.explode("_probes").alias("p")).where("p.indexed >= 0")
+    # outer, as Spark would test the size of each array first and make all substrings for that too
+    keyed = keyed.select("node", F.explode_outer("_probes").alias("p")).where("p.indexed >= 0")
     keyed = keyed.select(F.col("p.key").alias("key"), F.shiftleft("node", 1).bitwiseOR(F.col("p.indexed")).alias("tagged")).repartition("key")
     node, flag = F.shiftrightunsigned("tagged", 1), F.col("tagged").bitwiseAND(F.lit(1).cast("bigint"))
     shared = keyed.groupBy("key").agg(F.min(node).alias("_a"), F.max(node).alias("_b"), F.max(flag).alias("_i")).where("_a <> _b and _i = 1").select("key")
-    met = keyed.join(shared.hint("shuffle_hash"), "key", "left_semi").groupBy("key", node.alias("node")).agg(F.max(flag).alias("indexed"))
+    # an inner join, as keys of ``shared`` are distinct: a semi join would move below the shuffle that both sides share
+    met = keyed.join(shared.hint("shuffle_hash"), "key").groupBy("key", node.alias("node")).agg(F.max(flag).alias("indexed"))
     met = written(met, "met")
     texts = long_lines.select("node", "line").join(met.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"])
     texts = written(texts.join(firsts, "node"), "met_lines")
