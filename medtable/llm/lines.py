@@ -22,6 +22,8 @@ from .registry import query
 
 EDITS = 2
 LEAST = 40
+#: Characters that are counted to tell lines apart before their texts are compared.
+TALLIED = "etaoinshrdlucmfwygpb"
 #: Pairs that one task should verify.
 PAIRS = 1_000
 
@@ -33,36 +35,40 @@ def split_lines(docs: DataFrame) -> DataFrame:
     return rows.withColumn("node", F.shiftrightunsigned(F.xxhash64("line"), 1)).withColumn("size", F.length("line"))
 
 
-def probes(line: Column, length: Column, edits: int) -> Column:
-    """Array of (key, indexed; -1: none) of every substring that may match a segment of a line of this length or up
-    to ``edits`` shorter.
+def probes(lines: DataFrame, edits: int) -> DataFrame:
+    """(node, key, indexed) for every substring of a line that may match a segment of a line of its length or up to
+    ``edits`` shorter; the substrings at the segments' own places are the line's entries in the index (``indexed`` 1).
 
     A line is cut into even segments, the longer ones last. Segment ``i`` of a line ``less`` shorter can only match at
-    few places: its own, moved by less than what the edits before and after it allow. The substrings at the segments'
-    own places are the index entries of the line too.
+    few places: its own, moved by less than what the edits before and after it allow. Each place is a row of its own,
+    so that the substring is made by compiled code.
     """
     plan = [(i, less, shift) for less in range(edits + 1) for i in range(edits + 1)
             for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)]
     places = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(less).alias("less"), F.lit(shift).alias("shift")) for i, less, shift in plan])
+    rows = lines.select("node", "line", "size", F.explode(places).alias("p"))
+    part, other = F.col("p.i"), F.col("size") - F.col("p.less")
+    longer = other % F.lit(edits + 1)
+    size = ((other - longer) / F.lit(edits + 1)).cast("int")
+    beyond = part - (F.lit(edits + 1) - longer)  # how many longer segments stand before, from 0 on
+    start = size * part + F.greatest(beyond, F.lit(0)) + F.lit(1) + F.col("p.shift")
+    whole = size + (beyond >= 0).cast("int")
+    own = (F.col("p.less") == 0) & (F.col("p.shift") == 0)
+    inside = (start >= 1) & (start + whole - 1 <= F.col("size"))
+    return rows.where(inside).select("node", F.xxhash64(part, other, F.substring("line", start, whole)).alias("key"), own.cast("bigint").alias("indexed"))
 
-    def one(p: Column) -> Column:
-        other = length - p["less"]
-        longer = other % F.lit(edits + 1)
-        size = ((other - longer) / F.lit(edits + 1)).cast("int")
-        beyond = p["i"] - (F.lit(edits + 1) - longer)  # how many longer segments stand before, from 0 on
-        start = size * p["i"] + F.greatest(beyond, F.lit(0)) + F.lit(1) + p["shift"]
-        whole = size + (beyond >= 0).cast("int")
-        key = F.xxhash64(p["i"], other, F.substring(line, start, whole))
-        own = (p["less"] == 0) & (p["shift"] == 0)
-        inside = (start >= 1) & (start + whole - 1 <= length)
-        return F.struct(key.alias("key"), F.when(inside, own.cast("bigint")).otherwise(F.lit(-1).cast("bigint")).alias("indexed"))
-    return F.transform(places, one)  # a loop: unrolled, the generated method is too long to be compiled
 
+def tally(line: Column) -> list[Column]:
+    """How often the line has each character of ``TALLIED``, modulo 64, in bigints of ten counts."""
+    counts = [((F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))) % 64).cast("bigint") for c in TALLIED]
+    return [sum((F.shiftleft(c, 6 * k) for k, c in enumerate(counts[a:a + 10])), F.lit(0).cast("bigint")) for a in range(0, len(TALLIED), 10)]
 
-def line_probes(line: Column, edits: int) -> Column:
-    """``probes`` with the line bound to a variable, or it would be cut and trimmed anew for each substring."""
-    bound = F.array(F.struct(line.alias("line"), F.length(line).alias("size")))
-    return F.element_at(F.transform(bound, lambda t: probes(t["line"], t["size"], edits)), 1)
+
+def tallies_near(a: list[Column], b: list[Column], edits: int) -> Column:
+    """False only for lines that are further apart: an edit changes the counts of two characters at most, by one each."""
+    mask = F.lit(63).cast("bigint")
+    apart = [F.abs(F.shiftrightunsigned(x, 6 * k).bitwiseAND(mask) - F.shiftrightunsigned(y, 6 * k).bitwiseAND(mask)) for x, y in zip(a, b) for k in range(10)]
+    return sum((F.least(d, F.lit(64) - d) for d in apart), F.lit(0).cast("bigint")) <= 2 * edits
 
 
 def may_match(a: Column, b: Column, edits: int, parts: int = 8) -> Column:
@@ -83,11 +89,34 @@ def within(a: Column, b: Column, edits: int) -> Column:
     Bit k of the vectors stands for row j - edits + k of column j; the band has 2 * edits + 1 rows. The distance is
     followed along the lowest diagonal of the band and then along the last row.
     """
-    # the characters are bound to a variable, or they would be split anew for each look at one
-    chars = F.struct(F.split(a, "").alias("rows"), F.split(b, "").alias("columns"), F.length(a).alias("m"), F.length(b).alias("n"))
-    m, n = F.length(a), F.length(b)
-    near = F.element_at(F.transform(F.array(chars), lambda t: _distance(t["rows"], t["columns"], t["m"], t["n"], edits) <= edits), 1)
-    return F.when(F.abs(m - n) > edits, False).when((m == 0) | (n == 0), F.greatest(m, n) <= edits).otherwise(near)
+    # values are bound to variables, or they would be made anew for each look at one
+    def bound(t: Column, then) -> Column:
+        return F.element_at(F.transform(F.array(t), then), 1)
+
+    def both(c: Column, f) -> Column:
+        return F.struct(f(c["a"]).alias("a"), f(c["b"]).alias("b"))
+
+    def shared(x: Column, y: Column, place) -> Column:
+        """Length of the common start or end (up to 8,191), by halved steps."""
+        most = F.least(F.length(x), F.length(y))
+        return F.aggregate(F.array(*[F.lit(1 << k) for k in range(12, -1, -1)]), F.lit(0), lambda p, step: F.when(
+            (p + step <= most) & (F.substring(x, place(x, p, step), step) == F.substring(y, place(y, p, step), step)), p + step).otherwise(p))
+
+    def apart(t: Column) -> Column:
+        m, n = F.length(t["a"]), F.length(t["b"])
+        chars = F.struct(F.split(t["a"], "").alias("rows"), F.split(t["b"], "").alias("columns"), m.alias("m"), n.alias("n"))
+        near = bound(chars, lambda c: _distance(c["rows"], c["columns"], c["m"], c["n"], edits) <= edits)
+        return F.when((m == 0) | (n == 0), F.greatest(m, n) <= edits).otherwise(near)
+
+    def ends(t: Column) -> Column:
+        a, b = t["a"], t["b"]
+        cut = F.struct(a.alias("a"), b.alias("b"), shared(a, b, lambda x, p, step: F.length(x) - p - step + 1).alias("q"))
+        return bound(cut, lambda c: bound(both(c, lambda x: F.substring(x, F.lit(1), F.length(x) - c["q"])), apart))
+
+    # what both start or end with does not change the distance
+    starts = F.struct(a.alias("a"), b.alias("b"), shared(a, b, lambda x, p, step: p + 1).alias("p"))
+    near = bound(starts, lambda c: bound(both(c, lambda x: F.substring(x, c["p"] + 1, F.length(x))), ends))
+    return F.when(F.abs(F.length(a) - F.length(b)) > edits, False).otherwise(near)
 
 
 def _distance(rows: Column, columns: Column, m: Column, n: Column, edits: int) -> Column:
@@ -143,39 +172,40 @@ def drops(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[Data
 
     # keys of substrings; a key matters if an indexed line and another line have it
     long_lines = lines.where(F.col("size") >= least)
-    keyed = long_lines.select("node", line_probes(F.col("line"), edits).alias("_probes"))
-    # outer, as Spark would test the size of each array first and make all substrings for that too
-    keyed = keyed.select("node", F.explode_outer("_probes").alias("p")).where("p.indexed >= 0")
-    keyed = keyed.select(F.col("p.key").alias("key"), F.shiftleft("node", 1).bitwiseOR(F.col("p.indexed")).alias("tagged")).repartition("key")
+    keyed = probes(long_lines, edits).select("key", F.shiftleft("node", 1).bitwiseOR(F.col("indexed")).alias("tagged")).repartition("key")
     node, flag = F.shiftrightunsigned("tagged", 1), F.col("tagged").bitwiseAND(F.lit(1).cast("bigint"))
     shared = keyed.groupBy("key").agg(F.min(node).alias("_a"), F.max(node).alias("_b"), F.max(flag).alias("_i")).where("_a <> _b and _i = 1").select("key")
     # an inner join, as keys of ``shared`` are distinct: a semi join would move below the shuffle that both sides share
     met = keyed.join(shared.hint("shuffle_hash"), "key").groupBy("key", node.alias("node")).agg(F.max(flag).alias("indexed"))
     met = written(met, "met")
     texts = long_lines.select("node", "line").join(met.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"])
-    texts = written(texts.join(firsts, "node"), "met_lines")
-    met = written(met.join(texts.select("node", "first"), "node"), "met_order")
+    counts = [c.alias(f"t{k}") for k, c in enumerate(tally(F.col("line")))]
+    names = [f"t{k}" for k in range(len(counts))]
+    texts = written(texts.join(firsts, "node").select("*", *counts), "met_lines")
+    met = written(met.join(texts.select("node", "first", *names), "node"), "met_order")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Links among pairs (later, earlier)."""
         later = texts.select(F.col("node").alias("later"), F.col("line").alias("_a"))
         earlier = texts.select(F.col("node").alias("earlier"), F.col("line").alias("_b"))
         pairs = written(pairs.distinct(), "line_pairs")
-        # verification is work for all cores, though the pairs take few bytes
+        # verification is work for all cores, though the pairs take few bytes; as a generated column it is done after
+        # they are dealt out, where a filter would move into the join
         both = pairs.join(later, "later").join(earlier, "earlier").repartition(max(1, -(-pairs.count() // PAIRS)), "later", "earlier")
-        possible = both.where(may_match(F.col("_a"), F.col("_b"), edits))
-        return written(possible.where(within(F.col("_a"), F.col("_b"), edits)).select("later", "earlier"), "line_links")
+        near = may_match(F.col("_a"), F.col("_b"), edits) & within(F.col("_a"), F.col("_b"), edits)
+        return written(both.select("later", "earlier", F.explode_outer(F.array(near)).alias("_near")).where("_near").select("later", "earlier"), "line_links")
 
-    heads = met.where("indexed = 1").groupBy("key").agg(F.min(F.struct("first", "node")).alias("head"))
-    star = met.join(heads, "key").where(F.col("node") != F.col("head.node"))
+    heads = met.where("indexed = 1").groupBy("key").agg(F.min(F.struct("first", "node", *names)).alias("head"))
+    star = met.join(heads, "key").where((F.col("node") != F.col("head.node")) & tallies_near([F.col(x) for x in names], [F.col(f"head.{x}") for x in names], edits))
     swap = F.col("first") < F.col("head.first")
     one = verified(star.select(F.when(swap, F.col("head.node")).otherwise(F.col("node")).alias("later"), F.when(swap, F.col("node")).otherwise(F.col("head.node")).alias("earlier")))
     gone = one.select(F.col("later").alias("node")).distinct()
-    rest = met.join(gone, "node", "left_anti").select("key", F.col("node").alias("later"), F.col("indexed").alias("_i"), F.col("first").alias("_f"))
-    others = met.select("key", F.col("node").alias("earlier"), F.col("indexed").alias("_j"), F.col("first").alias("_g"))
+    rest = met.join(gone, "node", "left_anti").select("key", F.col("node").alias("later"), F.col("indexed").alias("_i"), F.col("first").alias("_f"), *[F.col(x).alias(f"_f{x}") for x in names])
+    others = met.select("key", F.col("node").alias("earlier"), F.col("indexed").alias("_j"), F.col("first").alias("_g"), *[F.col(x).alias(f"_g{x}") for x in names])
     # the head of a key has met all lines of the key already
     others = others.join(heads.select("key", F.col("head.node").alias("_head")), "key")
-    pairs = rest.join(others, "key").where("_g < _f and later <> _head and earlier <> _head and (_i = 1 or _j = 1)").select("later", "earlier")
+    alike = tallies_near([F.col(f"_f{x}") for x in names], [F.col(f"_g{x}") for x in names], edits)
+    pairs = rest.join(others, "key").where("_g < _f and later <> _head and earlier <> _head and (_i = 1 or _j = 1)").where(alike).select("later", "earlier")
     links = one.union(verified(pairs))
 
     near = links.select(F.col("later").alias("node")).distinct().withColumn("near", F.lit(True))
