@@ -58,15 +58,19 @@ def pull(spark: SparkSession, source: str, schema: T.StructType, bronze: str, cu
     """Append rows after the high-water mark to bronze by ingest date, then store the new mark.
 
     Rows at or before the mark are skipped, as the incremental pull does; ``allow_late`` widens that.
-    The batch id is part of the partition and its files are replaced on a retry, so a batch that is run
-    again after a failure leaves one copy.
+    The batch id is part of the partition and its files are replaced on a retry. A batch that is run again
+    on a later day keeps the date it was first stored under, so it leaves one copy.
     """
+    stored = "ingest_date date, batch_id int"
+
     def each(batch: DataFrame, batch_id: int) -> None:
         mark = read_cursor(spark, cursor, kind) - F.expr(f"INTERVAL {allow_late}")
         fresh = batch.where(F.col(ts) > mark)
-        out = fresh.withColumns({"ingest_date": F.lit(as_of).cast("date"), "batch_id": F.lit(batch_id)})
+        earlier = spark.read.schema(stored).parquet(bronze).where(F.col("batch_id") == batch_id).agg(F.min("ingest_date")).first()[0] if K.exists(spark, bronze) else None
+        day = F.lit(earlier or as_of).cast("date")
+        out = fresh.withColumns({"ingest_date": day, "batch_id": F.lit(batch_id)})
         K.write_partitioned(out, bronze, "ingest_date", "batch_id")
-        update_cursor(spark, cursor, spark.read.schema(out.schema).parquet(bronze).where(F.col("batch_id") == batch_id).where(F.col("ingest_date") == F.lit(as_of).cast("date")), ts, kind, as_of)
+        update_cursor(spark, cursor, spark.read.schema(out.schema).parquet(bronze).where(F.col("batch_id") == batch_id).where(F.col("ingest_date") == day), ts, kind, as_of)
 
     run_batches(file_stream(spark, source, schema), checkpoint, each)
 

@@ -77,6 +77,24 @@ def test_pull_restarts_where_it_stopped(spark):
     assert row["resource_type"] == "Event" and str(row["last_updated"])[:10] == "2024-01-06"
 
 
+def test_pull_retried_on_another_day(spark, monkeypatch):
+    """A batch that fails between the table and the mark is stored once, under its first date."""
+    where = scratch_dir(spark, "t")
+    rows = spark.range(5).select("id", F.lit("2024-01-03").cast("timestamp").alias("ts"))
+    rows.write.parquet(f"{where}/in")
+
+    def run(day):
+        I.pull(spark, f"{where}/in", rows.schema, f"{where}/bronze", f"{where}/cursor", f"{where}/ckpt", "ts", "Event", day)
+
+    with monkeypatch.context() as m:
+        m.setattr(I, "update_cursor", lambda *_: 1 / 0)
+        with pytest.raises(Exception):
+            run("2024-02-01")
+    run("2024-02-02")
+    got = spark.read.parquet(f"{where}/bronze").collect()
+    assert sorted(r["id"] for r in got) == [0, 1, 2, 3, 4] and {str(r["ingest_date"]) for r in got} == {"2024-02-01"}
+
+
 def test_hash_sample_is_repeatable(spark):
     df = spark.range(1000)
     a = S.hash_sample(df, ["id"], 30)
