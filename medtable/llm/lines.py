@@ -4,7 +4,8 @@ A line is dropped if the same line, or one within ``EDITS`` edits of it, comes e
 (doc_id, line number), null ids last. For near lines, every line of at least ``LEAST`` code points is cut into
 ``EDITS`` + 1 segments. A line within that distance leaves one segment whole, so each line probes an index of
 (segment number, line length, segment) with those of its substrings that can match, for its own length and the
-lengths down to ``EDITS`` less. Pairs that meet are verified by a banded bit-parallel edit distance.
+lengths down to ``EDITS`` less. Lines that meet become a pair unless their character counts are too far apart, and
+pairs are verified by a banded bit-parallel edit distance of what is left without their shared ends.
 
 A key shared by many lines does not make all their pairs: all its lines first meet the earliest indexed one,
 and only lines that are not dropped by that meet the others. Lines are compared without outer white
