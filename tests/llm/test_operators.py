@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from medtable.llm import ann, bpe, catalog, chat, exact, graph, lines, lm, near, packing, toxicity, warc, words
 
@@ -233,6 +234,16 @@ def test_line_edit_join(spark):
     assert cleaned.columns == frame(spark, rows).columns
 
 
+def test_tallies_lose_no_pair(spark):
+    """Lines within two edits always pass, also where a count goes over 64."""
+    base = ["e" * 64 + "tail", "e" * 63 + "tails of it", "the quick brown fox " * 8, "ä" * 50]
+    pairs = [(x, y) for x in base for y in (x, x[1:], x + "et", x[:5] + "zz" + x[7:], "e" + x, x[:-2], "q" + x[1:-1] + "t")]
+    df = spark.createDataFrame(pairs + [(base[0], base[2])], "a STRING, b STRING")
+    near = lines.tallies_near(lines.tally(df.a), lines.tally(df.b), 2)
+    got = df.select("a", "b", F.levenshtein("a", "b").alias("d"), near.alias("n")).collect()
+    assert all(r.n for r in got if r.d <= 2) and not all(r.n for r in got)
+
+
 def test_within_equals_the_distance(spark):
     random.seed(2)
     pairs = []
