@@ -13,7 +13,8 @@ is then computed from the shingles, and links of 0.8 or more join texts into cla
 Texts of equal weighted shingles are one node from the start, so a large group of copies costs one node.
 Proposed groups are worked off in pairs of blocks of bounded size; a block task returns a spanning forest of
 its links, not all of them, and skips what its links have joined. Null texts are empty, and empty texts
-are equal to each other. Rows may share a doc_id; the keeper is then one of the rows with it.
+are equal to each other. Rows may share a doc_id, and ids may be null: a class is told by its ``class_key``, the
+smallest fingerprint in it, and keeps one row, of the smallest id if it has any.
 """
 
 from __future__ import annotations
@@ -218,7 +219,10 @@ def _links(threshold: float):
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest doc_id of its class), class_size and kept."""
+    """One row per document: doc_id, class_id (smallest doc_id of its class), class_size, kept and class_key.
+
+    Classes without ids, or with one repeated id, share a class_id; their class_key is their own.
+    """
     return _classified(docs, threshold).drop("_hash")
 
 
@@ -263,13 +267,14 @@ def _classified(docs: DataFrame, threshold: float) -> DataFrame:
 
     joined = components(links)
     named = nodes.join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    sums = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    by_print = named.join(sums, "label").select(*PRINT, "class_id", "class_size")
+    sums = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"), F.min(F.struct(*PRINT)).alias("_least"))
+    key = F.concat(*[F.lpad(F.lower(F.hex(F.col(f"_least.{p}"))), 16, "0") for p in PRINT])
+    by_print = named.join(sums, "label").select(*PRINT, "class_id", "class_size", key.alias("class_key"))
     rows = sketched.select("doc_id", "_hash", *PRINT).join(by_print, PRINT)
     # of rows that share the smallest doc_id of a class, one stays
-    ties = Window.partitionBy("class_id", "doc_id").orderBy(*PRINT, "_hash")
+    ties = Window.partitionBy("class_key", "doc_id").orderBy(*PRINT, "_hash")
     kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.row_number().over(ties) == 1)
-    return rows.select("doc_id", "class_id", "class_size", kept.alias("kept"), "_hash")
+    return rows.select("doc_id", "class_id", "class_size", kept.alias("kept"), "class_key", "_hash")
 
 
 @query("op4_prob_minhash")

@@ -165,6 +165,20 @@ def test_near_classes(spark, monkeypatch):
     assert stay.columns == frame(spark, rows).columns and stay.count() == len(smallest)
 
 
+def test_near_classes_without_own_ids(spark):
+    """Unrelated texts with null ids, or with one id, are classes of their own and all stay."""
+    texts = {k: " ".join(f"{k}{n}" for n in range(30)) for k in "abcdef"}
+    rows = [(None, texts["a"]), (None, texts["a"] + " more"), (None, texts["b"]), (None, None), (None, ""), (5, texts["c"]), (5, texts["d"]), (5, texts["d"]), (6, texts["e"]), (None, texts["e"]),
+            (7, texts["f"]), (7, texts["f"] + " more")]
+    got = near.classes(frame(spark, rows)).collect()
+    assert collections.Counter((r.doc_id, r.class_id, r.class_size) for r in got) == collections.Counter({(None, None, 2): 4, (None, None, 1): 1, (5, 5, 1): 1, (5, 5, 2): 2, (6, 6, 2): 1, (None, 6, 2): 1, (7, 7, 2): 2})
+    by_key = collections.Counter(r.class_key for r in got)
+    assert sorted(by_key.values()) == [1, 1, 2, 2, 2, 2, 2] and all(r.class_size == by_key[r.class_key] for r in got)
+    assert collections.Counter(r.class_key for r in got if r.kept) == collections.Counter(list(by_key))
+    stay = [(r.doc_id, (r.text or "").split(" more")[0]) for r in near.keep_one(frame(spark, rows)).collect()]
+    assert sorted(stay, key=repr) == sorted([(None, texts["a"]), (None, texts["b"]), (None, ""), (5, texts["c"]), (5, texts["d"]), (6, texts["e"]), (7, texts["f"])], key=repr)
+
+
 def test_signature_share_estimates_similarity():
     a, b = np.arange(1, 401, dtype=np.uint64) * np.uint64(7919), np.arange(81, 481, dtype=np.uint64) * np.uint64(7919)
     a, b = words.mix(a), words.mix(b)
