@@ -36,7 +36,8 @@ SCHEMAS = {
         referenceRange ARRAY<STRUCT<low:{QUANTITY},high:{QUANTITY},text:STRING>>,
         component ARRAY<STRUCT<code:{CONCEPT},valueQuantity:{QUANTITY},valueString:STRING,
             valueCodeableConcept:{CONCEPT},valueBoolean:BOOLEAN>>,
-        performer ARRAY<{REF}>, device {REF}, note ARRAY<STRUCT<text:STRING>>, dataAbsentReason {CONCEPT}""",
+        performer ARRAY<{REF}>, device {REF}, note ARRAY<STRUCT<text:STRING>>, dataAbsentReason {CONCEPT},
+        related ARRAY<STRUCT<type:STRING,target:{REF}>>""",
     "Encounter": f"""{COMMON}, status STRING, class {CODING}, type ARRAY<{CONCEPT}>, serviceType {CONCEPT},
         priority {CONCEPT}, subject {REF}, period {PERIOD},
         participant ARRAY<STRUCT<type:ARRAY<{CONCEPT}>,individual:{REF}>>, reasonCode ARRAY<{CONCEPT}>,

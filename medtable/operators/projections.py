@@ -283,6 +283,7 @@ def observation_gold(df: DataFrame, source_system: str = "source") -> DataFrame:
     """R11 (D5): 29 columns."""
     q, rng = F.col("valueQuantity"), F.get(F.col("referenceRange"), F.lit(0))
     performer = S.reference_parts(path("performer[0].reference"))
+    related = F.transform("related", lambda r: F.struct(_id(r["target"]["reference"]).alias("related_id"), r["type"].alias("relationship_type")))
     return df.select(
         F.col("id").alias("observation_id"), _id(path("subject.reference")).alias("patient_id"), _id(path("encounter.reference")).alias("encounter_id"),
         F.coalesce(_ts("effectiveDateTime"), _ts("effectivePeriod.start"), _ts("issued")).alias("observation_datetime"),
@@ -294,7 +295,7 @@ def observation_gold(df: DataFrame, source_system: str = "source") -> DataFrame:
         rng["low"]["value"].alias("reference_range_low"), rng["high"]["value"].alias("reference_range_high"), rng["text"].alias("reference_range_text"),
         performer["id"].alias("performer_id"), path("performer[0].display").alias("performer_name"), performer["type"].alias("performer_type"),
         _id(path("device.reference")).alias("device_id"), path("device.display").alias("device_name"), path("note[0].text").alias("note"),
-        F.array().cast(_RELATED).alias("related_observations"), *_lineage(source_system))
+        F.coalesce(related, F.array().cast(_RELATED)).alias("related_observations"), *_lineage(source_system))
 
 
 # --- row outputs ------------------------------------------------------------------------------------

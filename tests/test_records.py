@@ -30,6 +30,12 @@ def test_gold_column_counts(spark):
     assert len(P.observation_gold(frame(spark, "Observation", ["{}"])).columns) == 29
 
 
+def test_related_observations(spark):
+    docs = ['{"id":"1","related":[{"type":"has-member","target":{"reference":"Observation/a"}},{"type":"derived-from","target":{"reference":"https://host/Observation/b"}},{"type":"x"}]}', '{"id":"2"}']
+    got = {r["observation_id"]: [tuple(x) for x in r["related_observations"]] for r in P.observation_gold(frame(spark, "Observation", docs)).collect()}
+    assert got == {"1": [("a", "has-member"), ("b", "derived-from"), (None, "x")], "2": []}
+
+
 def test_cohort(spark):
     people = spark.createDataFrame([("patient-1",), ("patient-2",)], "patient_id STRING")
     conditions = frame(spark, "Condition", ['{"id":"c","code":{"coding":[{"system":"http://snomed.info/sct","code":"38341003"}]},"subject":{"reference":"Patient/patient-1"}}'])
