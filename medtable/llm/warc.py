@@ -6,6 +6,9 @@ id, keep its target and date, and carry the payload digest of the source beside
 
 Record ids are derived from the source's id, so a retried task writes the same records. Null url or html count
 as empty; an empty page gives an empty conversion. Repeated pages give repeated records. Extra columns are ignored.
+
+Comments and hidden elements are found in one go from left to right, so a comment's start inside a script is text
+of the script. A head is not hidden as a whole, as its end tag may be left out; what may stand in it is hidden or empty.
 """
 
 from __future__ import annotations
@@ -29,13 +32,15 @@ from .registry import query
 #: Pages of the given table have no capture time.
 UNKNOWN_DATE = "1970-01-01T00:00:00Z"
 # fixed values: elements whose content is not text, and elements that start a new line
-HIDDEN = ("script", "style", "noscript", "template", "head", "svg", "iframe", "textarea")
+HIDDEN = ("script", "style", "noscript", "noframes", "template", "title", "svg", "iframe", "textarea")
 BLOCKS = ("address", "article", "aside", "blockquote", "body", "br", "caption", "dd", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form",
           "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "option", "p", "pre", "section", "table", "td", "th", "tr", "ul")
 
 _REST = r"""(?:"[^"]*"|'[^']*'|[^"'>])*>"""
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)", re.S)
-_HIDDEN = re.compile(rf"<({'|'.join(HIDDEN)})\b{_REST}.*?(?:</\1\s*>|\Z)", re.S | re.I)
+#: A title without its end tag ends at the next tag; the other elements run to the end of the page.
+_HIDDEN = re.compile(rf"{_COMMENT.pattern}|<(title)\b{_REST}(?:(?:(?!</?(?:head|body|title)\b).)*</title\s*>|[^<]*)"
+                     rf"|<({'|'.join(x for x in HIDDEN if x != 'title')})\b{_REST}.*?(?:</\2\s*>|\Z)", re.S | re.I)
 _BLOCK = re.compile(rf"</?(?:{'|'.join(BLOCKS)})\b{_REST}", re.I)
 _TAG = re.compile(rf"</?[a-zA-Z]{_REST}|<[!?][^>]*>")
 _SPACES, _LINES = re.compile(r"[^\S\n]+"), re.compile(r" ?\n[\s]*")
@@ -47,11 +52,7 @@ _LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)
 
 def plain_text(page: str) -> str:
     """Visible text: a line for each block, single spaces, character references resolved."""
-    return _visible(_COMMENT.sub("", page))
-
-
-def _visible(page: str) -> str:
-    page = _HIDDEN.sub(" ", page)
+    page = _HIDDEN.sub(lambda m: " " if m[1] or m[2] else "", page)
     page = _TAG.sub("", _BLOCK.sub("\n", page))
     text = _SPACES.sub(" ", html.unescape(page).replace("\r", "\n"))
     return _LINES.sub("\n", text).strip()
@@ -84,7 +85,9 @@ def responses(pages: DataFrame, date: str = UNKNOWN_DATE) -> DataFrame:
 
 
 def _links(page: str) -> list[str]:
-    return [html.unescape(next(x for x in m if x or x is m[-1])) for m in _LINK.findall(page)]
+    # comments go, those in a hidden element up to its end only
+    page = _HIDDEN.sub(lambda m: _COMMENT.sub("", m[0]), page)
+    return [html.unescape("".join(m)) for m in _LINK.findall(page)]
 
 
 def _derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,11 +100,10 @@ def _derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             payload = digest(page.encode())
             found = (_TITLE.search(page), _LANG.search(page), _CHARSET.search(page))
             title, lang, charset = (m[1] if m else "" for m in found)
-            visible = _COMMENT.sub("", page)
             fields = [("title", html.unescape(title)), ("languages-cld", lang), ("charset", charset),
-                      *(("source-header", h) for h in r["headers"].split("\r\n") if h), *(("outlink", x) for x in _links(visible))]
+                      *(("source-header", h) for h in r["headers"].split("\r\n") if h), *(("outlink", x) for x in _links(page))]
             meta = "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in fields if v).encode()
-            for kind, content_type, block in (("metadata", "application/warc-fields", meta), ("conversion", "text/plain; charset=utf-8", _visible(visible).encode())):
+            for kind, content_type, block in (("metadata", "application/warc-fields", meta), ("conversion", "text/plain; charset=utf-8", plain_text(page).encode())):
                 own = record_id(kind, source)
                 head = [("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Refers-To", source), ("WARC-Target-URI", r["target_uri"]), ("WARC-Date", r["warc_date"]),
                         ("WARC-Refers-To-Target-URI", r["target_uri"]), ("WARC-Refers-To-Date", r["warc_date"]), ("WARC-Source-Payload-Digest", payload),

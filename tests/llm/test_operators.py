@@ -379,6 +379,18 @@ def test_records(spark, sf):
         assert "\n".join(" ".join(s.split()) for s in warc.plain_text(page).split("\n")) == text
 
 
+def test_records_of_odd_pages():
+    """Heads without an end tag, and comments that a script opens or a comment that holds one, lose no text and no links."""
+    assert warc.plain_text("<html><head><title>t</title><body><p>all the text</p>") == "all the text"
+    assert warc.plain_text("<head><meta charset=utf-8><title>a < b</title><link href=x><style>p{}</style><p>all</p> the text") == "all\nthe text"
+    assert warc.plain_text("<head><title>t<body>all the text") == "all the text"
+    assert warc.plain_text("<svg><title/><title>x</title></svg>one<svg><title>y</title></svg> two") == "one two"
+    page = "<p>one</p><script>if (a) { document.write('<!--'); }</script><p>two <a href='/b'>three</a></p>"
+    assert warc.plain_text(page) == "one\ntwo three" and warc._links(page) == ["/b"]
+    page = "<p>one<!-- <script> <a href='/a'> --> two <a href='/b'>three</a></p><script><!-- <a href='/c'> --></script><noscript><a href='/d'></a></noscript><!-- four <a href='/e'>"
+    assert warc.plain_text(page) == "one two three" and warc._links(page) == ["/b", "/d"]
+
+
 def test_pairs(spark):
     rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "yo"), (1, 0, "user", "hi"), (1, 1, "assistant", "no"), (3, 0, None, None), (None, 0, "user", "x"), (4, 0, "user", "hi"), (5, 0, "user", "hi")]
     got = {r.conv_id: r for r in chat.format_pairs(chat.pairs_of(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))).collect()}
