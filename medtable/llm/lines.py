@@ -1,16 +1,18 @@
 """Op 6: line deduplication by a segment-partition edit join, in DataFrame functions only.
 
-A line is dropped if the same line, or one within ``EDITS`` edits of it, comes earlier in the order of
-(doc_id, line number), null ids last. For near lines, every line of at least ``LEAST`` code points is cut into
-``EDITS`` + 1 segments. A line within that distance leaves one segment whole, so each line probes an index of
-(segment number, line length, segment) with those of its substrings that can match, for its own length and the
-lengths down to ``EDITS`` less. Lines that meet become a pair unless their character counts are too far apart, and
-pairs are verified by a banded bit-parallel edit distance of what is left without their shared ends.
-
-A key shared by many lines does not make all their pairs: all its lines first meet the earliest indexed one,
-and only lines that are not dropped by that meet the others. Lines are compared without outer white
-space; blank lines stay. Shorter lines are dropped only if equal. Null and empty texts have one blank line.
-Rows with the same doc_id count as one document. Lines are known by 63 bits of a hash.
+Lines of at least ``LEAST`` code points are linked if they are within ``EDITS`` edits; shorter ones, from ``SHORT`` code
+points on, within ``SHORT_EDITS``, so that a line of n code points has one edit for every 20 of them. All links between
+different lines are found. A line is dropped if the same line comes earlier, or one linked to it and both have
+``LEAST`` code points: a small edit in a short line may be all that it says.
+
+For the links every line is cut into one segment more than its edits. A line within that distance leaves one segment
+whole, so each line probes an index of (segment number, line length, segment) with those of its substrings that can
+match, for its own length and the lengths down to its edits less. Lines that meet become a pair unless their character
+counts are too far apart, and pairs are verified by a banded bit-parallel edit distance of what is left without their
+shared ends. The lines of a key shared by more than ``CELL`` are dealt to cells, each of which meets all of them.
+
+Rows with the same doc_id count as one document; null ids come last. Lines are compared without outer white space; blank lines stay. Null and empty
+texts have one blank line. Lines are known by 63 bits of a hash.
 """
 
 from __future__ import annotations
@@ -19,19 +21,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, whole_text, written
+from .graph import components
 from .registry import query
 
 EDITS = 2
 LEAST = 40
+SHORT, SHORT_EDITS = 20, 1
+#: Lines of a key that meet all its lines in one task.
+CELL = 500
 #: Characters that are counted to tell lines apart before their texts are compared.
 TALLIED = "etaoinshrdlucmfwygpb"
 #: Pairs that one task should verify.
 PAIRS = 1_000
 
 
+#: Columns beside the doc_id.
+ROW, TEXT = "_line_row", "_line_text"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """Adds the columns that may tell rows with one doc_id apart; as yet they are the same for all."""
+    return docs.withColumn(ROW, F.lit(0).cast("bigint")).withColumn(TEXT, F.lit(0).cast("bigint"))
+
+
 def split_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 0), the line without outer white space, its hash and its size."""
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.posexplode(F.split(whole_text(), "\n")).alias("line_no", "line"))
+    """doc_id, number and hash of the row, line_no (from 0), the line without outer white space, its hash and its size."""
+    rows = docs.select(F.col("doc_id").cast("bigint"), ROW, TEXT, F.posexplode(F.split(whole_text(), "\n")).alias("line_no", "line"))
     rows = rows.withColumn("line", F.btrim("line", F.lit(" \t\v\f\r")))
     return rows.withColumn("node", F.shiftrightunsigned(F.xxhash64("line"), 1)).withColumn("size", F.length("line"))
 
@@ -56,7 +71,7 @@ def probes(lines: DataFrame, edits: int) -> DataFrame:
     whole = size + (beyond >= 0).cast("int")
     own = (F.col("p.less") == 0) & (F.col("p.shift") == 0)
     inside = (start >= 1) & (start + whole - 1 <= F.col("size"))
-    return rows.where(inside).select("node", F.xxhash64(part, other, F.substring("line", start, whole)).alias("key"), own.cast("bigint").alias("indexed"))
+    return rows.where(inside).select("node", F.xxhash64(F.lit(edits), part, other, F.substring("line", start, whole)).alias("key"), own.cast("bigint").alias("indexed"))
 
 
 def tally(line: Column) -> list[Column]:
@@ -162,68 +177,80 @@ def _distance(rows: Column, columns: Column, m: Column, n: Column, edits: int) -
 
 
 def drops(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """All lines (doc_id, line_no, blank, exact, near), and the links (later node, earlier node) that were found.
+    """All lines of ``numbered`` rows (doc_id, row, text hash, line_no, node, blank, exact, near), and all links (later
+    node, earlier node, and whether the link drops the later one).
 
     ``exact`` and ``near`` tell why a line is dropped; a near line is near in all its places.
     """
     lines = split_lines(docs)
-    order = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("line_no"))
-    seen = written(lines.select("doc_id", "line_no", "node", (F.col("line") == "").alias("blank")), "lines")
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col(TEXT), F.col(ROW), F.col("line_no"))
+    seen = written(lines.select("doc_id", ROW, TEXT, "line_no", "node", (F.col("line") == "").alias("blank")), "lines")
     firsts = written(seen.where("not blank").groupBy("node").agg(F.min(order).alias("first")), "first_lines")
 
     # keys of substrings; a key matters if an indexed line and another line have it
-    long_lines = lines.where(F.col("size") >= least)
-    keyed = probes(long_lines, edits).select("key", F.shiftleft("node", 1).bitwiseOR(F.col("indexed")).alias("tagged")).repartition("key")
+    distinct = lines.where(F.col("size") >= min(least, SHORT)).select("node", "line", "size")
+    # a line that is at most SHORT_EDITS longer than the longest short line may be near a short one
+    keyed = probes(distinct.where(F.col("size") >= least), edits).union(probes(distinct.where(F.col("size") < least + SHORT_EDITS), SHORT_EDITS))
+    keyed = keyed.select("key", F.shiftleft("node", 1).bitwiseOR(F.col("indexed")).alias("tagged")).repartition("key")
     node, flag = F.shiftrightunsigned("tagged", 1), F.col("tagged").bitwiseAND(F.lit(1).cast("bigint"))
     shared = keyed.groupBy("key").agg(F.min(node).alias("_a"), F.max(node).alias("_b"), F.max(flag).alias("_i")).where("_a <> _b and _i = 1").select("key")
     # an inner join, as keys of ``shared`` are distinct: a semi join would move below the shuffle that both sides share
     met = keyed.join(shared.hint("shuffle_hash"), "key").groupBy("key", node.alias("node")).agg(F.max(flag).alias("indexed"))
     met = written(met, "met")
-    texts = long_lines.select("node", "line").join(met.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"])
+    texts = distinct.join(met.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"])
     counts = [c.alias(f"t{k}") for k, c in enumerate(tally(F.col("line")))]
     names = [f"t{k}" for k in range(len(counts))]
     texts = written(texts.join(firsts, "node").select("*", *counts), "met_lines")
-    met = written(met.join(texts.select("node", "first", *names), "node"), "met_order")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Links among pairs (later, earlier)."""
-        later = texts.select(F.col("node").alias("later"), F.col("line").alias("_a"))
-        earlier = texts.select(F.col("node").alias("earlier"), F.col("line").alias("_b"))
-        pairs = written(pairs.distinct(), "line_pairs")
-        # verification is work for all cores, though the pairs take few bytes; as a generated column it is done after
-        # they are dealt out, where a filter would move into the join
-        both = pairs.join(later, "later").join(earlier, "earlier").repartition(max(1, -(-pairs.count() // PAIRS)), "later", "earlier")
-        near = may_match(F.col("_a"), F.col("_b"), edits) & within(F.col("_a"), F.col("_b"), edits)
-        return written(both.select("later", "earlier", F.explode_outer(F.array(near)).alias("_near")).where("_near").select("later", "earlier"), "line_links")
-
-    heads = met.where("indexed = 1").groupBy("key").agg(F.min(F.struct("first", "node", *names)).alias("head"))
-    star = met.join(heads, "key").where((F.col("node") != F.col("head.node")) & tallies_near([F.col(x) for x in names], [F.col(f"head.{x}") for x in names], edits))
-    swap = F.col("first") < F.col("head.first")
-    one = verified(star.select(F.when(swap, F.col("head.node")).otherwise(F.col("node")).alias("later"), F.when(swap, F.col("node")).otherwise(F.col("head.node")).alias("earlier")))
-    gone = one.select(F.col("later").alias("node")).distinct()
-    rest = met.join(gone, "node", "left_anti").select("key", F.col("node").alias("later"), F.col("indexed").alias("_i"), F.col("first").alias("_f"), *[F.col(x).alias(f"_f{x}") for x in names])
-    others = met.select("key", F.col("node").alias("earlier"), F.col("indexed").alias("_j"), F.col("first").alias("_g"), *[F.col(x).alias(f"_g{x}") for x in names])
-    # the head of a key has met all lines of the key already
-    others = others.join(heads.select("key", F.col("head.node").alias("_head")), "key")
-    alike = tallies_near([F.col(f"_f{x}") for x in names], [F.col(f"_g{x}") for x in names], edits)
-    pairs = rest.join(others, "key").where("_g < _f and later <> _head and earlier <> _head and (_i = 1 or _j = 1)").where(alike).select("later", "earlier")
-    links = one.union(verified(pairs))
-
-    near = links.select(F.col("later").alias("node")).distinct().withColumn("near", F.lit(True))
+    met = met.join(texts.select("node", "size", *names), "node")
+    # every line of a key stands in one cell, and the indexed lines, which all meet, in all of them
+    cells = met.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(CELL)).cast("int").alias("cells"))
+    met = written(met.join(cells, "key"), "met_sizes")
+
+    one = met.select("key", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int").alias("cell"), F.col("node").alias("a"), F.col("indexed").alias("_i"), F.col("size").alias("_m"), *[F.col(x).alias(f"_a{x}") for x in names])
+    other = met.where("indexed = 1").select("key", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), F.col("node").alias("b"), F.col("size").alias("_n"), *[F.col(x).alias(f"_b{x}") for x in names])
+    alike = tallies_near([F.col(f"_a{x}") for x in names], [F.col(f"_b{x}") for x in names], edits)
+    pairs = one.join(other, ["key", "cell"]).where("a <> b and (_i = 0 or a > b)").where(alike & (F.abs(F.col("_m") - F.col("_n")) <= edits))
+    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line_pairs")
+
+    # verification is work for all cores, though the pairs take few bytes; as a generated column it is done after
+    # they are dealt out, where a filter would move into the join
+    def side(name: str) -> DataFrame:
+        return texts.select(F.col("node").alias(name), F.col("line").alias(f"_{name}"), F.col("first").alias(f"_{name}_first"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").repartition(max(1, -(-pairs.count() // PAIRS)), "a", "b")
+    long_enough = F.least(F.length("_a"), F.length("_b")) >= least
+    near = may_match(F.col("_a"), F.col("_b"), edits) & F.when(long_enough, within(F.col("_a"), F.col("_b"), edits)).otherwise(within(F.col("_a"), F.col("_b"), SHORT_EDITS))
+    swap = F.col("_a_first") > F.col("_b_first")
+    links = both.select(F.when(swap, F.col("a")).otherwise(F.col("b")).alias("later"), F.when(swap, F.col("b")).otherwise(F.col("a")).alias("earlier"),
+                        long_enough.alias("drops"), F.explode_outer(F.array(near)).alias("_near"))
+    links = written(links.where("_near").select("later", "earlier", "drops"), "line_links")
+
+    near = links.where("drops").select(F.col("later").alias("node")).distinct().withColumn("near", F.lit(True))
     marked = seen.join(firsts, "node", "left").join(near, "node", "left")
     near_here = F.coalesce("near", F.lit(False)) & ~F.col("blank")
     repeated = ~F.col("blank") & ~near_here & ~order.eqNullSafe(F.col("first"))
-    return marked.select("doc_id", "line_no", "blank", repeated.alias("exact"), near_here.alias("near")), links
+    return marked.select("doc_id", ROW, TEXT, "line_no", "node", "blank", repeated.alias("exact"), near_here.alias("near")), links
+
+
+def line_classes(links: DataFrame) -> DataFrame:
+    """node, class_id (the smallest node of all that links join) and number of links of every linked line."""
+    counts = links.select(F.col("later").alias("node")).union(links.select("earlier")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
+    labels = components(links.select(F.col("later").alias("a"), F.col("earlier").alias("b")))
+    names = labels.groupBy("label").agg(F.min("node").alias("class_id"))
+    return labels.join(names, "label").join(counts, "node").select("node", "class_id", "links")
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """One row per doc_id: lines that are not blank, those dropped as equal and as near, and their numbers."""
-    marked, _ = drops(docs)
+    """One row per row of ``docs``: lines that are not blank, those dropped as equal and as near, and their numbers;
+    and the lines that are linked to different ones, with their class and number of links."""
+    marked, links = drops(numbered(docs))
     gone = F.col("exact") | F.col("near")
-    rows = marked.groupBy("doc_id").agg(
+    marked = marked.join(line_classes(links), "node", "left")
+    linked = F.when(F.col("class_id").isNotNull(), F.struct("line_no", "class_id", "links"))
+    rows = marked.groupBy("doc_id", ROW, F.col(TEXT).alias("text_hash")).agg(
         F.count_if(~F.col("blank")).alias("n_lines"), F.count_if("exact").alias("n_exact"), F.count_if("near").alias("n_near"),
-        F.array_join(F.array_sort(F.array_distinct(F.collect_list(F.when(gone, F.col("line_no"))))).cast("array<string>"), ",").alias("dropped"))
-    return rows
+        F.array_join(F.array_sort(F.array_distinct(F.collect_list(F.when(gone, F.col("line_no"))))).cast("array<string>"), ",").alias("dropped"),
+        F.array_sort(F.collect_list(linked)).alias("linked"))
+    return rows.drop(ROW)
 
 
 def clean(docs: DataFrame) -> DataFrame:
@@ -231,7 +258,7 @@ def clean(docs: DataFrame) -> DataFrame:
 
     A document all of whose lines are dropped goes: all it says is said earlier. Others keep all columns but text as they are.
     """
-    marked, _ = drops(docs)
+    marked, _ = drops(numbered(docs))
     gone = F.col("exact") | F.col("near")
     cut = marked.groupBy("doc_id").agg(F.collect_set(F.when(gone, F.col("line_no"))).alias("_cut"), F.count_if(~gone & ~F.col("blank")).alias("_left"))
     cut = written(cut.where(F.size("_cut") > 0).withColumnRenamed("doc_id", "_id"), "cuts")

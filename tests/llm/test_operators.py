@@ -248,6 +248,37 @@ def test_line_edit_join(spark):
     assert cleaned.columns == frame(spark, rows).columns
 
 
+def test_line_links_are_whole(spark, monkeypatch):
+    """Classes and numbers of links equal those of all pairs, also where a key is hot and for lines under 40 code points."""
+    monkeypatch.setattr(lines, "CELL", 4)
+    random.seed(11)
+    base = ["".join(random.choices("abcdefgh ", k=n)).strip("  ").ljust(n, "x") for n in (15, 20, 24, 30, 38, 39, 40, 41, 60, 60)]
+    texts = set()
+    for s in base:
+        for _ in range(14):
+            t = list(s)
+            for _ in range(random.randint(0, 3)):
+                at = random.randrange(len(t))
+                random.choice([lambda: t.insert(at, "z"), lambda: t.pop(at), lambda: t.__setitem__(at, "q")])()
+            texts.add("".join(t).strip())
+    texts = sorted(texts)
+    near_pairs = [(a, b) for n, b in enumerate(texts) for a in texts[:n] if _edits(a, b) <= (2 if min(len(a), len(b)) >= 40 else 1 if min(len(a), len(b)) >= 20 else 0)]
+    assert any(min(map(len, p)) < 40 for p in near_pairs)
+    links, root = collections.Counter(x for p in near_pairs for x in p), {x: x for x in texts}
+    for a, b in near_pairs:
+        old = root[b]
+        root = {x: root[a] if r == old else r for x, r in root.items()}
+    members = collections.defaultdict(set)
+    for x in links:
+        members[root[x]].add(x)
+    got = [(texts[10 * r.doc_id + x.line_no], x.class_id, x.links) for r in lines.report(frame(spark, [(k, "\n".join(texts[10 * k:10 * k + 10])) for k in range(-(-len(texts) // 10))])).collect() for x in r.linked]
+    assert {t: n for t, _, n in got} == dict(links) and len(got) == len(links)
+    found = collections.defaultdict(set)
+    for t, c, _ in got:
+        found[c].add(t)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, members.values()))
+
+
 def test_tallies_lose_no_pair(spark):
     """Lines within two edits always pass, also where a count goes over 64."""
     base = ["e" * 64 + "tail", "e" * 63 + "tails of it", "the quick brown fox " * 8, "ä" * 50]
