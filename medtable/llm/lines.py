@@ -11,7 +11,8 @@ match, for its own length and the lengths down to its edits less. Lines that mee
 counts are too far apart, and pairs are verified by a banded bit-parallel edit distance of what is left without their
 shared ends. The lines of a key shared by more than ``CELL`` are dealt to cells, each of which meets all of them.
 
-Rows with the same doc_id count as one document; null ids come last. Lines are compared without outer white space; blank lines stay. Null and empty
+Every row is a document of its own, also with a repeated or null doc_id: rows are ordered by (doc_id, hash of the text,
+a number written once), null ids last. Lines are compared without outer white space; blank lines stay. Null and empty
 texts have one blank line. Lines are known by 63 bits of a hash.
 """
 
@@ -35,13 +36,13 @@ TALLIED = "etaoinshrdlucmfwygpb"
 PAIRS = 1_000
 
 
-#: Columns beside the doc_id.
+#: Number of a row, and the hash of its text.
 ROW, TEXT = "_line_row", "_line_text"
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """Adds the columns that may tell rows with one doc_id apart; as yet they are the same for all."""
-    return docs.withColumn(ROW, F.lit(0).cast("bigint")).withColumn(TEXT, F.lit(0).cast("bigint"))
+    """Adds what tells rows with one doc_id apart; the numbers hold once they are written."""
+    return docs.withColumn(ROW, F.monotonically_increasing_id()).withColumn(TEXT, F.xxhash64(whole_text()))
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -248,7 +249,7 @@ def report(docs: DataFrame) -> DataFrame:
     linked = F.when(F.col("class_id").isNotNull(), F.struct("line_no", "class_id", "links"))
     rows = marked.groupBy("doc_id", ROW, F.col(TEXT).alias("text_hash")).agg(
         F.count_if(~F.col("blank")).alias("n_lines"), F.count_if("exact").alias("n_exact"), F.count_if("near").alias("n_near"),
-        F.array_join(F.array_sort(F.array_distinct(F.collect_list(F.when(gone, F.col("line_no"))))).cast("array<string>"), ",").alias("dropped"),
+        F.array_join(F.array_sort(F.collect_list(F.when(gone, F.col("line_no")))).cast("array<string>"), ",").alias("dropped"),
         F.array_sort(F.collect_list(linked)).alias("linked"))
     return rows.drop(ROW)
 
@@ -258,11 +259,12 @@ def clean(docs: DataFrame) -> DataFrame:
 
     A document all of whose lines are dropped goes: all it says is said earlier. Others keep all columns but text as they are.
     """
-    marked, _ = drops(numbered(docs))
+    rows = written(numbered(docs), "numbered")
+    marked, _ = drops(rows)
     gone = F.col("exact") | F.col("near")
-    cut = marked.groupBy("doc_id").agg(F.collect_set(F.when(gone, F.col("line_no"))).alias("_cut"), F.count_if(~gone & ~F.col("blank")).alias("_left"))
-    cut = written(cut.where(F.size("_cut") > 0).withColumnRenamed("doc_id", "_id"), "cuts")
-    rows = docs.join(cut.hint("merge"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")), "left").where("_left is null or _left > 0")
+    cut = marked.groupBy(ROW).agg(F.collect_set(F.when(gone, F.col("line_no"))).alias("_cut"), F.count_if(~gone & ~F.col("blank")).alias("_left"))
+    cut = written(cut.where(F.size("_cut") > 0), "cuts")
+    rows = rows.join(cut.hint("merge"), ROW, "left").where("_left is null or _left > 0")
     kept = F.filter(F.split(whole_text(), "\n"), lambda line, k: ~F.array_contains("_cut", k))
     text = F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return rows.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])

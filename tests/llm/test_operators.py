@@ -279,6 +279,18 @@ def test_line_links_are_whole(spark, monkeypatch):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, members.values()))
 
 
+def test_clean_keeps_rows_with_shared_ids_apart(spark):
+    """Rows with a repeated or null id lose their own repeated lines only, and equal rows are repeats of each other."""
+    rows = [(1, "first of all\ncommon\nown of one"), (2, "common\nown of two"), (2, "said once\nalso said\ncommon"), (None, "common\nnull a"), (None, "null b\nnull c\n\nown of one"), (None, "null b"), (3, "same\nrow"), (3, "same\nrow"), (None, None)]
+    got = [(r.doc_id, r.text) for r in lines.clean(frame(spark, rows)).collect()]
+    said = collections.Counter(x for _, t in got for x in (t or "").split("\n") if x)
+    assert said == collections.Counter({x for _, t in rows for x in (t or "").split("\n") if x})
+    assert collections.Counter(i for i, _ in got) == collections.Counter([1, 2, 2, None, None, None, 3]) or collections.Counter(i for i, _ in got) == collections.Counter([1, 2, 2, None, None, 3, None, None])
+    assert (1, rows[0][1]) in got and (2, "own of two") in got and (3, "same\nrow") in got and (None, "null a") in got
+    found = [(r.doc_id, r.n_lines, r.n_exact) for r in lines.report(frame(spark, rows)).collect()]
+    assert len(found) == len(rows) and sum(n for _, n, _ in found) == 18 and sum(n for _, _, n in found) == 18 - len(said)
+
+
 def test_tallies_lose_no_pair(spark):
     """Lines within two edits always pass, also where a count goes over 64."""
     base = ["e" * 64 + "tail", "e" * 63 + "tails of it", "the quick brown fox " * 8, "ä" * 50]
