@@ -37,13 +37,16 @@ PREFIXES = (3, 4, 5, 6)
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "¡": "i", "(": "c", "¢": "c"}
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœß"
 SIZE = len(LETTERS) + 1  # 0 is the border of a word
+#: A second letter in a row of a lower probability than exp(-RARE) sends its word through the decoder.
+RARE = 4.5
 LETTER_COST, DROP_COST, DIGIT_DROP_COST, SHORTER_COST, JOIN_COST = 0.7, 1.5, 5.0, 0.3, 0.2
 
 _SIGNS = re.escape("".join(LEET))
 _GAP = r"[ .\-_*~·]"
 #: At least four single letters or signs with gaps between them.
 _SPACED = re.compile(rf"(?<![^\W_])(?:[^\W_]|[{_SIGNS}])(?:{_GAP}{{1,3}}(?:[^\W_]|[{_SIGNS}])(?![^\W_])){{3,}}")
-_EDGE = re.compile(r"^[^\w@$|!+€£¡(¢]+|(?:[^\w]|_)+$")
+#: What no letter can hide behind, at both ends of a token.
+_EDGE = re.compile(rf"^[^\w{_SIGNS}]+|(?:[^\w{_SIGNS}]|_)+$")
 _ODD = re.compile(rf"(.)\1\1|[^\W\d_](?:[{_SIGNS}]|[.\-_*~·][^\W_](?:[.\-_*~·]|$))|[{_SIGNS}][^\W\d_]")
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -125,6 +128,15 @@ class Decoder:
             out.append(piece)
         return "".join(reversed(out))
 
+    def _unlikely(self, token: str) -> bool:
+        """Whether a letter stands twice in a row where the corpus hardly ever has it."""
+        code, costs = self.code, self.costs
+        for m in _DOUBLE.finditer(token):
+            before, here = code.get(token[m.start() - 1], 0) if m.start() else 0, code.get(m[1], 0)
+            if here and costs[before][here][here] > RARE:
+                return True
+        return False
+
     def words(self, text: str) -> set[str]:
         """The distinct words of the restored text."""
         text = text.lower()
@@ -135,11 +147,12 @@ class Decoder:
             for run in spaced:
                 out.update(self.word(re.sub(rf"{_GAP}+", " ", run)).split(" "))
         for token in set(text.split()):
-            if token.isalpha() and not _TRIPLE.search(token):
+            doubled = _DOUBLE.search(token)
+            if not doubled and token.isalpha():
                 out.add(token)
                 continue
             core = _EDGE.sub("", token)
-            if _ODD.search(core) and _LETTER.search(core):
+            if _LETTER.search(core) and (_ODD.search(core) or doubled and self._unlikely(core)):
                 out.update(self.word(core).split(" "))
             else:
                 out.update(_PLAIN.findall(core))
@@ -147,7 +160,7 @@ class Decoder:
         return out
 
 
-_TRIPLE = re.compile(r"(.)\1\1")
+_DOUBLE = re.compile(r"([^\W\d_])\1")
 _PLAIN = re.compile(r"[^\W_]+")
 
 

@@ -452,6 +452,16 @@ def test_decoder_restores_hidden_words(spark):
     assert decoder.words("Plain words, as they are!!") == {"plain", "words", "as", "they", "are"}
 
 
+def test_decoder_restores_ends_and_doubled_letters(spark):
+    """Signs at the end of a word may be letters, and doubled letters that the corpus does not have are one."""
+    known = [(k, "the idiot and the dumbass whore said stupid things to all losers and one loser in the tall grass of a good book") for k in range(30)]
+    decoder = toxicity.Decoder(toxicity.language_model(toxicity.trigram_counts(frame(spark, known))))
+    assert decoder.words("dumba$$, whor€. id1o+") == {"dumbass", "whore", "idiot"}
+    assert decoder.words("iidiioott ssttuuppiidd,") == {"idiot", "stupid"}
+    assert decoder.words("tall grass, good book! the losers!!") == {"tall", "grass", "good", "book", "the", "losers"}
+    assert decoder.words("the loser! idiot?!") == {"the", "loser", "idiot"}
+
+
 def test_toxicity_learns(spark):
     random.seed(4)
     rows, labels = [(None, None), (900, None), (901, "")], [(None, 1), (900, 0)]
