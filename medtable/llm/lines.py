@@ -52,27 +52,33 @@ def split_lines(docs: DataFrame) -> DataFrame:
     return rows.withColumn("node", F.shiftrightunsigned(F.xxhash64("line"), 1)).withColumn("size", F.length("line"))
 
 
-def probes(lines: DataFrame, edits: int) -> DataFrame:
+def _places(edits: int) -> list[Column]:
+    """Segment, how much shorter the other line is, and shift, for every substring of a line that may match a segment."""
+    return [F.struct(F.lit(edits).alias("edits"), F.lit(i).alias("i"), F.lit(less).alias("less"), F.lit(shift).alias("shift"))
+            for less in range(edits + 1) for i in range(edits + 1) for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)]
+
+
+def probes(lines: DataFrame, edits: int, least: int, short_edits: int = SHORT_EDITS) -> DataFrame:
     """(node, key, indexed) for every substring of a line that may match a segment of a line of its length or up to
     ``edits`` shorter; the substrings at the segments' own places are the line's entries in the index (``indexed`` 1).
+    Lines under ``least`` have ``short_edits``; lines that are at most so many longer may be near a short one and have both.
 
     A line is cut into even segments, the longer ones last. Segment ``i`` of a line ``less`` shorter can only match at
     few places: its own, moved by less than what the edits before and after it allow. Each place is a row of its own,
     so that the substring is made by compiled code.
     """
-    plan = [(i, less, shift) for less in range(edits + 1) for i in range(edits + 1)
-            for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)]
-    places = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(less).alias("less"), F.lit(shift).alias("shift")) for i, less, shift in plan])
+    size = F.col("size")
+    places = F.when(size < least, F.array(*_places(short_edits))).when(size < least + short_edits, F.array(*_places(short_edits), *_places(edits))).otherwise(F.array(*_places(edits)))
     rows = lines.select("node", "line", "size", F.explode(places).alias("p"))
-    part, other = F.col("p.i"), F.col("size") - F.col("p.less")
-    longer = other % F.lit(edits + 1)
-    size = ((other - longer) / F.lit(edits + 1)).cast("int")
-    beyond = part - (F.lit(edits + 1) - longer)  # how many longer segments stand before, from 0 on
+    segments, part, other = F.col("p.edits") + F.lit(1), F.col("p.i"), F.col("size") - F.col("p.less")
+    longer = other % segments
+    size = ((other - longer) / segments).cast("int")
+    beyond = part - (segments - longer)  # how many longer segments stand before, from 0 on
     start = size * part + F.greatest(beyond, F.lit(0)) + F.lit(1) + F.col("p.shift")
     whole = size + (beyond >= 0).cast("int")
     own = (F.col("p.less") == 0) & (F.col("p.shift") == 0)
     inside = (start >= 1) & (start + whole - 1 <= F.col("size"))
-    return rows.where(inside).select("node", F.xxhash64(F.lit(edits), part, other, F.substring("line", start, whole)).alias("key"), own.cast("bigint").alias("indexed"))
+    return rows.where(inside).select("node", F.xxhash64(F.col("p.edits"), part, other, F.substring("line", start, whole)).alias("key"), own.cast("bigint").alias("indexed"))
 
 
 def tally(line: Column) -> list[Column]:
@@ -190,9 +196,7 @@ def drops(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[Data
 
     # keys of substrings; a key matters if an indexed line and another line have it
     distinct = lines.where(F.col("size") >= min(least, SHORT)).select("node", "line", "size")
-    # a line that is at most SHORT_EDITS longer than the longest short line may be near a short one
-    keyed = probes(distinct.where(F.col("size") >= least), edits).union(probes(distinct.where(F.col("size") < least + SHORT_EDITS), SHORT_EDITS))
-    keyed = keyed.select("key", F.shiftleft("node", 1).bitwiseOR(F.col("indexed")).alias("tagged")).repartition("key")
+    keyed = probes(distinct, edits, least).select("key", F.shiftleft("node", 1).bitwiseOR(F.col("indexed")).alias("tagged")).repartition("key")
     node, flag = F.shiftrightunsigned("tagged", 1), F.col("tagged").bitwiseAND(F.lit(1).cast("bigint"))
     shared = keyed.groupBy("key").agg(F.min(node).alias("_a"), F.max(node).alias("_b"), F.max(flag).alias("_i")).where("_a <> _b and _i = 1").select("key")
     # an inner join, as keys of ``shared`` are distinct: a semi join would move below the shuffle that both sides share
