@@ -39,6 +39,10 @@ LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõ
 SIZE = len(LETTERS) + 1  # 0 is the border of a word
 #: A second letter in a row of a lower probability than exp(-RARE) sends its word through the decoder.
 RARE = 4.5
+#: Characters that are counted at once.
+SLICE = 1 << 17
+#: Decoded words that a worker keeps, and the longest of them; together they bound its memory.
+KEPT_WORDS, KEPT_SIZE = 1 << 16, 48
 LETTER_COST, DROP_COST, DIGIT_DROP_COST, SHORTER_COST, JOIN_COST = 0.7, 1.5, 5.0, 0.3, 0.2
 
 _SIGNS = re.escape("".join(LEET))
@@ -63,10 +67,11 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
     """How often each three characters follow each other in the whole corpus; its size is that of the alphabet."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, total = _codes(), np.zeros(SIZE ** 3, np.int64)
-        for batch in pieces(batches):
-            text = "\n\n".join(batch.column("text").to_pylist()).lower()
-            c = code[np.frombuffer(("\n\n" + text + "\n").encode("utf-32-le"), np.uint32)]
-            total += np.bincount((c[:-2] * SIZE + c[1:-1]) * SIZE + c[2:], minlength=SIZE ** 3)
+        for batch in pieces(batches, limit=1 << 20):
+            text = "".join(["\n\n", "\n\n".join(batch.column("text").to_pylist()).lower(), "\n"])
+            for a in range(0, len(text) - 2, SLICE):  # slices share two characters
+                c = code[np.frombuffer(text[a:a + SLICE + 2].encode("utf-32-le"), np.uint32)]
+                total += np.bincount((c[:-2] * SIZE + c[1:-1]) * SIZE + c[2:], minlength=SIZE ** 3)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["at", "n"])
     rows = arrow_map(docs.select(whole_text().alias("text")), run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect()
@@ -90,7 +95,7 @@ class Decoder:
     def __init__(self, costs: np.ndarray):
         self.costs = costs.astype(np.float32).tolist()
         self.code = {c: k for k, c in enumerate(LETTERS, 1)}
-        self.word = lru_cache(200_000)(self._word)
+        self.known = lru_cache(KEPT_WORDS)(self._word)
 
     def _options(self, char: str, run: int, edge: bool) -> list[tuple[str, float]]:
         """What a run of one character may stand for, with the cost of it."""
@@ -104,6 +109,9 @@ class Decoder:
             return [(char, SHORTER_COST if run > 1 else 0.0), *([(char * 2, SHORTER_COST if run > 2 else 0.0)] if run > 1 else [])]
         return [("", 0.2)] if not char.isdigit() else [("", DIGIT_DROP_COST)]
 
+    def word(self, token: str) -> str:
+        return self.known(token) if len(token) <= KEPT_SIZE else self._word(token)
+
     def _word(self, token: str) -> str:
         runs = [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", token, re.S)]
         code, costs = self.code, self.costs
