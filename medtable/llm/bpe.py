@@ -345,6 +345,10 @@ def decode(ids: np.ndarray, v: Vocabulary) -> bytes:
     return b" ".join(map(v.bytes.__getitem__, ids.tolist()))
 
 
+#: Bytes of text that are encoded at once; code points and word places take some thirty times that.
+ENCODE_BYTES = 2 << 20
+
+
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
     """The encoder of this worker; its table of known words serves all its tasks."""
@@ -354,7 +358,7 @@ def encoder(path: str) -> Encoder:
 def _codec(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for batch in pieces(batches, limit=8 << 20):
+        for batch in pieces(batches, limit=ENCODE_BYTES):
             texts = batch.column("text").to_pylist()
             ids, at = enc.encode(texts)
             wide = ids.astype("<u4")
@@ -373,7 +377,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and ``ids`` of every document; null text is empty."""
     def run(batches):
         enc = encoder(path)
-        for batch in pieces(batches, limit=8 << 20):
+        for batch in pieces(batches, limit=ENCODE_BYTES):
             ids, at = enc.encode(batch.column("text").to_pylist())
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "ids"])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import default_vocabulary, encoder
+from .bpe import ENCODE_BYTES, default_vocabulary, encoder
 from .common import arrow_map, pieces, table, whole_text, written
 from .registry import query
 
@@ -33,7 +33,7 @@ def cut(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID) -> D
     """The pieces of every document: doc_id, start, length, ids_crc32 and doc_tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for batch in pieces(batches, limit=8 << 20):
+        for batch in pieces(batches, limit=ENCODE_BYTES):
             ids, at = enc.encode(batch.column("text").to_pylist())
             raw = ids.astype("<u4")
             owner, starts, lengths, sums, totals = [], [], [], [], []
