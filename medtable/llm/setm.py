@@ -7,18 +7,19 @@ last k, both of which must be frequent. Groups are counted, and only occurrences
 groups keeps are extended further. All relations are stored.
 
 A relation is stored in blocks, each with the sorted occurrences of about ``BLOCK_BYTES`` of pieces of one language, so
-the merge-join needs no shuffle: a block is joined and its groups are counted in one task. Spark then adds up the counts
-of all blocks and tells each block which of its groups are frequent. What moves is a row for each different
-group of a block, never one for each occurrence, so a phrase that is everywhere is a row a block.
+the merge-join needs no shuffle: a block is joined and its groups are counted in one task. The counts are then added up
+over all blocks and each block is told which of its groups are frequent. What moves is every different group of a
+block, never each occurrence, so a phrase that is everywhere moves once a block. Words move as rows; pairs move
+in sorted arrays, one for each bucket that a block has pairs in, which are a sixth of the size of rows.
 
-Words and phrases are compared as they are, never by a hash: a frequent group is named by the first place (block and
-number there) that has it. Null text counts as empty, null lang as ``und``. Documents need no id; equal rows count each.
+Words and phrases are compared as they are, never by a hash alone: a frequent word is named by the first place (block and
+number there) that has it, a frequent pair by its bucket and its rank there. Null text counts as empty, null lang as ``und``. Documents need no id; equal rows count each.
 Other columns are ignored. A document without words, or a table without rows, adds nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +27,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, table, whole_text, written
+from .common import arrow_map, grouped_rows, table, whole_text, written
 from .registry import query
+from .words import mix
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 SCALE, COVERED, OF = 2_000_000, 100, 80
 BLOCK_BYTES = 8 << 20
+#: Pairs, counted as they occur, for each bucket in which they are added up; and the bits of a rank in a bucket.
+BUCKET_PAIRS, RANK = 1 << 20, 40
 #: A place is a block (number of the task, number of the block in it) and a number inside the block.
 INSIDE, IN_TASK = 26, 16
 #: Groups that a language's candidates are ranked in first.
@@ -81,21 +85,36 @@ def joined(at: np.ndarray, group: np.ndarray, groups: int) -> tuple[np.ndarray,
     return at[near], number, pairs // max(groups, 1), pairs % max(groups, 1), counts
 
 
-def kept(at: np.ndarray, number: np.ndarray, different: int, known: list[tuple[int, int]]) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Semi-join of occurrences with the frequent groups of their block (number there, name): the names, and the
-    occurrences with places into that list."""
-    names = [name for _, name in known]
+def kept(at: np.ndarray, number: np.ndarray, different: int, known: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Semi-join of occurrences with the frequent groups of their block (numbers there and names): the names, and the
+    occurrences with places into them."""
     place = np.full(different, -1, np.int64)
-    place[[k for k, _ in known]] = np.arange(len(known))
+    place[known] = np.arange(len(known))
     group = place[number]
     stays = group >= 0
     return names, at[stays], group[stays]
 
 
+def bucket_of(left: np.ndarray, right: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(left.astype(np.uint64) + np.uint64(1) ^ mix(right.astype(np.uint64))) % np.uint64(buckets)).astype(np.int64)
+
+
+def squeeze(values: np.ndarray) -> bytes:
+    """64-bit numbers, compressed byte by byte of their places."""
+    planes = np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view("<i8").reshape(n).astype(np.int64)
+
+
 # ---- Spark ----
 
 OCCURRENCES = "block bigint, lang string, words array<string>, counts array<bigint>, n bigint, tokens binary"
-RELATION = "block bigint, names array<bigint>, at binary, groups binary"
+RELATION = "block bigint, names array<bigint>, at binary, groups binary, near bigint"
 
 
 def _read(limit: int):
@@ -137,46 +156,108 @@ def _first_relation(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for row in batch.to_pylist():
             found = grown(row["tokens"])
             at = np.flatnonzero(found)
-            yield _stored(row["block"], *kept(at, found[at] - 1, row["different"], [(x["k"], x["name"]) for x in row["known"]]))
+            known, names = (np.array([x[c] for x in row["known"]], np.int64) for c in ("k", "name"))
+            yield _stored(row["block"], *kept(at, found[at] - 1, row["different"], known, names))
 
 
-def _next_relation(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            at, number, left, _, _ = joined(np.cumsum(grown(row["at"])), grown(row["groups"]), len(row["names"]))
-            yield _stored(row["block"], *kept(at, number, len(left), [(x["k"], x["name"]) for x in row["known"]]))
+def _next_relation(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = np.array(row["names"], np.int64)
+                at, number, left, right, _ = joined(np.cumsum(grown(row["at"])), grown(row["groups"]), len(own))
+                bucket = bucket_of(own[left], own[right], buckets)
+                known, names = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for x in row["known"]:
+                    mine = np.flatnonzero(bucket == x["bucket"])  # in the order they were sent
+                    known.append(mine[np.unpackbits(np.frombuffer(x["mask"], np.uint8), count=len(mine)).astype(bool)])
+                    names.append((x["bucket"] << RANK) + grown(x["ranks"]))
+                yield _stored(row["block"], *kept(at, number, len(left), np.concatenate(known), np.concatenate(names)))
+    return run
 
 
-def _stored(block: int, names: list[int], at: np.ndarray, groups: np.ndarray) -> pa.RecordBatch:
+def _stored(block: int, names: np.ndarray, at: np.ndarray, groups: np.ndarray) -> pa.RecordBatch:
+    near = int((at[1:] - at[:-1] == 1).sum())
     return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([names], pa.list_(pa.int64())), pa.array([shrink(np.diff(at, prepend=0))], pa.binary()),
-                                       pa.array([shrink(groups)], pa.binary())], ["block", "names", "at", "groups"])
+                                       pa.array([shrink(groups)], pa.binary()), pa.array([near], pa.int64())], ["block", "names", "at", "groups", "near"])
+
+
+def _pairs(buckets: int):
+    """The different pairs of a block and their counts, one row for each bucket that has any."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                names = np.array(row["names"], np.int64)
+                _, _, left, right, counts = joined(np.cumsum(grown(row["at"])), grown(row["groups"]), len(names))
+                left, right = names[left], names[right]
+                bucket = bucket_of(left, right, buckets)
+                order = np.argsort(bucket, kind="stable")
+                for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
+                    yield pa.RecordBatch.from_arrays([pa.array([int(bucket[part[0]])], pa.int32()), pa.array([row["block"]], pa.int64()), pa.array([squeeze(left[part])], pa.binary()),
+                                                      pa.array([squeeze(right[part])], pa.binary()), pa.array([shrink(counts[part])], pa.binary())], ["bucket", "block", "left", "right", "n"])
+    return run
+
+
+def _frequent_pairs(least: int):
+    """Adds up a bucket's counts. For each block the pairs that are frequent (a bit each) and their ranks; and, in a row
+    without block, the frequent pairs themselves with their totals, in the order of the ranks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (bucket,), rows in grouped_rows(batches, ["bucket"]):
+            left, right = (np.concatenate([unsqueeze(r[c]) for r in rows]) for c in ("left", "right"))
+            counts = [grown(r["n"]) for r in rows]
+            ends = np.cumsum([len(c) for c in counts])
+            order = np.lexsort((right, left))
+            a, b = left[order], right[order]
+            first = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+            total = np.add.reduceat(np.concatenate(counts)[order], np.flatnonzero(first))
+            good = total >= least
+            rank = np.cumsum(good) - 1
+            group = np.empty(len(order), np.int64)
+            group[order] = np.cumsum(first) - 1
+            heads = order[first][good]
+            out = [(bucket, None, None, None, squeeze(left[heads]), squeeze(right[heads]), squeeze(total[good]))] if good.any() else []
+            for row, mine in zip(rows, np.split(group, ends[:-1])):
+                hit = good[mine]
+                if hit.any():
+                    out.append((bucket, row["block"], np.packbits(hit).tobytes(), shrink(rank[mine[hit]]), None, None, None))
+            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], ["bucket", "block", "mask", "ranks", "left", "right", "total"])
+    return run
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for every different pair of a block: its place, its groups' names and its count."""
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each frequent pair."""
     for batch in batches:
         for row in batch.to_pylist():
-            names = np.array(row["names"], np.int64)
-            _, _, left, right, counts = joined(np.cumsum(grown(row["at"])), grown(row["groups"]), len(names))
-            place = (row["block"] << INSIDE) + np.arange(len(left))
-            for a in range(0, max(len(left), 1), 1 << 16):
+            left, right, total = (unsqueeze(row[c]) for c in ("left", "right", "total"))
+            for a in range(0, len(left), 1 << 16):
                 part = slice(a, a + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(place[part]), pa.array(names[left[part]]), pa.array(names[right[part]]), pa.array(counts[part])], ["place", "left", "right", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array((row["bucket"] << RANK) + np.arange(len(left))[part]), pa.array(left[part]), pa.array(right[part]), pa.array(total[part])], ["name", "left", "right", "total"])
 
 
-def frequent(rows: DataFrame, keys: Sequence[str], least: int) -> DataFrame:
-    """place, name and total of every row (place, keys, n) whose group occurs ``least`` times; the name is the group's
-    first place. Counting and the semi-join share one shuffle."""
-    keyed = rows.repartition(*keys)
-    groups = keyed.groupBy(*keys).agg(F.sum("n").alias("total"), F.min("place").alias("name")).where(F.col("total") >= least)
-    # an inner join, as the groups are distinct: a semi-join would move below the shuffle and make it twice
-    return keyed.join(groups.hint("shuffle_hash"), list(keys)).select("place", "name", "total", *keys)
+def frequent_pairs(relation: DataFrame, least: int, label: str) -> tuple[DataFrame, DataFrame, int]:
+    """The frequent pairs (name, left, right, total), what each block has of them, and the number of buckets."""
+    near = relation.agg(F.sum("near").alias("n")).first()["n"] or 0
+    buckets = max(int(relation.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-near // BUCKET_PAIRS))
+    sent = arrow_map(relation, _pairs(buckets), "bucket int, block bigint, left binary, right binary, n binary").repartition("bucket").sortWithinPartitions("bucket")
+    found = written(arrow_map(sent, _frequent_pairs(least), "bucket int, block bigint, mask binary, ranks binary, left binary, right binary, total binary"), label)
+    entries = arrow_map(found.where("block is null").select("bucket", "left", "right", "total"), _entries, "name bigint, left bigint, right bigint, total bigint")
+    known = found.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("bucket", "mask", "ranks")).alias("known"))
+    return entries, known, buckets
 
 
-def _known(found: DataFrame) -> DataFrame:
-    """For each block its frequent groups: number there and name; bounded by the block."""
+def frequent_words(blocks: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """The frequent words (name, lang, word, total), and the numbers and names of those that each block has. Counting and
+    the semi-join share one shuffle."""
+    words = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("k", "w"))
+    words = words.select((F.shiftleft("block", INSIDE) + F.col("k")).alias("place"), "lang", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    keyed = words.repartition("lang", "word")
+    groups = keyed.groupBy("lang", "word").agg(F.sum("n").alias("total"), F.min("place").alias("name")).where(F.col("total") >= least)
+    # an inner join, as the groups are distinct: a semi-join would move below the shuffle and make it twice
+    found = written(keyed.join(groups.hint("shuffle_hash"), ["lang", "word"]).select("place", "name", "total", "lang", "word"), "frequent_1")
     inside = F.col("place").bitwiseAND(F.lit((1 << INSIDE) - 1)).cast("int")
-    return found.groupBy(F.shiftright("place", INSIDE).alias("block")).agg(F.collect_list(F.struct(inside.alias("k"), "name")).alias("known"))
+    known = found.groupBy(F.shiftright("place", INSIDE).alias("block")).agg(F.collect_list(F.struct(inside.alias("k"), "name")).alias("known"))
+    return found.where("place = name").drop("place"), known
 
 
 def occurrences(docs: DataFrame, limit: int = BLOCK_BYTES) -> DataFrame:
@@ -188,28 +269,25 @@ def occurrences(docs: DataFrame, limit: int = BLOCK_BYTES) -> DataFrame:
 def mine(blocks: DataFrame, least: int = LEAST, longest: int = LONGEST) -> list[DataFrame]:
     """The frequent phrases of 1, 2, ... ``longest`` words: name, lang, phrase, last word, total; the totals of their
     first 1, 2, ... words (``heads``) and of their last ones (``tails``); and the phrases of two words or more inside (``inner``)."""
-    words = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("k", "w"))
-    words = words.select((F.shiftleft("block", INSIDE) + F.col("k")).alias("place"), "lang", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    found = written(frequent(words, ["lang", "word"], least), "frequent_1")
+    entries, known = frequent_words(blocks, least)
     total = F.array("total")
     nothing = F.array().cast("array<struct<size:int,name:bigint>>")
-    level = found.where("place = name").select("name", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "total", total.alias("heads"), total.alias("tails"), nothing.alias("inner"))
+    level = entries.select("name", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "total", total.alias("heads"), total.alias("tails"), nothing.alias("inner"))
     out = [written(level, "phrases_1")]
-    relation = blocks.select("block", "tokens", F.size("words").alias("different")).join(_known(found), "block")
+    relation = blocks.select("block", "tokens", F.size("words").alias("different")).join(known, "block")
     relation = written(arrow_map(relation, _first_relation, RELATION), "relation_1")
     for size in range(2, longest + 1):
-        pairs = arrow_map(relation, _pairs, "place bigint, left bigint, right bigint, n bigint")
-        found = written(frequent(pairs, ["left", "right"], least), f"frequent_{size}")
+        entries, known, buckets = frequent_pairs(relation, least, f"frequent_{size}")
         before = out[-1]
         left = before.select(F.col("name").alias("left"), "lang", F.col("phrase").alias("_phrase"), F.col("heads").alias("_heads"), F.col("inner").alias("_left"))
         right = before.select(F.col("name").alias("right"), "last", F.col("tails").alias("_tails"), F.col("inner").alias("_right"))
-        level = found.where("place = name").join(left, "left").join(right, "right")
+        level = entries.join(left, "left").join(right, "right")
         own = F.array(*[F.struct(F.lit(size - 1).alias("size"), F.col(c).alias("name")) for c in ("left", "right")]) if size > 2 else nothing
         level = level.select("name", "lang", F.concat("_phrase", F.lit(" "), "last").alias("phrase"), "last", "total", F.concat("_heads", total).alias("heads"),
                              F.concat("_tails", total).alias("tails"), F.array_union(F.array_union("_left", "_right"), own).alias("inner"))
         out.append(written(level, f"phrases_{size}"))
         if size < longest:
-            relation = written(arrow_map(relation.join(_known(found), "block"), _next_relation, RELATION), f"relation_{size}")
+            relation = written(arrow_map(relation.join(known, "block"), _next_relation(buckets), RELATION), f"relation_{size}")
     return out
 
 
