@@ -11,11 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
-
 
 def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Newest row per key as a partial + final aggregate, no window and no sort per key."""
+    """Newest row per key as a partial and a final aggregate.
+
+    No window: a hot key is reduced before the shuffle. Aggregates of structs are sorted by key, so rows are sorted
+    before and after it.
+    """
     best = F.max_by(F.struct(*cols), F.struct(*order)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, "_best.*")
 
@@ -32,11 +34,6 @@ def distinct_list(df: DataFrame, keys: Sequence[str], value: str, out: str, coun
         F.array_sort(F.collect_list(value)).alias(out), F.sum("_n").alias(count_out), *extra_merge)
 
 
-# A key above this many rows is split; there can be at most (rows / HOT_ROWS) such keys, which bounds
-# the broadcast of their list.
-HOT_ROWS = 1_000_000
-
-
 def match(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
     """Null-safe equi-join on equally named columns, keeping the left names."""
     other = right.select(*[F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
@@ -47,43 +44,47 @@ def match(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "in
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{c}" for c in cols])
 
 
-def sequence_within(df: DataFrame, keys: Sequence[str], coarse: str, fine: str, tie: str, out: str,
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Exact 1..n position per key in (coarse, fine, tie) order.
+def prefix_counts(counts: DataFrame, steps: Sequence[str], n: str, out: str) -> DataFrame:
+    """Segmented prefix sum: for each row of ``counts`` the sum of ``n`` over the rows of its segment that come before.
 
-    ``coarse`` must be a prefix of the order (the day of a time), ``tie`` a hex digest. One pass over the
-    keys alone finds those above ``hot_rows``; their list is checkpointed, so it is known to be small.
-    Ordinary keys are numbered by one window, hot ones by ``_sequence_split``.
+    ``steps`` are nested structs, from the segment to the row: each holds the one before as ``up`` and a further part of the
+    order as ``at``. A window sees the distinct ``at`` values under one ``up``, never a whole segment: sums of
+    the coarse parts are added to those inside a part.
     """
-    keys = list(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    hot = checkpointed(sizes.select(*keys))
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(coarse, fine, tie)).cast("bigint")
-    if hot.isEmpty():
-        return df.withColumn(out, position)
-    cold = match(df, F.broadcast(hot), keys, "left_anti").withColumn(out, position)
-    return cold.unionByName(_sequence_split(match(df, F.broadcast(hot), keys, "left_semi"), keys, coarse, fine, tie, out))
+    *coarse, last = steps
+    total = counts.withColumn(out, _before(n, last))
+    for step in reversed(coarse):
+        sums = counts.groupBy(step).agg(F.sum(n).alias("_s")).withColumn("_earlier", _before("_s", step)).drop("_s")
+        total = total.join(sums, step).withColumn(out, F.col(out) + F.col("_earlier")).drop("_earlier")
+    return total
+
+
+def _before(n: str, step: str) -> Column:
+    earlier = Window.partitionBy(F.col(step)["up"]).orderBy(F.col(step)["at"]).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(n).over(earlier), F.lit(0))
 
 
-def _sequence_split(df: DataFrame, keys: list[str], coarse: str, fine: str, tie: str, out: str) -> DataFrame:
-    """Positions without ordering a key in one task.
+def sequence_within(df: DataFrame, keys: Sequence[str], levels: Sequence[str], tie: str, out: str) -> DataFrame:
+    """Exact 1..n position per key in the order of ``levels`` (coarse to fine, each a prefix of the next one's
+    order, such as the day of a time and the time) and ``tie``, a hex digest.
 
-    Rows are numbered inside (key, coarse, fine, first digits of tie). The offset of such a cell is the
-    size of the earlier ones, summed over counts: first over a key's coarse values, then inside one.
+    One plan for all keys, whatever they hold: rows are counted per cell (key, levels, first digits of the tie), a
+    segmented prefix sum over the counts gives each cell its offset, and rows are numbered inside their cell. Keys and
+    levels may be null; they are packed in structs, which compare null with null and keep one partitioning for
+    the join and the window.
     """
-    cell = [*keys, coarse, fine, "_p"]
-    rows = df.withColumn("_p", F.substring(tie, 1, 2))
-    counts = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
-    days = counts.groupBy(*keys, coarse).agg(F.sum("_n").alias("_day_n"))
-    before_day = Window.partitionBy(*keys).orderBy(coarse).rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select(*keys, coarse, F.coalesce(F.sum("_day_n").over(before_day), F.lit(0)).alias("_day_off"))
-    in_day = Window.partitionBy(*keys, coarse).orderBy(fine, "_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = match(counts.withColumn("_cell_off", F.coalesce(F.sum("_n").over(in_day), F.lit(0))), days, [*keys, coarse])
-    offsets = offsets.select(*cell, (F.col("_day_off") + F.col("_cell_off")).alias("_off"))
-    in_cell = Window.partitionBy(*cell).orderBy(tie)
-    return (match(rows, offsets, cell)
-            .withColumn(out, (F.col("_off") + F.row_number().over(in_cell)).cast("bigint"))
-            .drop("_p", "_off"))
+    *coarse, fine = levels
+    step, steps, made = F.struct(*keys), [], []
+    for k, level in enumerate(coarse):
+        step = F.struct(step.alias("up"), F.col(level).alias("at"))
+        steps.append(f"_step{k}")
+        made.append(step.alias(f"_step{k}"))
+    cell = F.struct(step.alias("up"), F.struct(F.col(fine), F.substring(tie, 1, 2).alias("_p")).alias("at")).alias("_cell")
+    rows = df.withColumn("_cell", cell)
+    counts = df.select(*made, cell).groupBy(*steps, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = prefix_counts(counts, [*steps, "_cell"], "_n", "_off").select("_cell", "_off")
+    in_cell = Window.partitionBy("_cell").orderBy(tie)
+    return rows.join(offsets, "_cell").withColumn(out, (F.col("_off") + F.row_number().over(in_cell)).cast("bigint")).drop("_cell", "_off")
 
 
 def earlier_count(df: DataFrame, key: str, ts: str, out: str) -> DataFrame:
@@ -103,14 +104,12 @@ def earlier_count(df: DataFrame, key: str, ts: str, out: str) -> DataFrame:
     return df.join(offsets, [key, ts], "left").withColumn(out, F.coalesce(F.col(out), F.lit(0)))
 
 
-def chunked_list(df: DataFrame, keys: Sequence[str], coarse: str, fine: str, tie: str, value: Column, out: str,
-                 chunk_rows: int = 10_000, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All values per key in order, as one array per ``chunk`` of at most ``chunk_rows`` rows.
+def chunked_list(df: DataFrame, keys: Sequence[str], levels: Sequence[str], tie: str, value: Column, out: str, chunk_rows: int = 10_000) -> DataFrame:
+    """All values per key in order, as one array for every ``chunk`` of ``chunk_rows`` rows, numbered from 0.
 
-    A key below the limit has the single chunk 0; a hot key gets as many as it needs, so the
-    result stays whole and no array outgrows a task.
+    The rule is the same for every key and size; results stay whole and no array outgrows a task.
     """
-    seq = sequence_within(df, keys, coarse, fine, tie, "_seq", hot_rows)
+    seq = sequence_within(df, keys, levels, tie, "_seq")
     seq = seq.withColumn("chunk", F.floor((F.col("_seq") - 1) / chunk_rows).cast("int"))
     items = F.array_sort(F.collect_list(F.struct(F.col("_seq"), value.alias("_v"))))
     return seq.groupBy(*keys, "chunk").agg(F.transform(items, lambda x: x["_v"]).alias(out))

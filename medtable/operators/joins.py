@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.paths import nav, path
-from ..functions.skew import HOT_ROWS, sequence_within
+from ..functions.skew import sequence_within
 from ..session import checkpointed
 
 
@@ -36,18 +36,18 @@ def children_of(parent: DataFrame, child: DataFrame, parent_key: str, reference:
 
 
 def wide_dataset(index: DataFrame, key: str, related: dict[str, tuple[DataFrame, Column]], order: str, ident: str,
-                 chunk_rows: int = 10_000, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 chunk_rows: int = 10_000) -> DataFrame:
     """J09 (D8): one list column per related frame, with its first value as ``<name>_first``.
 
-    Rows of an index entry are numbered per column and cut into chunks of ``chunk_rows``; an entry below
-    the limit has chunk 0 only, and an entry without related rows has chunk 0 with empty lists.
+    Rows of an index entry are numbered per column and cut into chunks of ``chunk_rows``, whatever their number;
+    an entry without related rows has chunk 0 with empty lists.
     """
     rows = None
     for name, (df, value) in related.items():
         part = df.select(F.col(key), F.lit(name).alias("_col"), value.cast("string").alias("_v"), F.col(order).alias("_at"), F.to_date(order).alias("_day"),
                          S.row_key(F.col(ident)).alias("_tie")).where("_v IS NOT NULL")
         rows = part if rows is None else rows.unionByName(part)
-    rows = sequence_within(rows, [key, "_col"], "_day", "_at", "_tie", "_seq", hot_rows).withColumn("chunk", F.floor((F.col("_seq") - 1) / chunk_rows).cast("int"))
+    rows = sequence_within(rows, [key, "_col"], ["_day", "_at"], "_tie", "_seq").withColumn("chunk", F.floor((F.col("_seq") - 1) / chunk_rows).cast("int"))
     lists = []
     for name in related:
         items = F.array_sort(F.collect_list(F.when(F.col("_col") == name, F.struct("_seq", "_v"))))

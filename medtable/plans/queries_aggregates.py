@@ -181,13 +181,13 @@ def patient_health_summary(spark, sf):
 
 
 @query("patient_active_conditions_g10", oracle_prelude("condition+") + """
-SELECT patient_id, 0 AS chunk, string_agg(code_code || ' ' || category || ' ' || severity || ' ' || strftime(onset_datetime, '%Y-%m-%d'), '|'
-  ORDER BY onset_datetime, sha256(condition_id)) AS conditions FROM condition WHERE clinical_status = 'active' GROUP BY 1""")
+, c AS (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY onset_datetime, sha256(condition_id)) AS n FROM condition WHERE clinical_status = 'active')
+SELECT patient_id, CAST((n - 1) // 3 AS INT) AS chunk, string_agg(code_code || ' ' || category || ' ' || severity || ' ' || strftime(onset_datetime, '%Y-%m-%d'), '|' ORDER BY n) AS conditions FROM c GROUP BY 1, 2""")
 def patient_active_conditions(spark, sf):
     rows = flat(spark, sf, "condition", True).where("clinical_status = 'active'").withColumns(
         {"_day": F.to_date("onset_datetime"), "_tie": S.row_key(F.col("condition_id"))})
     value = F.concat_ws(" ", "code_code", "category", "severity", F.date_format("onset_datetime", "yyyy-MM-dd"))
-    return chunked_list(rows, ["patient_id"], "_day", "onset_datetime", "_tie", value, "conditions")
+    return chunked_list(rows, ["patient_id"], ["_day", "onset_datetime"], "_tie", value, "conditions", chunk_rows=3)
 
 
 @query("describe_a44", " UNION ALL ".join(

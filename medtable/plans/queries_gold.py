@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+from ..sources import writers as K
 from ..sources.star import AS_OF, flat, oracle_prelude, table
 from . import gold
 from .registry import query
@@ -129,6 +131,27 @@ def patient_timeline(spark, sf):
     return gold.patient_timeline(all_events(spark, sf), AS_OF)
 
 
+def _sorted_timeline(spark, sf):
+    where = scratch_dir(spark, "timeline")
+    K.write_sorted(gold.patient_timeline(all_events(spark, sf), AS_OF), where, ["patient_id"], ["event_time", "_hash_id"], files=8)
+    return where
+
+
+@query("sorted_timeline_l01", EVENTS_CTE + """, t AS (SELECT *, (event_time, sha256(event_id || event_type)) AS place FROM ev)
+SELECT patient_id, CAST(count(*) AS BIGINT) AS n, arg_min(event_id, place) AS first_event, arg_max(event_id, place) AS last_event FROM t GROUP BY 1""")
+def sorted_timeline(spark, sf):
+    """The timeline in reading order; the first and the last event of a patient are those that stand first and last in its files."""
+    rows = spark.read.parquet(_sorted_timeline(spark, sf))
+    place = F.struct(F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+    return rows.groupBy("patient_id").agg(F.count(F.lit(1)).alias("n"), F.min_by("event_id", place).alias("first_event"), F.max_by("event_id", place).alias("last_event"))
+
+
+@query("sorted_timeline_order_l01", EVENTS_CTE + "SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS rows_out_of_order, CAST(0 AS BIGINT) AS files_out_of_order FROM ev")
+def sorted_timeline_order(spark, sf):
+    """Nothing stands before what it follows, neither in a file nor across files."""
+    return K.order_faults(spark, _sorted_timeline(spark, sf), ["patient_id", "event_time", "_hash_id"])
+
+
 @query("demographic_timeline_g05", oracle_prelude("patient", "observation+", "condition+", "encounter") + """,
  ev AS (SELECT encounter_id AS id, patient_id, start_datetime AS sd, end_datetime AS ed, class_code, class_display,
    type_display AS encounter_type_display, reason_display, 'Encounter' AS event_type, NULL AS code_display, NULL AS quantity_value,

@@ -211,20 +211,30 @@ def _pull(spark, sf, late="0 seconds"):
 
 @query("incremental_pull_t01_t04_t05", "WITH z AS (SELECT 1)" + _LATE + f""" SELECT event_id, '{AS_OF}' AS ingest_date FROM (SELECT event_id FROM a UNION ALL SELECT event_id FROM b UNION ALL SELECT event_id FROM c)""")
 def incremental_pull(spark, sf):
-    """Rows at or before the mark are skipped for ever when no lateness is allowed."""
-    return spark.read.parquet(f"{_pull(spark, sf)}/bronze").select("event_id", "ingest_date")
+    """The table has the rows after the mark."""
+    return I.accepted(spark, f"{_pull(spark, sf)}/bronze").select("event_id", "ingest_date")
+
+
+@query("late_rows_t04", "WITH z AS (SELECT 1)" + _LATE + f""", m AS (SELECT max(ts) AS mark FROM (SELECT ts FROM a UNION ALL SELECT ts FROM b))
+ SELECT event_id, NULL AS missed_mark FROM (SELECT event_id FROM a UNION ALL SELECT event_id FROM b UNION ALL SELECT event_id FROM c)
+ UNION ALL SELECT event_id, strftime(mark, {TS}) FROM events, m WHERE event_id % 10 = 0 AND ts <= mark""")
+def late_rows(spark, sf):
+    """Every row of the input, those that came too late with the mark they missed."""
+    where = f"{_pull(spark, sf)}/bronze"
+    taken = I.accepted(spark, where).select("event_id", F.lit(None).cast("timestamp").alias("missed_mark"))
+    return taken.unionByName(I.rejected(spark, where).select("event_id", "missed_mark"))
 
 
 @query("cursor_table_t02_t03", "WITH z AS (SELECT 1)" + _LATE + f""" SELECT 'Event' AS resource_type, strftime(max(ts), {TS}) AS last_updated, '{AS_OF}' AS extracted_at FROM (SELECT ts FROM a UNION ALL SELECT ts FROM b UNION ALL SELECT ts FROM c)""")
 def cursor_table(spark, sf):
     """One cursor row with the typed maximum."""
-    return K.read_version(spark, f"{_pull(spark, sf)}/cursor").select("resource_type", "last_updated", "extracted_at")
+    return K.read_state(spark, f"{_pull(spark, sf)}/cursor").select("resource_type", "last_updated", "extracted_at")
 
 
 @query("late_allowance_t04", "SELECT CAST(count(*) AS BIGINT) AS n FROM events")
 def late_allowance(spark, sf):
     """An allowance of 60 days keeps every late row."""
-    return spark.read.parquet(f"{_pull(spark, sf, '60 days')}/bronze").agg(F.count(F.lit(1)).alias("n"))
+    return I.accepted(spark, f"{_pull(spark, sf, '60 days')}/bronze").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("batch_since_t01", "SELECT event_id FROM events WHERE ts > TIMESTAMP '2024-01-20'")
@@ -232,8 +242,8 @@ def batch_since(spark, sf):
     return I.since(_events(spark, sf), "ts", "2024-01-20T00:00:00Z").select("event_id")
 
 
-def _event_stream(spark, sf, parts=3):
-    """The event table as a stream of several files."""
+def _event_stream(spark, sf, parts=6):
+    """The event table as a stream of several files, a batch each."""
     where, ev = scratch_dir(spark, "stream"), _events(spark, sf)
     ev.repartition(parts, F.col("event_id")).write.parquet(f"{where}/in")
     return where, I.file_stream(spark, f"{where}/in", ev.schema, files_per_batch=1)
@@ -244,15 +254,15 @@ def merge_stream(spark, sf):
     """Newest event per key, whatever order the batches arrive in."""
     where, stream = _event_stream(spark, sf)
     I.merge_stream(stream.select("user_id", "event_id", "event_type", "ts"), f"{where}/state", f"{where}/ckpt", ["user_id"], ["ts", "event_id"])
-    return K.read_version(spark, f"{where}/state")
+    return K.read_state(spark, f"{where}/state")
 
 
 @query("metric_stream_t07", f"""SELECT strftime(date_trunc('day', ts), {TS}) AS ts, event_type, round(sum(value), 6) AS total, CAST(count(value) AS BIGINT) AS samples FROM events GROUP BY 1, 2""")
 def metric_stream(spark, sf):
     """Daily tumbling windows; a watermark longer than the data's disorder loses nothing."""
     where, stream = _event_stream(spark, sf)
-    I.bucketed_metrics(stream, f"{where}/state", f"{where}/ckpt", ["event_type"], "1 day", "60 days")
-    return K.read_version(spark, f"{where}/state")
+    I.bucketed_metrics(stream, f"{where}/state", f"{where}/ckpt", ["event_type"], "60 days", "1 day")
+    return K.read_state(spark, f"{where}/state")
 
 
 def _metric_columns(df):

@@ -31,19 +31,16 @@ def reverse_reference(spark, sf):
     return men.join(counts, "patient_id")
 
 
-def _agg(value, where, src):
-    return f"(SELECT patient_id, list({value} ORDER BY t, sha256(id)) AS l FROM {src} WHERE {where} GROUP BY 1)"
-
-
-@query("wide_dataset_j09", oracle_prelude("patient", "observation+", "condition+") + f""",
- o AS (SELECT patient_id, observation_id AS id, issued_datetime AS t, CAST(value AS VARCHAR) AS v, code_code FROM observation),
- c AS (SELECT patient_id, condition_id AS id, onset_datetime AS t, code_code AS v, clinical_status FROM condition)
-SELECT p.patient_id, 0 AS chunk, coalesce(array_to_string(a.l, '|'), '') AS pulse, a.l[1] AS pulse_first, coalesce(array_to_string(b.l, '|'), '') AS active_code, b.l[1] AS active_code_first
-FROM patient p LEFT JOIN {_agg('v', "code_code = '8867-4'", 'o')} a USING (patient_id) LEFT JOIN {_agg('v', "clinical_status = 'active'", 'c')} b USING (patient_id)""")
+@query("wide_dataset_j09", oracle_prelude("patient", "observation+", "condition+") + """,
+ x AS (SELECT 'a' AS col, patient_id, CAST(value AS VARCHAR) AS v, row_number() OVER (PARTITION BY patient_id ORDER BY issued_datetime, sha256(observation_id)) - 1 AS n FROM observation WHERE code_code = '8867-4'
+  UNION ALL SELECT 'b', patient_id, code_code, row_number() OVER (PARTITION BY patient_id ORDER BY onset_datetime, sha256(condition_id)) - 1 FROM condition WHERE clinical_status = 'active'),
+ g AS (SELECT patient_id, n // 3 AS chunk, list(v ORDER BY n) FILTER (WHERE col = 'a') AS a, list(v ORDER BY n) FILTER (WHERE col = 'b') AS b FROM x GROUP BY 1, 2)
+SELECT p.patient_id, CAST(coalesce(chunk, 0) AS INT) AS chunk, coalesce(array_to_string(a, '|'), '') AS pulse, a[1] AS pulse_first, coalesce(array_to_string(b, '|'), '') AS active_code, b[1] AS active_code_first
+FROM patient p LEFT JOIN g USING (patient_id)""")
 def wide_dataset(spark, sf):
     obs = flat(spark, sf, "observation", True).where("code_code = '8867-4'").select("patient_id", F.col("observation_id").alias("id"), F.col("issued_datetime").alias("at"), "value")
     cond = flat(spark, sf, "condition", True).where("clinical_status = 'active'").select("patient_id", F.col("condition_id").alias("id"), F.col("onset_datetime").alias("at"), "code_code")
-    return J.wide_dataset(flat(spark, sf, "patient"), "patient_id", {"pulse": (obs, F.col("value")), "active_code": (cond, F.col("code_code"))}, "at", "id")
+    return J.wide_dataset(flat(spark, sf, "patient"), "patient_id", {"pulse": (obs, F.col("value")), "active_code": (cond, F.col("code_code"))}, "at", "id", chunk_rows=3)
 
 
 @query("having_lacking_j11_u05_u06_f06", oracle_prelude("patient", "condition+", "medication_request+") + """,

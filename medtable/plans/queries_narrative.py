@@ -9,6 +9,7 @@ from .registry import query
 _DAY = "strftime({}, '%Y-%m-%d')"
 _EPOCH = "-CAST(epoch({}) AS BIGINT)"
 _BIG, _UNDATED = 2**62, 2**61
+CHUNK = 25
 
 
 def _section(n, title, rows, foot=True):
@@ -45,7 +46,8 @@ def _sql(people):
  {_section(8, 'LABORATORY RESULTS', _by_date('laboratory', 10, True), False)},
  {_section(9, 'CLINICAL NOTES', "SELECT patient_id, r AS ord, CAST(doc_id AS VARCHAR) AS id, '### ' || type_display || ' (' || strftime(note_date, '%Y-%m-%d') || ')' || chr(10) || chr(10) || text || chr(10) AS text FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY note_date DESC, doc_id) AS r FROM note WHERE doc_id % 4 <> 3) WHERE r <= 5", False)},
  u AS (SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t4 UNION ALL SELECT * FROM t5 UNION ALL SELECT * FROM t6 UNION ALL SELECT * FROM t7 UNION ALL SELECT * FROM t8 UNION ALL SELECT * FROM t9)
-SELECT patient_id, 0 AS chunk, string_agg(text, chr(10) ORDER BY section, ord, tie) AS narrative FROM u WHERE patient_id IN (SELECT patient_id FROM people) GROUP BY 1"""
+, v AS (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY section, ord, tie) - 1 AS n FROM u WHERE patient_id IN (SELECT patient_id FROM people))
+SELECT patient_id, CAST(n // {CHUNK} AS INT) AS chunk, string_agg(text, chr(10) ORDER BY n) AS narrative FROM v GROUP BY 1, 2"""
 
 
 def _narratives(spark, sf, patient, only=None):
@@ -58,7 +60,7 @@ def _narratives(spark, sf, patient, only=None):
                                                        "report_text": F.when(F.col("pk") % 4 == 0, F.concat(F.lit("Report "), "report_id"))})
     even = F.col("pk") % 2 == 0
     obs = frames["observation"].withColumns({"ref_low": F.when(even, 10.0), "ref_high": F.when(even, 40.0)})
-    return N.narrative(N.narrative_items(patient, frames["condition"], meds, reports, obs, note, AS_OF))
+    return N.narrative(N.narrative_items(patient, frames["condition"], meds, reports, obs, note, AS_OF), CHUNK)
 
 
 @query("patient_narrative_n01", _sql("SELECT * FROM patient"))

@@ -18,7 +18,6 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 
 AS_OF = "2002-01-01"
-SMALL_FILE = 256 * 1024 * 1024
 BASE = {"patient": "customer", "encounter": "orders"}
 
 
@@ -138,16 +137,14 @@ def flat(spark: SparkSession, sf_dir: str, name: str, with_patient: bool = False
 
 
 def spread(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
-    """Give a frame that comes from one small file as many partitions as there are cores.
+    """Give a frame that comes from a single file as many partitions as there are cores.
 
-    A single small file is a single task, however costly the projection on top of it. A table stored as
-    a folder of files is left alone: its splits already are the parallelism, and a shuffle would be waste.
+    A file of one row group is a single task, however costly the projection on top of it. A table stored as a folder of
+    files is left alone: its splits already are the parallelism.
     """
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
-    status = hpath.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hpath)
-    if status.isDirectory() or status.getLen() > SMALL_FILE:
+    if len(table(spark, sf_dir, name).inputFiles()) != 1:
         return df
-    return df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), df.columns[0])
 
 
 def _instant(col: str) -> str:

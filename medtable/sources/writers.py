@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -35,62 +35,134 @@ def write_partitioned(df: DataFrame, path: str, *cols: str, mode: str = "overwri
     writer.parquet(path)
 
 
+def write_sorted(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], files: int | None = None) -> None:
+    """Files that follow each other in the order of ``keys`` and ``order``, each sorted inside.
+
+    Rows are dealt out by ranges of the whole order, so a hot key spans as many files as it needs if ``order`` tells its
+    rows apart, and a reader of one key and time skips the others by Parquet's own minima and maxima. Nulls
+    come first. Without ``files`` their number follows the size that AQE aims at.
+    """
+    cols = [*keys, *order]
+    ranged = df.repartitionByRange(files, *cols) if files else df.repartitionByRange(*cols)
+    ranged.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
+
+
+def order_faults(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFrame:
+    """Rows, rows that come before the one ahead of them in their file, and files that start before the end of the
+    one ahead, of a table that ``write_sorted`` wrote; one row."""
+    rows = spark.read.parquet(path).select(F.struct(*cols).alias("at"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    ahead = F.lag("at").over(Window.partitionBy("file").orderBy("row"))
+    files = rows.withColumn("wrong", F.coalesce((F.col("at") < ahead).cast("int"), F.lit(0))).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("wrong").alias("wrong"), F.min("at").alias("first"), F.max("at").alias("last"))
+    # a row for each file, in one group: files are far fewer than rows
+    before = F.max("last").over(Window.partitionBy(F.lit(1)).orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    overlap = F.coalesce((F.col("first") < before).cast("int"), F.lit(0))
+    return files.withColumn("overlap", overlap).agg(F.sum("n").alias("n"), F.sum("wrong").alias("rows_out_of_order"), F.sum("overlap").alias("files_out_of_order"))
+
+
 def with_year(df: DataFrame, col: str) -> DataFrame:
     """``<col>_year`` partition column; null when the value is no date."""
     return df.withColumn(f"{col}_year", F.year(S.parse_datetime(F.col(col).cast("string"))))
 
 
-def versions(spark: SparkSession, path: str) -> list[str]:
-    """Committed versions of a versioned table, oldest first; a version counts once its write succeeded."""
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v*/_SUCCESS")
-    found = hpath.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hpath) or []
-    return sorted(f.getPath().getParent().toString() for f in found)
+# ---- state tables: rows by key, in partitions of the key's hash ----
+
+#: Partitions of a state table unless its caller says otherwise; a table keeps the number it was made with.
+BUCKETS = 64
+PART = "_part"
+
 
+def key_part(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
+    """Partition of a row: the hash of its key."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
-def read_version(spark: SparkSession, path: str) -> DataFrame | None:
-    """Newest committed version, or None."""
-    found = versions(spark, path)
-    return spark.read.parquet(found[-1]) if found else None
 
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}.pending"
 
-def _commit(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
-    n = len(versions(spark, path)) + 1
-    target = f"{path}/v{n:08d}"
-    df.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
 
+def read_state(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rows of a state table, or None before the first merge; a merge that died while it swapped its partitions in is finished first."""
+    _finish(spark, path)
+    return spark.read.option("mergeSchema", True).parquet(path).drop(PART) if exists(spark, f"{path}/{PART}=*") else None
 
-def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Update matched keys, insert the others, as a new committed version.
 
-    ``source`` has one row per key; null keys match each other. A reader sees the old version until the new one is complete, and a
-    job that dies half-way leaves the old one in place. Single writer.
+def _swap(spark: SparkSession, path: str) -> None:
+    write_partitioned(spark.read.parquet(_pending(path)), path, PART)
+
+
+def _finish(spark: SparkSession, path: str) -> None:
+    """Swap in what a failed merge had ready. A folder without its mark of success is a merge that changed nothing."""
+    pending = _pending(path)
+    if exists(spark, f"{pending}/_SUCCESS") and exists(spark, f"{pending}/*.parquet"):
+        ready = spark.read.parquet(pending)
+        if not ready.isEmpty():
+            _swap(spark, path)
+            _clear(spark, path, ready.schema)
+
+
+def _clear(spark: SparkSession, path: str, schema) -> None:
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(_pending(path))
+
+
+def merge_state(spark: SparkSession, path: str, source: DataFrame, combine: Callable[[DataFrame | None, DataFrame], DataFrame], part: Column) -> DataFrame:
+    """Replace the partitions that ``source`` touches by ``combine(their rows, source)``; the others are neither read nor written.
+
+    ``part`` is a function of the key, so a key never changes its partition. The new partitions are made ready beside the
+    table and then swapped in by a dynamic overwrite. A merge that dies before they are ready leaves the table
+    as it is; one that dies later is finished by the next reader or writer. Single writer.
+    """
+    _finish(spark, path)
+    # the batch is computed once, and its partitions, at most as many as the table has, come to the driver
+    batch = scratch_dir(spark, "batch")
+    source.withColumn(PART, part).write.parquet(batch)
+    rows = spark.read.parquet(batch)
+    touched = [r[0] for r in rows.select(PART).distinct().collect()]
+    if touched:
+        target = None
+        if exists(spark, f"{path}/{PART}=*"):
+            old = spark.read.option("mergeSchema", True).parquet(path)
+            hit = F.col(PART).isin([t for t in touched if t is not None])
+            target = old.where(hit | F.col(PART).isNull() if None in touched else hit)
+        merged = combine(target, rows)
+        merged.write.mode("overwrite").parquet(_pending(path))
+        _swap(spark, path)
+        _clear(spark, path, merged.schema)
+    return read_state(spark, path)
+
+
+def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], buckets: int = BUCKETS, part: Column | None = None) -> DataFrame:
+    """Update matched keys, insert the others. ``source`` has one row per key; null keys match each other.
+
+    A batch that is run again changes nothing.
     """
-    target = read_version(spark, path)
-    merged = source if target is None else match(target, source.select(*keys).distinct(), list(keys), "left_anti").unionByName(source, allowMissingColumns=True)
-    return _commit(spark, path, merged)
+    def combine(target, rows):
+        return rows if target is None else match(target, rows.select(*keys), list(keys), "left_anti").unionByName(rows, allowMissingColumns=True)
+    return merge_state(spark, path, source, combine, key_part(keys, buckets) if part is None else part)
 
 
-def upsert_latest(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def upsert_latest(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
     """Like ``upsert``, but an older source row never replaces a newer one; duplicates reduce to the newest."""
-    target = read_version(spark, path)
-    rows = source if target is None else target.unionByName(source, allowMissingColumns=True)
-    cols = [c for c in rows.columns if c not in keys]
-    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_r")).select(*keys, "_r.*")
-    return _commit(spark, path, best)
+    def combine(target, rows):
+        both = rows if target is None else target.unionByName(rows, allowMissingColumns=True)
+        cols = [c for c in both.columns if c not in keys]
+        return both.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_r")).select(*keys, "_r.*")
+    return merge_state(spark, path, source, combine, key_part(keys, buckets))
 
 
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition: str) -> None:
     """K05 for large tables whose keys never change partition: only partitions named by the source are read and replaced.
 
     The merged partitions are first written to the shared scratch folder, then swapped in by a dynamic
-    overwrite, so a lost executor or a failed job cannot damage the table's other partitions.
+    overwrite, so a lost executor or a failed job cannot damage the table's other partitions. Null keys match each
+    other, and null is a partition like any other.
     """
     if not exists(spark, path):
         write_partitioned(source, path, partition)
         return
-    target = spark.read.parquet(path).join(source.select(partition).distinct(), partition, "left_semi")
-    kept = target.join(source.select(*keys, partition).distinct(), [*keys, partition], "left_anti")
+    target = match(spark.read.parquet(path), source.select(partition).distinct(), [partition], "left_semi")
+    by = list(dict.fromkeys([*keys, partition]))
+    kept = match(target, source.select(*by).distinct(), by, "left_anti")
     staged = scratch_dir(spark, "merge")
     kept.unionByName(source, allowMissingColumns=True).write.parquet(staged)
     write_partitioned(spark.read.parquet(staged), path, partition)

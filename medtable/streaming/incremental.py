@@ -1,14 +1,15 @@
 """Incremental behaviour (T01-T10) with Structured Streaming file sources.
 
 Each function runs a query to the end of the available input and returns; a second call goes on where
-the checkpoint stopped. State that later batches need lives in versioned tables beside the checkpoint.
+the checkpoint stopped. State that later batches need lives in state tables beside the checkpoint. How late a row may come is
+always an argument.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +42,7 @@ def since(df: DataFrame, ts: str, mark: str = START) -> DataFrame:
 
 def read_cursor(spark: SparkSession, path: str, kind: str):
     """High-water mark of a record type, or the start value; one row per type."""
-    cursors = K.read_version(spark, path)
+    cursors = K.read_state(spark, path)
     row = None if cursors is None else cursors.where(F.col("resource_type") == kind).select("last_updated").first()
     return F.lit(START).cast("timestamp") if row is None else F.lit(row["last_updated"])
 
@@ -50,54 +51,90 @@ def update_cursor(spark: SparkSession, path: str, batch: DataFrame, ts: str, kin
     """Typed maximum and count of the new rows, merged by type; the mark never moves back."""
     mark = batch.agg(F.max(ts).alias("last_updated"), F.count(F.lit(1)).alias("record_count")).where("last_updated IS NOT NULL")
     row = mark.select(F.lit(kind).alias("resource_type"), "last_updated", F.lit(as_of).alias("extracted_at"), "record_count")
-    K.upsert_latest(spark, path, row, ["resource_type"], ["last_updated"])
+    K.upsert_latest(spark, path, row, ["resource_type"], ["last_updated"], buckets=1)
+
+
+def begin_batch(spark: SparkSession, log: str, batch_id: int, mark: Column, as_of: str):
+    """The mark and the ingest date that a batch started with, stored before any of its data.
+
+    A batch that is run again, at whatever point it failed and on whatever day, gets what it got the first time.
+    """
+    if K.exists(spark, f"{log}/batch_id={batch_id}/*.parquet"):
+        entry = spark.read.schema("mark timestamp, ingest_date date").parquet(f"{log}/batch_id={batch_id}")
+    else:
+        entry = spark.range(1).select(mark.alias("mark"), F.lit(as_of).cast("date").alias("ingest_date"))
+        entry.coalesce(1).write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+        entry = spark.read.schema(entry.schema).parquet(f"{log}/batch_id={batch_id}")
+    row = entry.first()
+    return row["mark"], row["ingest_date"]
 
 
 def pull(spark: SparkSession, source: str, schema: T.StructType, bronze: str, cursor: str, checkpoint: str, ts: str, kind: str, as_of: str,
-         allow_late: str = "0 seconds") -> None:
+         allow_late: str) -> None:
     """Append rows after the high-water mark to bronze by ingest date, then store the new mark.
 
-    Rows at or before the mark are skipped, as the incremental pull does; ``allow_late`` widens that.
-    The batch id is part of the partition and its files are replaced on a retry. A batch that is run again
-    on a later day keeps the date it was first stored under, so it leaves one copy.
+    Rows at or before the mark less ``allow_late``, and rows without a time, are too late. Both kinds are stored by one
+    write, told apart by the partition ``late``: ``accepted`` reads the table, ``rejected`` the others with the mark
+    they missed, so each row of the input is in one of them. The batch id is part of the partition, and its files are
+    replaced by a retry, which decides and dates every row as the first run did (``begin_batch``).
     """
-    stored = "ingest_date date, batch_id int"
-
     def each(batch: DataFrame, batch_id: int) -> None:
-        mark = read_cursor(spark, cursor, kind) - F.expr(f"INTERVAL {allow_late}")
-        fresh = batch.where(F.col(ts) > mark)
-        earlier = spark.read.schema(stored).parquet(bronze).where(F.col("batch_id") == batch_id).agg(F.min("ingest_date")).first()[0] if K.exists(spark, bronze) else None
-        day = F.lit(earlier or as_of).cast("date")
-        out = fresh.withColumns({"ingest_date": day, "batch_id": F.lit(batch_id)})
-        K.write_partitioned(out, bronze, "ingest_date", "batch_id")
-        update_cursor(spark, cursor, spark.read.schema(out.schema).parquet(bronze).where(F.col("batch_id") == batch_id).where(F.col("ingest_date") == day), ts, kind, as_of)
+        mark, day = begin_batch(spark, f"{cursor}.batches", batch_id, read_cursor(spark, cursor, kind) - F.expr(f"INTERVAL {allow_late}"), as_of)
+        late = ~F.coalesce(F.col(ts) > F.lit(mark), F.lit(False))
+        out = batch.withColumns({"missed_mark": F.when(late, F.lit(mark)), "late": late, "ingest_date": F.lit(day), "batch_id": F.lit(batch_id)})
+        K.write_partitioned(out, bronze, "late", "ingest_date", "batch_id")
+        stored = accepted(spark, bronze, batch.schema)
+        if stored is not None:
+            update_cursor(spark, cursor, stored.where(F.col("batch_id") == batch_id), ts, kind, as_of)
 
     run_batches(file_stream(spark, source, schema), checkpoint, each)
 
 
-def merge_stream(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Newest row per key kept in a versioned table."""
+def _side(spark: SparkSession, bronze: str, late: bool, schema: T.StructType | None) -> DataFrame | None:
+    where = f"{bronze}/late={str(late).lower()}"
+    if not K.exists(spark, where):
+        return None
+    fields = None if schema is None else T.StructType([*schema.fields, T.StructField("missed_mark", T.TimestampType()), T.StructField("ingest_date", T.DateType()), T.StructField("batch_id", T.IntegerType())])
+    rows = (spark.read if fields is None else spark.read.schema(fields)).parquet(where)
+    return rows if late else rows.drop("missed_mark")
+
+
+def accepted(spark: SparkSession, bronze: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The rows that ``pull`` took, or None."""
+    return _side(spark, bronze, False, schema)
+
+
+def rejected(spark: SparkSession, bronze: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The rows that came too late, with the mark they missed, or None."""
+    return _side(spark, bronze, True, schema)
+
+
+def merge_stream(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], buckets: int = K.BUCKETS) -> None:
+    """Newest row per key kept in a state table; a batch touches the partitions of its keys only."""
     spark = stream.sparkSession
 
     def each(batch: DataFrame, _: int) -> None:
-        K.upsert_latest(spark, path, batch, keys, order)
+        K.upsert_latest(spark, path, batch, keys, order, buckets)
 
     run_batches(stream, checkpoint, each)
 
 
-def bucketed_metrics(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], bucket: str = "1 day", late: str = "2 days") -> None:
-    """Tumbling sums and counts with a watermark; changed buckets are merged by key."""
+def bucketed_metrics(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], late: str, bucket: str = "1 day") -> None:
+    """Tumbling sums and counts with a watermark ``late`` behind; changed buckets are merged by key.
+
+    The table is partitioned by the day of the bucket, so a batch replaces the days it has rows of.
+    """
     spark = stream.sparkSession
     agg = stream.withWatermark("ts", late).groupBy(F.window("ts", bucket).alias("w"), *keys).agg(F.sum("value").alias("total"), F.count("value").alias("samples"))
     flat = agg.select(F.col("w.start").alias("ts"), *keys, "total", "samples")
 
     def each(batch: DataFrame, _: int) -> None:
-        K.upsert(spark, path, batch, ["ts", *keys])
+        K.upsert(spark, path, batch, ["ts", *keys], part=F.to_date("ts"))
 
     run_batches(flat, checkpoint, each, "update")
 
 
-def alert_stream(stream: DataFrame, path: str, checkpoint: str, definitions: Sequence[L.Definition], late: str = "2 days") -> DataFrame:
+def alert_stream(stream: DataFrame, path: str, checkpoint: str, definitions: Sequence[L.Definition], late: str) -> DataFrame:
     """Hourly totals per definition as streaming state; alerts with cool-down from those few rows.
 
     Metrics meet their definitions by a generated array, so no definition's metrics gather in one task:
@@ -109,7 +146,7 @@ def alert_stream(stream: DataFrame, path: str, checkpoint: str, definitions: Seq
     hourly = matched.withWatermark("ts", late).groupBy(F.window("ts", "1 hour").alias("w"), "name").agg(F.sum("value").alias("total"), F.count("value").alias("samples"))
 
     def each(batch: DataFrame, _: int) -> None:
-        K.upsert(spark, path, batch, ["hour", "name"])
+        K.upsert(spark, path, batch, ["hour", "name"], part=F.to_date("hour"))
 
     run_batches(hourly.select(F.col("w.start").alias("hour"), "name", "total", "samples"), checkpoint, each, "update")
-    return L.raise_alerts(K.read_version(spark, path), definitions)
+    return L.raise_alerts(K.read_state(spark, path), definitions)

@@ -29,23 +29,96 @@ def test_missing_inputs(spark):
         S.read_table(spark, where)
 
 
-def test_upsert_keeps_old_version_until_done(spark):
+def keyed(spark, *rows):
+    return spark.createDataFrame(rows, "k STRING, v STRING")
+
+
+def test_failed_upsert_changes_nothing(spark):
     where = scratch_dir(spark, "t")
-    a = spark.createDataFrame([("1", "a"), ("2", "a")], "k STRING, v STRING")
-    K.upsert(spark, where, a, ["k"])
-    broken = spark.createDataFrame([("2", "x")], "k STRING, v STRING").withColumn("v", F.raise_error(F.lit("boom")).cast("string"))
+    K.upsert(spark, where, keyed(spark, ("1", "a"), ("2", "a")), ["k"])
+    broken = keyed(spark, ("2", "x")).withColumn("v", F.raise_error(F.lit("boom")).cast("string"))
     with pytest.raises(Exception, match="boom"):
         K.upsert(spark, where, broken, ["k"])
-    assert len(K.versions(spark, where)) == 1
-    K.upsert(spark, where, spark.createDataFrame([("2", "b"), ("3", "b")], "k STRING, v STRING"), ["k"])
-    assert sorted(tuple(r) for r in K.read_version(spark, where).collect()) == [("1", "a"), ("2", "b"), ("3", "b")]
+    assert sorted(tuple(r) for r in K.read_state(spark, where).collect()) == [("1", "a"), ("2", "a")]
+    K.upsert(spark, where, keyed(spark, ("2", "b"), ("3", "b")), ["k"])
+    assert sorted(tuple(r) for r in K.read_state(spark, where).collect()) == [("1", "a"), ("2", "b"), ("3", "b")]
+
+
+@pytest.mark.parametrize("step", ["_swap", "_clear"])
+def test_upsert_that_dies_half_way_is_finished_later(spark, monkeypatch, step):
+    where = scratch_dir(spark, "t")
+    K.upsert(spark, where, keyed(spark, ("1", "a"), ("2", "a")), ["k"])
+    with monkeypatch.context() as m:
+        m.setattr(K, step, lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            K.upsert(spark, where, keyed(spark, ("2", "b"), ("3", "b")), ["k"])
+    assert sorted(tuple(r) for r in K.read_state(spark, where).collect()) == [("1", "a"), ("2", "b"), ("3", "b")]
+    K.upsert(spark, where, keyed(spark, ("2", "b"), ("3", "b")), ["k"])  # the batch again
+    assert sorted(tuple(r) for r in K.read_state(spark, where).collect()) == [("1", "a"), ("2", "b"), ("3", "b")]
+
+
+def test_upsert_writes_what_its_batch_touches(spark):
+    from pathlib import Path
+
+    where = scratch_dir(spark, "t")
+    K.upsert(spark, where, spark.range(4000).select(F.col("id").cast("string").alias("k"), F.lit("a").alias("v")), ["k"])
+
+    def files():
+        return {str(f): f.stat().st_mtime_ns for f in Path(where.removeprefix("file:")).rglob("*.parquet")}
+    before = files()
+    assert len({f.split("_part=")[1].split("/")[0] for f in before}) == K.BUCKETS
+    K.upsert(spark, where, keyed(spark, ("7", "b"), ("new", "b")), ["k"])
+    after = files()
+    changed = {f.split("_part=")[1].split("/")[0] for f in before.items() ^ after.items() for f in f[:1]}
+    assert 1 <= len(changed) <= 2
+    rows = K.read_state(spark, where)
+    assert rows.count() == 4001 and rows.where("v = 'b'").count() == 2
+
+
+def test_state_with_null_and_new_columns(spark):
+    where = scratch_dir(spark, "t")
+    K.upsert(spark, where, keyed(spark, (None, "a"), ("1", "a")), ["k"])
+    K.upsert(spark, where, keyed(spark, (None, "b"), ("2", None)).withColumn("more", F.lit(1)), ["k"])
+    assert sorted(((r["k"] or "", r["v"] or "", r["more"]) for r in K.read_state(spark, where).collect()), key=str) == [("", "b", 1), ("1", "a", None), ("2", "", 1)]
+
+
+def test_upsert_partitions_keeps_null_keys_and_partitions(spark):
+    where = scratch_dir(spark, "t")
+    cols = "k INT, v STRING, p STRING"
+    K.upsert_partitions(spark, where, spark.createDataFrame([(1, "a", "x"), (None, "b", "x"), (3, "c", None), (4, "d", None), (5, "e", "y")], cols), ["k"], "p")
+    K.upsert_partitions(spark, where, spark.createDataFrame([(None, "B", "x"), (3, "C", None)], cols), ["k"], "p")
+    got = sorted(((r["k"], r["v"], r["p"]) for r in spark.read.parquet(where).collect()), key=str)
+    assert got == sorted([(1, "a", "x"), (None, "B", "x"), (3, "C", None), (4, "d", None), (5, "e", "y")], key=str)
 
 
 def test_upsert_latest_ignores_older_rows(spark):
     where = scratch_dir(spark, "t")
     for rows in ([("1", 5, "new")], [("1", 3, "old"), ("2", 1, "first"), ("2", 2, "second")]):
         K.upsert_latest(spark, where, spark.createDataFrame(rows, "k STRING, t INT, v STRING"), ["k"], ["t"])
-    assert sorted(tuple(r) for r in K.read_version(spark, where).collect()) == [("1", 5, "new"), ("2", 2, "second")]
+    assert sorted(tuple(r) for r in K.read_state(spark, where).collect()) == [("1", 5, "new"), ("2", 2, "second")]
+
+
+def test_sorted_files_follow_each_other_and_split_a_hot_key(spark):
+    """One patient owns a third of the rows, and no file holds much more than its share."""
+    import pyarrow.parquet as pq
+    from pathlib import Path
+
+    where = scratch_dir(spark, "t")
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 100)).alias("patient_id"),
+                                      F.when(F.col("id") % 5 > 0, F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(10**6)))).alias("event_time"), F.sha2(F.col("id").cast("string"), 256).alias("tie"))
+    cols = ["patient_id", "event_time", "tie"]
+    K.write_sorted(rows, where, cols[:1], cols[1:], files=12)
+    assert tuple(K.order_faults(spark, where, cols).first()) == (30_000, 0, 0)
+    parts = sorted(Path(where.removeprefix("file:")).glob("*.parquet"))
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in parts]
+    assert len(sizes) == 12 and sum(sizes) == 30_000 and max(sizes) < 2 * 30_000 / 12
+    holding = 0
+    for f in parts:  # minima and maxima of the files leave few for one ordinary patient
+        group = pq.ParquetFile(f).metadata.row_group(0).column(0).statistics
+        holding += group.min <= "p50" <= group.max
+    assert holding <= 2
+    rows.write.mode("overwrite").parquet(where)
+    assert K.order_faults(spark, where, cols).first()["rows_out_of_order"] > 0
 
 
 def test_year_partition(spark):
@@ -64,7 +137,7 @@ def test_pull_restarts_where_it_stopped(spark):
     def run(late="0 seconds"):
         from pyspark.sql import types as T
         I.pull(spark, f"{where}/in", T.StructType.fromDDL(schema), f"{where}/bronze", f"{where}/cursor", f"{where}/ckpt", "ts", "Event", "2024-02-01", late)
-        return sorted(r["id"] for r in spark.read.parquet(f"{where}/bronze").collect())
+        return sorted(r["id"] for r in I.accepted(spark, f"{where}/bronze").collect())
 
     arrive((1, "2024-01-01"), (2, "2024-01-05"))
     assert run() == [1, 2]
@@ -73,26 +146,50 @@ def test_pull_restarts_where_it_stopped(spark):
     assert run() == [1, 2, 4]
     arrive((5, "2024-01-04"))
     assert run("3 days") == [1, 2, 4, 5]
-    row = K.read_version(spark, f"{where}/cursor").collect()[0]
+    late = {(r["id"], str(r["missed_mark"])[:10]) for r in I.rejected(spark, f"{where}/bronze").collect()}
+    assert late == {(3, "2024-01-05")}
+    arrive((6, None))
+    assert run("3 days") == [1, 2, 4, 5]
+    assert sorted(r["id"] for r in I.rejected(spark, f"{where}/bronze").collect()) == [3, 6]
+    row = K.read_state(spark, f"{where}/cursor").collect()[0]
     assert row["resource_type"] == "Event" and str(row["last_updated"])[:10] == "2024-01-06"
 
 
-def test_pull_retried_on_another_day(spark, monkeypatch):
-    """A batch that fails between the table and the mark is stored once, under its first date."""
+@pytest.mark.parametrize("fails", ["begin_batch", "write_partitioned", "update_cursor", "after"])
+def test_pull_retried_on_another_day(spark, monkeypatch, fails):
+    """Whichever write a batch fails after, its retry decides and dates every row as the first run did."""
     where = scratch_dir(spark, "t")
-    rows = spark.range(5).select("id", F.lit("2024-01-03").cast("timestamp").alias("ts"))
-    rows.write.parquet(f"{where}/in")
+    schema = spark.range(1).select("id", F.lit("2024-01-03").cast("timestamp").alias("ts")).schema
+
+    def arrive(first, last):
+        spark.range(first, last).select("id", F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).cast("timestamp").alias("ts")).write.mode("append").parquet(f"{where}/in")
 
     def run(day):
-        I.pull(spark, f"{where}/in", rows.schema, f"{where}/bronze", f"{where}/cursor", f"{where}/ckpt", "ts", "Event", day)
+        I.pull(spark, f"{where}/in", schema, f"{where}/bronze", f"{where}/cursor", f"{where}/ckpt", "ts", "Event", day, "5 days")
+
+    def rows():
+        return sorted((r["id"], str(r["ingest_date"])) for r in I.accepted(spark, f"{where}/bronze").collect())
+
+    arrive(10, 12)
+    run("2024-02-01")
+    arrive(0, 20)
+    target, name = (K, fails) if fails == "write_partitioned" else (I, "update_cursor" if fails == "after" else fails)
+    real = getattr(target, name)
+
+    def broken(*args, **kwargs):
+        real(*args, **kwargs)
+        raise RuntimeError("lost")
 
     with monkeypatch.context() as m:
-        m.setattr(I, "update_cursor", lambda *_: 1 / 0)
+        m.setattr(target, name, broken)
         with pytest.raises(Exception):
-            run("2024-02-01")
-    run("2024-02-02")
-    got = spark.read.parquet(f"{where}/bronze").collect()
-    assert sorted(r["id"] for r in got) == [0, 1, 2, 3, 4] and {str(r["ingest_date"]) for r in got} == {"2024-02-01"}
+            run("2024-02-02")
+    run("2024-02-03")
+    # the mark was the 12th less five days
+    day = "2024-02-02"
+    assert rows() == sorted([(10, "2024-02-01"), (11, "2024-02-01")] + [(k, day) for k in range(7, 20)])
+    assert sorted(r["id"] for r in I.rejected(spark, f"{where}/bronze").collect()) == list(range(7))
+    assert str(K.read_state(spark, f"{where}/cursor").first()["last_updated"])[:10] == "2024-01-20"
 
 
 def test_hash_sample_is_repeatable(spark):

@@ -29,4 +29,17 @@ def test_every_query_has_a_check():
 def test_entry(spark):
     import __spark_entry__ as e
     assert e.entry(spark).limit(1).count() == 1
-    assert e.queries().keys() == QUERIES.keys()
+    assert e.queries().keys() >= QUERIES.keys() and e.oracle_sql().keys() >= ORACLES.keys()
+
+
+def test_training_queries_come_with_their_subpackage():
+    import importlib.util
+
+    import __spark_entry__ as e
+
+    more = e.queries().keys() - QUERIES.keys()
+    if importlib.util.find_spec("medtable.llm"):
+        assert {n.split("_")[0] for n in more if n.startswith("op")} >= {f"op{k}" for k in range(1, 14)}
+        assert ("pipeline" in more) == bool(importlib.util.find_spec("corpus_pipeline"))
+    else:
+        assert not more

@@ -29,9 +29,9 @@ def df(spark, rows):
     return spark.createDataFrame(rows, "k STRING, ts TIMESTAMP, id STRING, v DOUBLE, c STRING").withColumns({"day": F.to_date("ts"), "tie": S.row_key(F.col("id"))})
 
 
-@pytest.mark.parametrize("hot_rows", [0, 100, 10**6])
-def test_sequence(df, hot_rows):
-    got = K.sequence_within(df, ["k"], "day", "ts", "tie", "n", hot_rows).select("k", "ts", "tie", "n").toPandas()
+@pytest.mark.parametrize("levels", [["day", "ts"], ["ts"], ["month", "day", "ts"]])
+def test_sequence(df, levels):
+    got = K.sequence_within(df.withColumn("month", F.trunc("day", "month")), ["k"], levels, "tie", "n").select("k", "ts", "tie", "n").toPandas()
     assert len(got) == 1500
     got = got.sort_values(["ts", "tie"])
     want = got.groupby("k", dropna=False).cumcount() + 1
@@ -45,9 +45,29 @@ def test_earlier_count_is_strict(df):
         assert [int((g["ts"] < t).sum()) for t in g["ts"]] == list(g["n"])
 
 
-@pytest.mark.parametrize("hot_rows", [50, 10**6])
-def test_chunks_are_whole_and_ordered(df, hot_rows):
-    got = K.chunked_list(df, ["k"], "day", "ts", "tie", F.col("id"), "ids", chunk_rows=64, hot_rows=hot_rows).toPandas()
+def test_sequence_starts_no_job_and_no_task_holds_a_key(spark):
+    """A key with a third of the rows, most of them at one instant: cells stay small, and planning reads nothing."""
+    n = 6000
+    rows = spark.range(n).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("k"),
+                                 F.when(F.col("id") % 9 < 6, F.lit("2020-01-01")).otherwise(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 30).cast("int"))).cast("timestamp").alias("ts"), "id")
+    rows = rows.withColumns({"day": F.to_date("ts"), "tie": S.row_key(F.col("id").cast("string"))})
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "numbering")
+    try:
+        out = K.sequence_within(rows, ["k"], ["day", "ts"], "tie", "n")
+        assert len(tracker.getJobIdsForGroup("planning")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k#" not in text and "SinglePartition" not in text  # nothing is dealt out by the key alone
+    largest = rows.groupBy("k", "day", "ts", F.substring("tie", 1, 2)).count().agg(F.max("count")).first()[0]
+    assert largest < n / 3 / 20
+    got = out.groupBy("k").agg(F.count("n").alias("c"), F.countDistinct("n").alias("d"), F.min("n").alias("a"), F.max("n").alias("b")).collect()
+    assert all(r["c"] == r["d"] == r["b"] and r["a"] == 1 for r in got)
+
+
+def test_chunks_are_whole_and_ordered(df):
+    got = K.chunked_list(df, ["k"], ["day", "ts"], "tie", F.col("id"), "ids", chunk_rows=64).toPandas()
     assert got["ids"].map(len).max() <= 64 and got["ids"].map(len).sum() == 1500
     hot = got[got["k"] == "hot"].sort_values("chunk")
     want = df.where("k = 'hot'").orderBy("ts", "tie").toPandas()["id"].tolist()
