@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.paths import nav, path
+from ..functions.paths import path
 from ..functions.skew import sequence_within
-from ..session import checkpointed
+from ..functions.walk import references
 
 
 def reconcile(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
@@ -110,62 +110,51 @@ def value_at(facts: DataFrame, key: str, column: str, value: str, ts: str, tie:
     return newest.groupBy(key).pivot(column, list(values)).agg(F.max("_v"))
 
 
-def _reference_lists(kind: str) -> dict[str, Column]:
-    """Reference paths of a record type, each as a list of ``Type/id`` texts."""
-    def one(spec):
-        return F.array(path(spec + ".reference"))
+def reference_edges(df: DataFrame, kind: str) -> DataFrame:
+    """One row per reference of a record, wherever it stands: source, path with list indices, and parsed target;
+    unparsable ones are dropped."""
+    found = F.transform(references(df.schema), lambda r: F.struct(r["path"].alias("path"), S.reference_parts(r["reference"]).alias("t")))
+    edges = df.select(F.lit(kind).alias("src_type"), F.col("id").alias("src_id"), F.explode(found).alias("e"))
+    return edges.where("e.t IS NOT NULL").select("src_type", "src_id", "e.path", F.col("e.t.type").alias("dst_type"), F.col("e.t.id").alias("dst_id"))
 
-    def many(first, *rest):
-        step = nav(first).all()
-        for name in rest:
-            step = step.f(name)
-        return step.f("reference").col
 
-    if kind == "Patient":
-        return {"generalPractitioner": many("generalPractitioner")}
-    if kind == "Encounter":
-        return {"subject": one("subject"), "participant.individual": many("participant", "individual"), "location.location": many("location", "location"),
-                "serviceProvider": one("serviceProvider"), "partOf": one("partOf"), "diagnosis.condition": many("diagnosis", "condition")}
-    if kind == "Observation":
-        return {"subject": one("subject"), "encounter": one("encounter"), "performer": many("performer"), "device": one("device")}
-    if kind == "Condition":
-        return {"subject": one("subject"), "encounter": one("encounter"), "recorder": one("recorder")}
-    if kind == "MedicationRequest":
-        return {"subject": one("subject"), "encounter": one("encounter"), "requester": one("requester"), "medicationReference": one("medicationReference")}
-    return {"subject": one("subject"), "encounter": one("encounter"), "result": many("result"), "performer": many("performer")}
+#: A record that more than one in ``SHARES`` rows of a frontier have reached is a hub; there can be no more hubs than that.
+SHARES = 1_000
 
 
-def reference_edges(df: DataFrame, kind: str) -> DataFrame:
-    """One row per reference of a record: source, path and parsed target; unparsable ones are dropped."""
-    def targets(name, refs):
-        return F.transform(F.coalesce(refs, F.array().cast("array<string>")), lambda r: F.struct(F.lit(name).alias("path"), S.reference_parts(r).alias("t")))
+def _step(front: DataFrame, hops: DataFrame) -> DataFrame:
+    """The records that the edges of a frontier lead to, distinct for each root.
 
-    parts = [targets(name, refs) for name, refs in _reference_lists(kind).items()]
-    edges = df.select(F.lit(kind).alias("src_type"), F.col("id").alias("src_id"), F.explode(F.concat(*parts)).alias("e"))
-    return edges.where("e.t IS NOT NULL").select("src_type", "src_id", "e.path", F.col("e.t.type").alias("dst_type"), F.col("e.t.id").alias("dst_id"))
+    The roots at a hub are dealt to groups by their hash, one for each share of the frontier that the hub has, and its edges
+    stand in all of its groups. The list of hubs has at most ``SHARES`` rows, whatever the data.
+    """
+    total = front.agg(F.count(F.lit(1)).alias("n")).scalar()
+    hubs = front.groupBy("node").agg((F.count(F.lit(1)) * SHARES).alias("_n")).where(F.col("_n") > total)
+    hubs = F.broadcast(hubs.select("node", F.ceil(F.col("_n") / total).cast("int").alias("_groups")))
+    groups = F.coalesce("_groups", F.lit(1))
+    dealt = front.join(hubs, "node", "left").withColumn("_group", F.pmod(F.xxhash64("root"), groups).cast("int")).drop("_groups")
+    edges = hops.join(hubs, "node", "left").select("node", "to", F.explode(F.sequence(F.lit(0), groups - 1)).alias("_group"))
+    return dealt.join(edges, ["node", "_group"]).select("root", F.col("to").alias("node")).distinct()
 
 
 def resolve(roots: DataFrame, edges: DataFrame, depth: int = 2, include: Sequence[str] | None = None, exclude: Sequence[str] = ()) -> DataFrame:
     """Records reachable from each root within ``depth`` steps, each once at its smallest depth.
 
-    Every round joins the distinct frontier with the edges and drops what the root has already seen.
-    Edges and frontiers are checkpointed, so a round neither repeats earlier ones nor loses them with an executor.
+    One plan without jobs of its own: a frontier is the distinct (root, record) pairs of a step, and the smallest depth
+    is taken at the end, so circles end with the depth.
     """
     hops = edges.where(~F.col("dst_type").isin(list(exclude))) if exclude else edges
     hops = hops.where(F.col("dst_type").isin(list(include))) if include else hops
-    hops = checkpointed(hops.select("src_type", "src_id", "dst_type", "dst_id").distinct())
-    root = [F.col("root_type"), F.col("root_id")]
-    front = roots.select(F.col("src_type").alias("root_type"), F.col("src_id").alias("root_id"), F.col("src_type").alias("type"), F.col("src_id").alias("id"))
-    seen, found = front, None
+    hops = hops.select(F.struct(F.col("src_type").alias("type"), F.col("src_id").alias("id")).alias("node"), F.struct(F.col("dst_type").alias("type"), F.col("dst_id").alias("id")).alias("to")).distinct()
+    start = F.struct(F.col("src_type").alias("type"), F.col("src_id").alias("id"))
+    front, found = roots.select(start.alias("root"), start.alias("node")).distinct(), None
     for level in range(1, depth + 1):
-        step = front.join(hops, (front["type"] == hops["src_type"]) & (front["id"] == hops["src_id"])).select(
-            *root, F.col("dst_type").alias("type"), F.col("dst_id").alias("id")).distinct()
-        front = step.join(seen, ["root_type", "root_id", "type", "id"], "left_anti")
-        front = checkpointed(front) if level < depth else front
-        seen = seen.unionByName(front)
-        level_rows = front.withColumn("depth", F.lit(level))
-        found = level_rows if found is None else found.unionByName(level_rows)
-    return found
+        # the roots of the first step are distinct, so none of them is a hub
+        front = _step(front, hops) if level > 1 else front.join(hops, "node").select("root", F.col("to").alias("node")).distinct()
+        step = front.withColumn("depth", F.lit(level))
+        found = step if found is None else found.unionByName(step)
+    best = found.where("node <> root").groupBy("root", "node").agg(F.min("depth").alias("depth"))
+    return best.select(F.col("root.type").alias("root_type"), F.col("root.id").alias("root_id"), "node.type", "node.id", "depth")
 
 
 def report_results(report: DataFrame, observation: DataFrame) -> DataFrame:

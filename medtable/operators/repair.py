@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import codes
 from ..functions import scalars as S
+from ..functions import walk
 from ..functions.paths import path
 
 _CHANGE = "array<struct<path:string,reason:string>>"
@@ -57,28 +58,43 @@ def fix_reference(ref: Column) -> Column:
             .when(ref.rlike("^[A-Za-z]+[0-9]+$"), F.regexp_replace(ref, "^([A-Za-z]+)([0-9]+)$", "$1/$2")).otherwise(ref))
 
 
-def correct(df: DataFrame, dates: Sequence[str] = (), concepts: Sequence[str] = (), references: Sequence[str] = ()) -> DataFrame:
-    """Corrected top-level fields and a ``corrections`` list of (path, old, new)."""
-    log, new = [], {}
-
-    def changed(at: str, old: Column, fixed: Column):
-        item = F.struct(F.lit(at).alias("path"), old.alias("old"), fixed.alias("new"))
-        log.append(F.when(old.isNotNull() & (old != fixed), item))
-
-    for c in dates:
-        new[c] = fix_datetime(F.col(c))
-        changed(c, F.col(c), new[c])
-    for c in references:
-        ref = F.col(c)["reference"]
-        new[c] = F.when(F.col(c).isNotNull(), F.col(c).withField("reference", fix_reference(ref)))
-        changed(f"{c}.reference", ref, fix_reference(ref))
-    coded = []
-    for c in concepts:
-        new[c] = fix_concept(F.col(c))
-        listed = F.transform(F.col(c)["coding"], lambda x, i: F.struct(F.concat(F.lit(f"{c}.coding["), i.cast("string"), F.lit("]")).alias("path"),
-                                                                       x["system"].alias("old"), fix_system(x["system"]).alias("new")))
-        coded.append(F.coalesce(F.filter(listed, lambda x: x["old"] != x["new"]), F.array().cast("array<struct<path:string,old:string,new:string>>")))
-    return df.withColumns({**new, "corrections": F.concat(F.array_compact(F.array(*log)), *coded)})
+def correction_rule(name: str, kind: T.DataType, around: T.StructType):
+    """What to do with a field, by its name, its type and the struct it stands in; None leaves it alone.
+
+    Coded elements have a system and a code; dates have ``date`` in their name or are one of three others.
+    """
+    if not isinstance(kind, T.StringType):
+        return None
+    low = name.lower()
+    if low == "reference":
+        return lambda value, _: fix_reference(value)
+    if "date" in low or low in ("issued", "authored", "recorded"):
+        return lambda value, _: fix_datetime(value)
+    if low == "system" and {"system", "code"} <= set(around.names) and "resourceType" not in around.names:
+        return lambda value, element: F.when(element["code"].isNotNull(), fix_system(value)).otherwise(value)
+    return None
+
+
+def _logged(path: Column, name: str) -> Column:
+    """A corrected element is logged under its own path, other fields under theirs."""
+    return path if name == "system" else F.concat(path, F.lit(f".{name}"))
+
+
+def correct(df: DataFrame) -> DataFrame:
+    """Every coded element, date and reference of a whole record, at any depth, and a ``corrections`` list of (path, old, new).
+
+    The corrected columns are made once; the list compares them with the old ones.
+    """
+    kept = {f.name: f for f in df.schema.fields}
+    new = walk.rewrite(df.schema, correction_rule)
+    both = df.withColumns({f"_new_{c}": v for c, v in new.items()})
+    log = []
+    for c in new:
+        own = correction_rule(c, kept[c].dataType, df.schema)
+        log.append(walk.changed(F.col(c), F.col(f"_new_{c}"), F.lit(c)) if own is not None
+                   else walk.changes(F.col(c), F.col(f"_new_{c}"), kept[c].dataType, correction_rule, F.lit(c), _logged))
+    listed = F.concat(*log) if log else F.array().cast(walk.CHANGE)
+    return both.select(*[F.col(f"_new_{c}" if c in new else c).alias(c) for c in df.columns], listed.alias("corrections"))
 
 
 # Valid status values per type. Fixed values.

@@ -1,5 +1,8 @@
 """Registered joins, cohorts, reference graph and window picks."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -8,7 +11,7 @@ from ..functions.paths import path
 from ..functions.skew import asof_last
 from ..operators import aggregates as A
 from ..operators import joins as J
-from ..sources.star import AS_OF, flat, oracle_prelude, records, table
+from ..sources.star import AS_OF, FLAT_OF, flat, oracle_prelude, records, table
 from .registry import query
 
 TS = "'%Y-%m-%d %H:%M:%S'"
@@ -96,31 +99,45 @@ def asof_join(spark, sf):
     return asof_last(refs, pulse, "patient_id", "start_datetime", "issued_datetime", "observation_id", "value", "last_pulse").drop("start_datetime")
 
 
-_EDGES = """ ed AS (SELECT 'Encounter' AS src_type, encounter_id AS src_id, unnest([('subject', 'Patient', patient_id), ('participant.individual', 'Practitioner', CAST(k % 30 AS VARCHAR)),
-   ('location.location', 'Location', CAST(k % 9 AS VARCHAR)), ('serviceProvider', 'Organization', CAST(k % 20 AS VARCHAR)), ('diagnosis.condition', 'Condition', encounter_id)]) AS t FROM encounter
-  UNION ALL SELECT 'Encounter', encounter_id, ('partOf', 'Encounter', CAST(k - 1 AS VARCHAR)) FROM encounter WHERE k % 4 = 0
-  UNION ALL SELECT 'Patient', patient_id, ('generalPractitioner', 'Practitioner', CAST(nk AS VARCHAR)) FROM patient),
- edges AS (SELECT src_type, src_id, t[1] AS path, t[2] AS dst_type, t[3] AS dst_id FROM ed)"""
+def _targets(kind, key, src, *targets):
+    """Edges of a record type: (path, type, id, condition) of each."""
+    return " UNION ALL ".join(f"SELECT '{kind}' AS src_type, {key} AS src_id, '{at}' AS path, '{to}' AS dst_type, {ident} AS dst_id FROM {src} WHERE {test}" for at, to, ident, test in targets)
+
+
+_SUBJECT = [("subject", "Patient", "patient_id", "true"), ("encounter", "Encounter", "encounter_id", "true")]
+_EDGES = " edges AS (" + " UNION ALL ".join([
+    _targets("Patient", "patient_id", "patient", ("generalPractitioner[0].reference", "Practitioner", "CAST(nk AS VARCHAR)", "true")),
+    _targets("Encounter", "encounter_id", "encounter", ("subject", "Patient", "patient_id", "true"), ("participant[0].individual", "Practitioner", "CAST(k % 30 AS VARCHAR)", "true"),
+             ("diagnosis[0].condition", "Condition", "encounter_id", "true"), ("location[0].location", "Location", "CAST(k % 9 AS VARCHAR)", "true"),
+             ("serviceProvider", "Organization", "CAST(k % 20 AS VARCHAR)", "true"), ("partOf", "Encounter", "CAST(k - 1 AS VARCHAR)", "k % 4 = 0")),
+    _targets("Observation", "observation_id", "observation", *_SUBJECT),
+    _targets("Condition", "condition_id", "condition", *_SUBJECT, ("recorder", "Practitioner", "CAST(sk AS VARCHAR)", "true")),
+    _targets("MedicationRequest", "medication_request_id", "medication_request", ("medicationReference", "Medication", "medication_code", "ln = 3"), *_SUBJECT, ("requester", "Practitioner", "CAST(sk AS VARCHAR)", "true")),
+    _targets("DiagnosticReport", "report_id", "diagnostic_report", *_SUBJECT, ("result[0].reference", "Observation", "report_id", "true"), ("result[1].reference", "Observation", "'missing-' || report_id", "true")),
+]) + ")"
+_ALL = oracle_prelude("patient", "encounter", "observation+", "condition+", "medication_request+", "diagnostic_report+")
 
 
 def _edges(spark, sf):
-    return J.reference_edges(records(spark, sf, "Encounter"), "Encounter").unionByName(J.reference_edges(records(spark, sf, "Patient"), "Patient"))
+    """The references of all six record types of the star."""
+    return reduce(DataFrame.unionByName, [J.reference_edges(records(spark, sf, kind), kind) for kind in FLAT_OF])
 
 
-@query("reference_edges_j17", oracle_prelude("patient", "encounter") + "," + _EDGES + " SELECT * FROM edges")
+@query("reference_edges_j17", _ALL + "," + _EDGES + " SELECT * FROM edges")
 def reference_edges(spark, sf):
     return _edges(spark, sf)
 
 
-@query("resolve_references_j18", oracle_prelude("patient", "encounter") + "," + _EDGES + """,
+@query("resolve_references_j18", _ALL + "," + _EDGES + """,
  h AS (SELECT DISTINCT src_type, src_id, dst_type, dst_id FROM edges WHERE dst_type NOT IN ('Location', 'Condition')),
- r AS (SELECT 'Encounter' AS root_type, encounter_id AS root_id FROM encounter),
+ r AS (SELECT DISTINCT src_type AS root_type, src_id AS root_id FROM edges),
  a AS (SELECT DISTINCT root_type, root_id, dst_type AS type, dst_id AS id FROM r JOIN h ON src_type = root_type AND src_id = root_id WHERE NOT (dst_type = root_type AND dst_id = root_id)),
  b AS (SELECT DISTINCT a.root_type, a.root_id, dst_type AS type, dst_id AS id FROM a JOIN h ON src_type = a.type AND src_id = a.id WHERE NOT (dst_type = a.root_type AND dst_id = a.root_id))
 SELECT *, 1 AS depth FROM a UNION ALL SELECT b.*, 2 FROM b ANTI JOIN a USING (root_type, root_id, type, id)""")
 def resolve_references(spark, sf):
-    roots = records(spark, sf, "Encounter").select(F.lit("Encounter").alias("src_type"), F.col("id").alias("src_id"))
-    return J.resolve(roots, _edges(spark, sf), 2, exclude=["Location", "Condition"])
+    """J18 from every record of six types; patients and practitioners are hubs."""
+    edges = _edges(spark, sf)
+    return J.resolve(edges.select("src_type", "src_id"), edges, 2, exclude=["Location", "Condition"])
 
 
 @query("report_results_j19", oracle_prelude("diagnostic_report", "observation") + """SELECT report_id, 0 AS position, report_id AS observation_id, code_display AS display, value, false AS missing FROM
@@ -130,11 +147,12 @@ def report_results(spark, sf):
     return J.report_results(records(spark, sf, "DiagnosticReport"), records(spark, sf, "Observation"))
 
 
-@query("patient_everything_j20", oracle_prelude("patient", "encounter", "condition+", "medication_request+") + """SELECT patient_id, 'Patient' AS resource_type, patient_id AS id, true AS ok FROM patient
+@query("patient_everything_j20", _ALL + """SELECT patient_id, 'Patient' AS resource_type, patient_id AS id, true AS ok FROM patient
  UNION ALL SELECT patient_id, 'Encounter', encounter_id, true FROM encounter UNION ALL SELECT patient_id, 'Condition', condition_id, true FROM condition
+ UNION ALL SELECT patient_id, 'Observation', observation_id, true FROM observation UNION ALL SELECT patient_id, 'DiagnosticReport', report_id, true FROM diagnostic_report
  UNION ALL SELECT patient_id, 'MedicationRequest', medication_request_id, true FROM medication_request""")
 def patient_everything(spark, sf):
-    frames = {k: records(spark, sf, k) for k in ("Encounter", "Condition", "MedicationRequest")}
+    frames = {k: records(spark, sf, k) for k in FLAT_OF if k != "Patient"}
     rows = J.everything(records(spark, sf, "Patient"), frames)
     return rows.select("patient_id", "resource_type", "id", (F.get_json_object("json", "$.id") == F.col("id")).alias("ok"))
 

@@ -1,5 +1,8 @@
 """Registered validation, quality and repair queries, on records with deterministic defects."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +13,7 @@ from ..operators import joins as J
 from ..operators import repair as E
 from ..operators import rules as R
 from ..operators.specs import FLATTEN, apply_spec
-from ..sources.star import AS_OF, dirty_records, flat, oracle_prelude, raw, records, stored_text
+from ..sources.star import AS_OF, FLAT_OF, dirty_records, flat, messy_records, oracle_prelude, raw, records, stored_text
 from .registry import query
 
 Z = "'%Y-%m-%dT%H:%M:%SZ'"
@@ -287,16 +290,65 @@ def schema_check(spark, sf):
 # --- repair -----------------------------------------------------------------------------------------
 
 
-@query("auto_correction_e01_e02_e03_e04", DIRTY + f"""SELECT id, CASE WHEN has_code THEN 'http://loinc.org' END AS system,
- CASE WHEN ln = 1 THEN strftime(issued_datetime, '%Y-%m-%d') WHEN ln = 3 THEN strftime(issued_datetime, '%Y-%m-%d') WHEN ln = 6 THEN 'soon' ELSE strftime(issued_datetime, '%Y-%m-%d') END AS issued,
- CASE ln WHEN 4 THEN patient_id ELSE 'Patient/' || patient_id END AS reference,
- concat_ws('|', CASE WHEN ln <> 6 THEN 'issued' END, CASE WHEN ln = 3 THEN 'subject.reference' END, CASE WHEN has_code AND pk % 5 = 0 THEN 'code.coding[0]' END) AS corrections FROM o""")
+def _fixed(kind, key, src, *items):
+    """Expected corrections of a record type in the order of its fields: (path, old, new, condition)."""
+    rows = ", ".join(f"CASE WHEN {test} THEN '{at}: ' || {old} || ' -> ' || {new} END" for at, old, new, test in items)
+    return f"SELECT '{kind}' AS resource_type, {key} AS id, concat_ws('|', {rows}) AS corrections FROM {src}"
+
+
+def _midnight(at, col):
+    """An instant at midnight becomes its date."""
+    day = f"strftime({col}, '%Y-%m-%d')"
+    return at, f"{day} || 'T00:00:00Z'", day, f"{col} IS NOT NULL"
+
+
+def _slash(at, kind, ident, test):
+    return at, f"'{kind}' || {ident}", f"'{kind}/' || {ident}", test
+
+
+def _system(at, old, new, test):
+    return at, f"'{old}'", f"'{new}'", test
+
+
+_LOINC, _TODAY = "http://loinc.org", "strftime(issued_datetime, '%Y-%m-%d')"
+_SEEN = "'2001-01-' || lpad(CAST(1 + k % 28 AS VARCHAR), 2, '0')"
+CORRECTED = oracle_prelude("patient", "encounter", "observation+", "condition+", "medication_request+", "diagnostic_report+") + " UNION ALL ".join([
+    _fixed("Patient", "patient_id", "patient", ("meta.lastUpdated", f"{_SEEN} || 'T00:00:00Z'", _SEEN, "true"),
+           ("birthDate", "strftime(birth_date, '%m/%d/%Y')", "strftime(birth_date, '%Y-%m-%d')", "k % 17 = 0"), _slash("generalPractitioner[0].reference", "Practitioner", "CAST(nk AS VARCHAR)", "k % 6 = 0"),
+           _system("extension[0].extension[0].valueCoding", "loinc", _LOINC, "k % 3 < 2")),
+    _fixed("Observation", "observation_id", "observation", _midnight("meta.lastUpdated", "issued_datetime"), _system("code.coding[0]", "loinc", _LOINC, "pk % 5 = 0"),
+           _slash("subject.reference", "Patient", "patient_id", "ln = 4"), _midnight("effectiveDateTime", "issued_datetime"),
+           ("issued", f"CASE WHEN ln = 3 THEN strftime(issued_datetime, '%Y%m%d') ELSE {_TODAY} || 'T00:00:00Z' END", _TODAY, "ln <> 6"),
+           _system("component[1].code.coding[0]", "LOINC", _LOINC, "code_code = '8480-6' AND pk % 4 = 0")),
+    _fixed("Encounter", "encounter_id", "encounter", _midnight("meta.lastUpdated", "start_datetime"), _system("type[0].coding[0]", "snomed", "http://snomed.info/sct", "k % 6 = 0"),
+           _slash("participant[0].individual.reference", "Practitioner", "CAST(k % 30 AS VARCHAR)", "k % 4 = 0"), _slash("diagnosis[0].condition.reference", "Condition", "encounter_id", "k % 5 = 0")),
+    _fixed("Condition", "condition_id", "condition", _midnight("meta.lastUpdated", "onset_datetime"), _slash("recorder.reference", "Practitioner", "CAST(sk AS VARCHAR)", "sk % 4 = 0"),
+           _midnight("onsetDateTime", "onset_datetime"), _midnight("recordedDate", "recorded_date")),
+    _fixed("MedicationRequest", "medication_request_id", "medication_request", _midnight("meta.lastUpdated", "authored_datetime"), _slash("requester.reference", "Practitioner", "CAST(sk AS VARCHAR)", "sk % 3 = 0"),
+           _system("dosageInstruction[0].route.coding[0]", "RxNorm", "http://www.nlm.nih.gov/research/umls/rxnorm", "ln = 2")),
+    _fixed("DiagnosticReport", "report_id", "diagnostic_report", _midnight("meta.lastUpdated", "issued_datetime"), _slash("encounter.reference", "Encounter", "encounter_id", "pk % 3 = 0"),
+           _midnight("issued", "issued_datetime"), _midnight("effectiveDateTime", "issued_datetime")),
+])
+
+
+@query("auto_correction_e01_e02_e03_e04", CORRECTED)
 def auto_correction(spark, sf):
-    df = dirty_records(spark, sf, "Observation")
-    ln, day = F.get(F.split("id", "-"), F.lit(1)).cast("int"), _day_of(F.col("issued"))
-    messy = F.when(ln == 1, F.date_format(day, "MM/dd/yyyy")).when(ln == 3, F.date_format(day, "yyyyMMdd")).when(ln == 6, "soon").otherwise(F.col("issued"))
-    fixed = E.correct(df.withColumn("issued", messy), dates=["issued"], concepts=["code"], references=["subject"])
-    return fixed.select("id", path("code.coding[0].system").alias("system"), "issued", path("subject.reference").alias("reference"), F.col("corrections.path").alias("corrections"))
+    """All that is corrected in the records of six types, at any depth."""
+    def listed(kind):
+        line = F.transform("corrections", lambda x: F.concat(x["path"], F.lit(": "), x["old"], F.lit(" -> "), x["new"]))
+        return E.correct(messy_records(spark, sf, kind)).select(F.lit(kind).alias("resource_type"), "id", F.array_join(line, "|").alias("corrections"))
+    return reduce(DataFrame.unionByName, [listed(kind) for kind in FLAT_OF])
+
+
+@query("corrected_records_e01_e02_e03_e04", DIRTY + """SELECT 'Observation' AS resource_type, id, 'http://loinc.org' AS system, CASE ln WHEN 6 THEN 'soon' ELSE strftime(issued_datetime, '%Y-%m-%d') END AS date,
+  'Patient/' || patient_id AS reference FROM o
+ UNION ALL SELECT 'Encounter', id, CASE WHEN k % 6 = 0 THEN 'http://snomed.info/sct' ELSE 'urn:visit' END, strftime(start_datetime, '%Y-%m-%d'), 'Practitioner/' || CAST(k % 30 AS VARCHAR) FROM e""")
+def corrected_records(spark, sf):
+    """The corrected values themselves, nested ones included."""
+    obs, enc = (E.correct(messy_records(spark, sf, kind)) for kind in ("Observation", "Encounter"))
+    obs = obs.select(F.lit("Observation").alias("resource_type"), "id", path("code.coding[0].system").alias("system"), F.col("issued").alias("date"), path("subject.reference").alias("reference"))
+    return obs.unionByName(enc.select(F.lit("Encounter").alias("resource_type"), "id", path("type[0].coding[0].system").alias("system"), path("meta.lastUpdated").alias("date"),
+                                      path("participant[0].individual.reference").alias("reference")))
 
 
 def _day_of(col):

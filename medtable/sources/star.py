@@ -362,3 +362,36 @@ def _as(value, kind: T.StructType):
     """Widen a struct to a declared type; absent fields are null."""
     have = {"url", "valueCode"}
     return F.struct(*[(value[f.name] if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in kind.fields])
+
+
+def messy_records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Records with wrong code systems, dates and references at several depths, for the correction of whole records."""
+    df = records(spark, sf_dir, kind)
+    parts = F.split("id", "-")
+    k, ln, pk, sk = F.try_to_number("id", F.lit("999999999999")).cast("bigint"), *(F.get(parts, F.lit(i)).cast("bigint") for i in (1, 2, 3))
+
+    def coded(value: Column, test: Column, system: str) -> Column:
+        return F.transform(value, lambda c: c.withField("system", F.when(test, F.lit(system)).otherwise(c["system"])))
+
+    def unslashed(value: Column, test: Column) -> Column:
+        return value.withField("reference", F.when(test, F.replace(value["reference"], F.lit("/"), F.lit(""))).otherwise(value["reference"]))
+
+    if kind == "Patient":
+        race = lambda e: e.withField("extension", F.transform(e["extension"], lambda x: x.withField("valueCoding", F.when(
+            x["valueCoding"].isNotNull(), x["valueCoding"].withField("system", F.lit("loinc"))))))
+        return df.withColumns({"birthDate": F.when(k % 17 == 0, F.date_format(F.col("birthDate").cast("date"), "MM/dd/yyyy")).otherwise(F.col("birthDate")),
+                               "generalPractitioner": F.transform("generalPractitioner", lambda r: unslashed(r, k % 6 == 0)), "extension": F.transform("extension", race)})
+    if kind == "Observation":
+        component = F.transform("component", lambda c, i: c.withField("code", c["code"].withField("coding", coded(c["code"]["coding"], (i == 1) & (pk % 4 == 0), "LOINC"))))
+        return df.withColumns({"code": F.col("code").withField("coding", coded(F.col("code")["coding"], pk % 5 == 0, "loinc")), "component": component, "subject": unslashed(F.col("subject"), ln == 4),
+                               "issued": F.when(ln == 3, F.date_format(F.to_date(F.substring("issued", 1, 10)), "yyyyMMdd")).when(ln == 6, "soon").otherwise(F.col("issued"))})
+    if kind == "Encounter":
+        who = F.transform("participant", lambda p: p.withField("individual", unslashed(p["individual"], k % 4 == 0)))
+        why = F.transform("diagnosis", lambda d: d.withField("condition", unslashed(d["condition"], k % 5 == 0)))
+        return df.withColumns({"type": F.transform("type", lambda t: t.withField("coding", coded(t["coding"], k % 6 == 0, "snomed"))), "participant": who, "diagnosis": why})
+    if kind == "Condition":
+        return df.withColumn("recorder", unslashed(F.col("recorder"), sk % 4 == 0))
+    if kind == "MedicationRequest":
+        dosage = F.transform("dosageInstruction", lambda d: d.withField("route", d["route"].withField("coding", coded(d["route"]["coding"], ln == 2, "RxNorm"))))
+        return df.withColumns({"dosageInstruction": dosage, "requester": unslashed(F.col("requester"), sk % 3 == 0)})
+    return df.withColumn("encounter", unslashed(F.col("encounter"), pk % 3 == 0))
