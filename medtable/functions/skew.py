@@ -121,25 +121,34 @@ def mode_per(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFr
     return counts.groupBy(*keys).agg(F.min_by(F.col(value), F.struct(-F.col("_n"), F.col(value))).alias(out))
 
 
+def quantile_cells(vals: DataFrame, keys: Sequence[str], cells: int) -> DataFrame:
+    """Distinct values (keys, ``_v``) with their weight ``_n``, the total weight ``_t`` of their key, and a cell each.
+
+    A mergeable sketch of each key's distinct values gives the borders, so every cell has about an equal number of them,
+    wherever they lie: an outlier moves no border.
+    """
+    step = [k / cells for k in range(1, cells)]
+    cuts = vals.groupBy(*keys).agg(F.percentile_approx("_v", step, 20 * cells).alias("_cuts"), F.sum("_n").alias("_t"))
+    on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    rows = vals.alias("a").join(cuts.alias("b"), on)
+    # how many borders lie below the value, by halved steps
+    halves = F.array(*[F.lit(1 << k) for k in range(cells.bit_length() - 1, -1, -1)])
+    below = F.aggregate(halves, F.lit(0), lambda p, s: F.when((p + s < cells) & (F.get(F.col("_cuts"), p + s - 1) < F.col("_v")), p + s).otherwise(p))
+    return rows.select(*[f"a.{k}" for k in keys], "_v", "_n", "_t", below.alias("_cell"))
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float],
-                    weight: str | None = None, cells: int = 4096, few_groups: bool = False) -> DataFrame:
+                    weight: str | None = None, cells: int = 256) -> DataFrame:
     """Exact interpolated quantiles per key by narrowing, so that no task holds a key's values.
 
-    Values are first reduced to (key, value, count). A histogram of ``cells`` equal-width cells finds the
-    cells that hold the wanted ranks, and only those cells are put in order. ``few_groups`` states that
-    the keys are a fixed vocabulary, which makes the per-key tables safe to broadcast.
+    Values are first reduced to (key, value, count) and dealt to ``cells`` cells of about equally many values. The weights of
+    the cells tell which of them hold the wanted ranks, and only those are put in order.
     """
     keys = list(keys)
-    small = F.broadcast if few_groups else (lambda x: x)
     vals = df.where(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("_v"), (F.col(weight) if weight else F.lit(1)).alias("_w"))
-    vals = vals.groupBy(*keys, "_v").agg(F.sum("_w").alias("_n"))
-    span = vals.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_t"))
-    width = F.col("_hi") - F.col("_lo")
-    cell = F.when(width > 0, F.floor((F.col("_v") - F.col("_lo")) / width * (cells - 1))).otherwise(F.lit(0))
+    vals = quantile_cells(vals.groupBy(*keys, "_v").agg(F.sum("_w").alias("_n")), keys, cells)
     on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    vals = vals.alias("a").join(small(span.alias("b")), on)
-    vals = vals.select(*[f"a.{k}" for k in keys], "_v", "_n", "_t", cell.cast("int").alias("_cell"))
     hist = vals.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_c"), F.max("_t").alias("_t"))
     upto = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.withColumn("_before", F.coalesce(F.sum("_c").over(upto), F.lit(0)))
@@ -157,7 +166,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict
             need = need | holds(rank)
     hits = hist.where(need).select(*keys, "_cell", "_before")
     on.append(F.col("a._cell") == F.col("b._cell"))
-    part = vals.alias("a").join(small(hits.alias("b")), on)
+    part = vals.alias("a").join(hits.alias("b"), on)
     part = part.select(*[f"a.{k}" for k in keys], "a._cell", "_v", "_n", "_t", "_before")
     run = Window.partitionBy(*keys, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     part = part.withColumn("_last", F.col("_before") + F.sum("_n").over(run))

@@ -121,3 +121,57 @@ def changes(before: Column, after: Column, kind: T.DataType, rule: Rule, path: C
 def changed(old: Column, new: Column, path: Column) -> Column:
     item = F.array(F.struct(path.alias("path"), old.cast("string").alias("old"), new.cast("string").alias("new")))
     return F.when(~old.eqNullSafe(new), item).otherwise(F.array().cast(CHANGE))
+
+
+# ---- one type for drifting ones ----
+
+_WHOLE = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+_REAL = [T.FloatType, T.DoubleType]
+
+
+def widest(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds the values of both: fields of structs are united, elements of lists and values of
+    maps are widened, whole numbers grow to the larger and, with real ones, to double, a date with an instant to the
+    instant. Types that have nothing in common become text; a nested value is JSON there."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        other = {f.name: f.dataType for f in b.fields}
+        own = [T.StructField(f.name, widest(f.dataType, other[f.name]) if f.name in other else f.dataType) for f in a.fields]
+        return T.StructType(own + [T.StructField(f.name, f.dataType) for f in b.fields if f.name not in a.names])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(widest(a.elementType, b.elementType))
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType) and a.keyType == b.keyType:
+        return T.MapType(a.keyType, widest(a.valueType, b.valueType))
+    kinds = {type(a), type(b)}
+    if kinds <= set(_WHOLE):
+        return max((a, b), key=lambda t: _WHOLE.index(type(t)))
+    if kinds <= {*_WHOLE, *_REAL, T.DecimalType}:
+        return T.DoubleType()
+    if kinds == {T.DateType, T.TimestampType}:
+        return T.TimestampType()
+    return T.StringType()
+
+
+def conform(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A value of one type as another that ``widest`` made of it: absent fields are null, other branches are cast."""
+    if _same(have, want):
+        return value
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        own = {f.name: f.dataType for f in have.fields}
+        made = F.struct(*[(conform(value[f.name], own[f.name], f.dataType) if f.name in own else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields])
+        return F.when(value.isNotNull(), made)
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        return F.transform(value, lambda x: conform(x, have.elementType, want.elementType))
+    if isinstance(want, T.MapType) and isinstance(have, T.MapType):
+        return F.transform_values(value, lambda _, x: conform(x, have.valueType, want.valueType))
+    if isinstance(want, T.StringType) and isinstance(have, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(value)
+    return value.cast(want)
+
+
+def _same(a: T.DataType, b: T.DataType) -> bool:
+    """Whether types are alike but for what may be null."""
+    return a.simpleString() == b.simpleString()

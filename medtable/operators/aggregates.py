@@ -174,7 +174,7 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per numeric column count, mean, sample deviation, min, exact quartiles and max."""
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in cols])))
     stats = value_stats(long, ["field"], "value")
-    quartiles = exact_quantiles(long, ["field"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, few_groups=True)
+    quartiles = exact_quantiles(long, ["field"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     return stats.join(F.broadcast(quartiles), "field", "left")
 
 

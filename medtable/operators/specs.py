@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions import types
+from ..functions import types, walk
 from ..functions.paths import first_of, path, strip_tags
 
 _CALL = re.compile(r"^(.*)\.(replace|substring|first|toString|exists)\((.*)\)$")
@@ -109,8 +109,14 @@ def check_loss(seen: Observation, kept: Observation, limit: float = 0.05, strict
 
 
 def union_drifting(parts: Sequence[DataFrame]) -> DataFrame:
-    """Union of frames whose columns drift."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    """Union of frames whose columns, and the fields inside them, are added, left out or widened."""
+    wanted = reduce(walk.widest, [p.schema for p in parts])
+    return reduce(DataFrame.unionByName, [p.select(*_conformed(p.schema, wanted)) for p in parts])
+
+
+def _conformed(have: T.StructType, want: T.StructType) -> list[Column]:
+    own = {f.name: f.dataType for f in have.fields}
+    return [(walk.conform(F.col(f"`{f.name}`"), own[f.name], f.dataType) if f.name in own else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
 
 
 _SUBJECT = "subject.reference.replace('Patient/','')"

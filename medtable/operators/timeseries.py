@@ -61,7 +61,7 @@ def metric_stats(df: DataFrame, kind: str = "resource_type", dimension: str = "d
         _scope(F.col("_g")).alias("scope"), F.when(F.col("_g") < 2, F.col("resource_type")).otherwise("*").alias("resource_type"),
         F.when(F.col("_g") % 2 == 0, F.col("dimension")).otherwise("*").alias("dimension"), "value", "_n")
     keys = ["scope", "resource_type", "dimension"]
-    medians = exact_quantiles(wide, keys, "value", {"median": 0.5}, weight="_n", few_groups=True)
+    medians = exact_quantiles(wide, keys, "value", {"median": 0.5}, weight="_n")
     return stats.join(medians, keys, "left")
 
 

@@ -88,6 +88,25 @@ def documents_by_type(spark, sf):
     return S.import_directory(spark, where).groupBy("resource_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("drifting_files_u03", oracle_prelude("encounter") + """, b AS (SELECT *, k % 4 AS w FROM encounter)
+SELECT encounter_id AS id, status, CAST(CASE w WHEN 0 THEN k WHEN 1 THEN k WHEN 2 THEN k + 0.5 END AS DOUBLE) AS weight, CASE WHEN w > 0 THEN class_display END AS display,
+ CASE WHEN w = 2 THEN CAST(k AS VARCHAR) END AS first_rank, CASE w WHEN 1 THEN CAST(k AS VARCHAR) WHEN 2 THEN '{"n":' || CAST(k AS VARCHAR) || '}' END AS note FROM b""")
+def drifting_files(spark, sf):
+    """Four writes that lack, add and widen columns and nested fields, and one column that changes its kind."""
+    where, k = scratch_dir(spark, "drift"), F.col("k")
+    enc, rank = flat(spark, sf, "encounter"), F.struct(F.lit("x").alias("use"), k.cast("string").alias("rank"))
+    base = [F.col("encounter_id").alias("id")]
+    coded = F.struct(F.col("class_code").alias("code"), F.col("class_display").alias("display"))
+    writes = [[*base, "status", k.cast("int").alias("weight"), F.struct(F.col("class_code").alias("code")).alias("class"), F.array(F.struct(F.lit("x").alias("use"))).alias("parts")],
+              [*base, "status", k.cast("bigint").alias("weight"), coded.alias("class"), k.cast("string").alias("note")],
+              [coded.alias("class"), *base, (k + 0.5).cast("double").alias("weight"), "status", F.array(rank).alias("parts"), F.struct(k.alias("n")).alias("note")],
+              [*base, "status", coded.alias("class")]]
+    for w, columns in enumerate(writes):
+        enc.where(k % 4 == w).select(*columns).write.parquet(f"{where}/{w}")
+    rows = S.read_drifting(spark, [f"{where}/{w}" for w in range(4)])
+    return rows.select("id", "status", "weight", F.col("class.display").alias("display"), F.get("parts", F.lit(0))["rank"].alias("first_rank"), "note")
+
+
 @query("malformed_pages_s19", oracle_prelude("patient") + """SELECT 'record' AS kind, CAST(count(*) AS BIGINT) AS n FROM patient WHERE k % 40 <> 0 UNION ALL SELECT 'malformed', count(*) FROM patient WHERE k % 40 = 0""")
 def malformed_pages(spark, sf):
     where = scratch_dir(spark, "pages")

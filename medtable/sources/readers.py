@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import types
 from ..functions.paths import path as at
+from ..operators.specs import union_drifting
 
 # Lower-case file stem -> record type. Fixed values.
 STEMS = {k.lower(): k for k in (
@@ -144,6 +145,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_drifting(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Parquet paths, each a file or the files of one write, whose schemas drift, as one frame.
+
+    One footer of each path is read for its schema. Paths of equal schema are one scan with that schema, so filters and
+    columns still reach the files; a scan is cast to the united type afterwards.
+    """
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for path in paths:
+        schema = spark.read.parquet(path).schema
+        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    return union_drifting([spark.read.schema(schema).parquet(*group) for schema, group in groups.values()])
+
+
 def read_optional(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """None, or a typed empty frame, when the input is missing."""
     if exists(spark, path):

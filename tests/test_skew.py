@@ -82,6 +82,17 @@ def test_quantiles(df, rows):
         assert r["p50"] == statistics.median(vals)
 
 
+def test_outliers_leave_quantile_cells_even(spark):
+    """A value of 1e12 among 20,000 small ones, and one of 1e300: no cell holds much more than its share."""
+    vals = spark.range(20_000).select(F.lit("k").alias("k"), (F.col("id") * F.col("id") / 1e9).alias("_v"), F.lit(1).alias("_n"))
+    vals = vals.unionByName(spark.createDataFrame([("k", 1e12, 1), ("k", -1e300, 1), ("k", 1e300, 1), (None, 5.0, 3)], "k STRING, _v DOUBLE, _n INT"))
+    sizes = K.quantile_cells(vals, ["k"], 64).groupBy("k", "_cell").count().collect()
+    assert sum(r["count"] for r in sizes) == 20_004 and max(r["count"] for r in sizes) < 2 * 20_000 / 64
+    got = K.exact_quantiles(vals, ["k"], "_v", {"m": 0.5, "p99": 0.99}).where("k = 'k'").first()
+    want = np.quantile([r["_v"] for r in vals.where("k = 'k'").collect()], [0.5, 0.99])
+    assert np.allclose([got["m"], got["p99"]], want)
+
+
 def test_quantile_of_constant(spark):
     df = spark.createDataFrame([("a", 2.0)] * 5 + [("b", None)], "k STRING, v DOUBLE")
     assert [tuple(r) for r in K.exact_quantiles(df, ["k"], "v", {"m": 0.5}).collect()] == [("a", 2.0)]
