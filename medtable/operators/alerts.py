@@ -39,6 +39,17 @@ class Definition:
         return hit
 
 
+def crosses(d: Definition, value: float, tolerance: float = 1e-4) -> bool:
+    """C35 for one value, where a state is kept row by row; ``scalars.crosses`` is the same for columns."""
+    low, high = d.lower, d.upper
+    plain = {"lt": value < low, "lte": value <= low, "gt": value > low, "gte": value >= low, "eq": abs(value - low) <= tolerance}
+    if d.op in plain:
+        return plain[d.op]
+    if high is None:  # what lies below is outside of any range
+        return {"not_between": value < low, "not_between_excl": value <= low}.get(d.op, False)
+    return {"between": low <= value <= high, "between_excl": low < value < high, "not_between": not low <= value <= high, "not_between_excl": not low < value < high}.get(d.op, False)
+
+
 def _rules(definitions: Sequence[Definition]) -> Column:
     return F.array(*[F.struct(F.lit(d.name).alias("name"), F.lit(d.category).alias("category"), F.lit(d.severity).alias("severity"),
                               F.lit(d.op).alias("op"), F.lit(float(d.lower)).alias("lower"),
@@ -81,6 +92,8 @@ def raise_alerts(hourly: DataFrame, definitions: Sequence[Definition]) -> DataFr
     with new metrics and sees the look-back hours up to and including it; the greedy cool-down scan folds
     over the sorted hits.
     """
+    if not definitions:
+        raise ValueError("no alert definitions")
     hourly = hourly.withColumn("_h", F.floor(F.unix_seconds("hour") / 3600))
     parts = None
     for d in definitions:

@@ -7,16 +7,18 @@ always an argument.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import alerts as L
 from ..sources import writers as K
 
 START = "1900-01-01T00:00:00Z"
+STORE, ROCKS = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None, name_filter: str | None = None) -> DataFrame:
@@ -134,19 +136,53 @@ def bucketed_metrics(stream: DataFrame, path: str, checkpoint: str, keys: Sequen
     run_batches(flat, checkpoint, each, "update")
 
 
+class Cooldown(StatefulProcessor):
+    """State of one alert definition: the hours inside its look-back and the time it last triggered."""
+
+    def __init__(self, definitions: Sequence[L.Definition]):
+        self.definitions = {d.name: d for d in definitions}
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("cooldown", "hours array<bigint>, totals array<double>, samples array<bigint>, last bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        rule = self.definitions[key[0]]
+        held = self.state.get() if self.state.exists() else ([], [], [], None)
+        window, last = list(zip(*map(list, held[:3]))), held[3]
+        for hour, total, samples in sorted((r["hour"], r["total"], r["samples"]) for r in rows):
+            window = [x for x in window if x[0] > hour - rule.lookback_hours] + [(hour, total, samples)]
+            n = sum(x[2] for x in window)
+            value, at = sum(x[1] for x in window) / n, (hour + 1) * 3600
+            if n >= rule.min_samples and L.crosses(rule, value) and (last is None or at - last >= rule.cooldown_minutes * 60):
+                last = at
+                yield Row(name=rule.name, category=rule.category, severity=rule.severity, triggered_at=at, metric_value=value, samples=n)
+        hours, totals, counts = (list(x) for x in zip(*window))
+        self.state.update((hours, totals, counts, last))
+
+    def close(self) -> None:
+        pass
+
+
 def alert_stream(stream: DataFrame, path: str, checkpoint: str, definitions: Sequence[L.Definition], late: str) -> DataFrame:
-    """Hourly totals per definition as streaming state; alerts with cool-down from those few rows.
+    """Alerts with look-back and cool-down, appended to ``path`` once no more rows of their hour can come.
 
-    Metrics meet their definitions by a generated array, so no definition's metrics gather in one task:
-    partial sums are made before the shuffle, and the cool-down fold sees a row per definition and hour.
+    Metrics meet their definitions by a generated array and are added up by hour before the shuffle, so no
+    definition's metrics gather in one task. Closed hours come in order and meet a state per definition that holds
+    the look-back's hours and the last alert, however long the history is. An hour closes when a metric ``late`` after
+    its end has come. Needs the RocksDB state store, which is set for this query.
     """
     spark = stream.sparkSession
     names = F.array_compact(F.array(*[F.when(d.matches(), F.lit(d.name)) for d in definitions]))
-    matched = stream.select("ts", "value", F.explode(names).alias("name"))
-    hourly = matched.withWatermark("ts", late).groupBy(F.window("ts", "1 hour").alias("w"), "name").agg(F.sum("value").alias("total"), F.count("value").alias("samples"))
-
-    def each(batch: DataFrame, _: int) -> None:
-        K.upsert(spark, path, batch, ["hour", "name"], part=F.to_date("hour"))
-
-    run_batches(hourly.select(F.col("w.start").alias("hour"), "name", "total", "samples"), checkpoint, each, "update")
-    return L.raise_alerts(K.read_state(spark, path), definitions)
+    matched = stream.withWatermark("ts", late).select("ts", "value", F.explode(names).alias("name")).where("value IS NOT NULL")
+    hourly = matched.groupBy(F.window("ts", "1 hour").alias("w"), "name").agg(F.sum("value").alias("total"), F.count("value").alias("samples"))
+    hourly = hourly.select("name", F.floor(F.unix_seconds(F.col("w.start")) / 3600).alias("hour"), "total", "samples")
+    schema = "name STRING, category STRING, severity STRING, triggered_at BIGINT, metric_value DOUBLE, samples BIGINT"
+    raised = hourly.groupBy("name").transformWithState(statefulProcessor=Cooldown(definitions), outputStructType=T.StructType.fromDDL(schema), outputMode="Append", timeMode="None")
+    before = spark.conf.get(STORE, None)
+    spark.conf.set(STORE, ROCKS)
+    try:
+        query = raised.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet").start(path)
+        query.awaitTermination()
+    finally:
+        spark.conf.unset(STORE) if before is None else spark.conf.set(STORE, before)
+    return spark.read.schema(schema).parquet(path).withColumn("triggered_at", F.timestamp_seconds("triggered_at"))

@@ -219,3 +219,69 @@ def test_health_summary_of_shared_and_missing_names(spark):
     encounter = spark.createDataFrame([("p", "e", None, "2024-01-01", "r")], "patient_id string, encounter_id string, class_code string, start_datetime string, reason_display string")
     row = health_summary(patient, observation, condition, encounter, "2024-06-01").collect()[0]
     assert {k: v["value"] for k, v in row.lab_results.items()} == {"Glucose": 2.0, "Unknown": 3.0} and row.encounters_by_type == {"Unknown": 1}
+
+
+@pytest.mark.parametrize("sizes", [(400,), (37, 200, 5, 158)])
+def test_alert_stream_equals_the_batch_for_any_split(spark, sizes):
+    """Rows up to six hours out of order, in any batches."""
+    import datetime
+    import random
+
+    from medtable.operators import alerts as L
+
+    rnd = random.Random(8)
+    start = datetime.datetime(2024, 1, 1)
+    rules = [L.Definition("low", "m.*", "lt", 0.45, lookback_hours=6, min_samples=3, cooldown_minutes=300), L.Definition("high", "m.a", "gt", 0.6, lookback_hours=2, cooldown_minutes=60)]
+    cols = "ts TIMESTAMP, metric STRING, resource_type STRING, pipeline_stage STRING, value DOUBLE"
+    rows = [(start + datetime.timedelta(minutes=15 * k + rnd.randrange(360)), rnd.choice(["m.a", "m.b", "x"]), "P", "gold", rnd.choice([None, *[round(rnd.random(), 3)] * 9])) for k in range(400)]
+    where, at = scratch_dir(spark, "t"), 0
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for n in sizes:
+            spark.createDataFrame(rows[at:at + n], cols).coalesce(1).write.mode("append").parquet(f"{where}/in")
+            at += n
+            out = I.alert_stream(I.file_stream(spark, f"{where}/in", spark.createDataFrame([], cols).schema, 1), f"{where}/out", f"{where}/ckpt", rules, "8 hours")
+        for day in (1, 2):
+            spark.createDataFrame([(datetime.datetime(2100, 1, day), "x", "P", "gold", 0.0)], cols).coalesce(1).write.mode("append").parquet(f"{where}/in")
+            out = I.alert_stream(I.file_stream(spark, f"{where}/in", spark.createDataFrame([], cols).schema, 1), f"{where}/out", f"{where}/ckpt", rules, "8 hours")
+        want = L.alert_history(spark.createDataFrame(rows, cols), rules)
+        both = [sorted((r["name"], r["triggered_at"], round(r["metric_value"], 9), r["samples"]) for r in df.collect()) for df in (out, want)]
+        assert both[0] == both[1] and len(both[0]) > 10
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_alert_state_does_not_grow_with_history():
+    from medtable.operators import alerts as L
+
+    class Held:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    rule = L.Definition("d", "m", "gt", 0.5, lookback_hours=5, cooldown_minutes=120)
+    cooldown = I.Cooldown([rule])
+    cooldown.state, raised = Held(), []
+    for hour in range(1000):
+        raised += cooldown.handleInputRows(("d",), iter([{"hour": hour, "total": 1.0, "samples": 1}]), None)
+        assert len(cooldown.state.value[0]) <= 5
+    assert [r.triggered_at // 3600 for r in raised] == list(range(1, 1001, 2))
+
+
+@pytest.mark.parametrize("op", ["lt", "lte", "gt", "gte", "eq", "between", "between_excl", "not_between", "not_between_excl", "odd"])
+def test_threshold_of_a_value_is_that_of_a_column(spark, op):
+    from medtable.functions import scalars
+    from medtable.operators import alerts as L
+
+    for upper in (None, 0.6):
+        values = [0.0, 0.3, 0.30005, 0.5, 0.6, 0.9]
+        rows = spark.createDataFrame([(v,) for v in values], "v DOUBLE").coalesce(1).select("v", scalars.crosses(F.lit(op), F.col("v"), F.lit(0.3), F.lit(upper).cast("double")).alias("hit"))
+        rule = L.Definition("d", "m", op, 0.3, upper)
+        assert {r["v"]: r["hit"] for r in rows.collect()} == {v: L.crosses(rule, v) for v in values}
