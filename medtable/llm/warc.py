@@ -4,7 +4,8 @@ Every response gives a metadata record (application/warc-fields: title, language
 headers of the source) and a conversion record (its visible text). Both refer to the response by its record
 id, keep its target and date, and carry the payload digest of the source beside their own block digest.
 
-Record ids are derived from the source's id, so a retried task writes the same records. Null url or html count
+Record ids are derived from the source's id, which hashes page id, address and content, so a retried task writes the same
+records and only equal pages share an id. Null url or html count
 as empty; an empty page gives an empty conversion. Repeated pages give repeated records. Extra columns are ignored.
 
 Comments and hidden elements are found in one go from left to right, so a comment's start inside a script is text
@@ -36,26 +37,140 @@ HIDDEN = ("script", "style", "noscript", "noframes", "template", "title", "svg",
 BLOCKS = ("address", "article", "aside", "blockquote", "body", "br", "caption", "dd", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form",
           "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "option", "p", "pre", "section", "table", "td", "th", "tr", "ul")
 
-_REST = r"""(?:"[^"]*"|'[^']*'|[^"'>])*>"""
-_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)", re.S)
-#: A title without its end tag ends at the next tag; the other elements run to the end of the page.
-_HIDDEN = re.compile(rf"{_COMMENT.pattern}|<(title)\b{_REST}(?:(?:(?!</?(?:head|body|title)\b).)*</title\s*>|[^<]*)"
-                     rf"|<({'|'.join(x for x in HIDDEN if x != 'title')})\b{_REST}.*?(?:</\2\s*>|\Z)", re.S | re.I)
-_BLOCK = re.compile(rf"</?(?:{'|'.join(BLOCKS)})\b{_REST}", re.I)
-_TAG = re.compile(rf"</?[a-zA-Z]{_REST}|<[!?][^>]*>")
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)")
+_STOP = re.compile("[\"'>]")
+_HIDDEN_END = {x: re.compile(rf"</{x}\s*>", re.I) for x in HIDDEN}
+#: What ends a title that has no end tag of its own.
+_TITLE_STOP = re.compile(r"</?(?:head|body|title)\b", re.I)
 _SPACES, _LINES = re.compile(r"[^\S\n]+"), re.compile(r" ?\n[\s]*")
-_TITLE = re.compile(rf"<title\b{_REST}(.*?)</title\s*>", re.S | re.I)
-_LANG = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([\w-]+)""", re.I)
-_CHARSET = re.compile(r"""<meta\b[^>]*?\bcharset\s*=\s*["']?([\w-]+)""", re.I)
-_LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_LANG = re.compile(r"""\blang\s*=\s*["']?([\w-]+)""", re.I)
+_CHARSET = re.compile(r"""\bcharset\s*=\s*["']?([\w-]+)""", re.I)
+_HREF = re.compile(r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+
+
+class Scanner:
+    """Reads a page once, from left to right, in time linear in its size.
+
+    A tag ends at the first ``>`` outside of quotes; without one its ``<`` is text. Where a scan for that end has been, it
+    leaves what it found, so that no later tag's scan goes the same way again: each quote is opened once at most.
+    """
+
+    def __init__(self, page: str, nested: bool = False):
+        self.page, self.nested = page, nested
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+        self.ends: dict[int, int] = {}   # position of a quote or '>' met outside of quotes -> end of the tag, or -1
+        self.ahead = (0, -1)             # (from, first quote or '>' from there on)
+        self.text: list[str] = []
+        self.links: list[str] = []
+        self.title = self.lang = self.charset = ""
+        self._read()
+
+    def _stop(self, at: int) -> int:
+        """The first quote or ``>`` from ``at`` on, or -1."""
+        since, found = self.ahead
+        if not since <= at <= found:
+            m = _STOP.search(self.page, at)
+            found = m.start() if m else len(self.page)
+            self.ahead = (at, found)
+        return found if found < len(self.page) else -1
+
+    def _tag_end(self, at: int) -> int:
+        """Place after the tag whose inside starts at ``at``, or -1."""
+        if at > self.last[">"]:
+            return -1
+        way, where, end = [], self._stop(at), -1
+        while where >= 0:
+            if where in self.ends:
+                end = self.ends[where]
+                break
+            way.append(where)
+            c = self.page[where]
+            if c == ">":
+                end = where + 1
+                break
+            if where >= self.last[c]:
+                break
+            m = _STOP.search(self.page, self.page.index(c, where + 1) + 1)
+            where = m.start() if m else -1
+        for k in way:
+            self.ends[k] = end
+        return end
+
+    def _until(self, mark: str, at: int) -> int:
+        found = self.page.find(mark, at)
+        return len(self.page) if found < 0 else found + len(mark)
+
+    def _read(self) -> None:
+        page, at = self.page, 0
+        while True:
+            start = page.find("<", at)
+            if start < 0:
+                self.text.append(page[at:])
+                return
+            self.text.append(page[at:start])
+            at = start
+            if page.startswith("<!--", at):
+                at = self._until("-->", at + 4)
+            elif page.startswith("<![CDATA[", at):
+                at = self._until("]]>", at + 9)
+            elif page.startswith(("<!", "<?"), at):
+                end = page.find(">", at) if at < self.last[">"] else -1
+                self.text.append("<" if end < 0 else "")
+                at = at + 1 if end < 0 else end + 1
+            else:
+                m = _NAME.match(page, at)
+                end = self._tag_end(m.end()) if m else -1
+                if end < 0:
+                    self.text.append("<")
+                    at += 1
+                else:
+                    at = self._element(m, at, end)
+
+    def plain(self) -> str:
+        text = _SPACES.sub(" ", html.unescape("".join(self.text)).replace("\r", "\n"))
+        return _LINES.sub("\n", text).strip()
+
+    def _element(self, m: re.Match, at: int, end: int) -> int:
+        """Takes what a tag says; the place to go on at, after the content of a hidden element."""
+        name, opens = m[2].lower(), not m[1]
+        if name == "a" and opens:
+            found = _HREF.search(self.page[at:end])
+            if found:
+                self.links.append(html.unescape("".join(x or "" for x in found.groups())))
+        if self.nested:
+            return end
+        if opens and name in HIDDEN:
+            self.text.append(" ")
+            if name == "title":
+                stop = _TITLE_STOP.search(self.page, end)
+                close = _HIDDEN_END["title"].match(self.page, stop.start()) if stop else None
+                if close:
+                    self.title = self.title or self.page[end:close.start()]
+                    return close.end()
+                after = self.page.find("<", end)
+                return len(self.page) if after < 0 else after
+            close = _HIDDEN_END[name].search(self.page, end)
+            self.links += Scanner(self.page[end:close.start() if close else len(self.page)], nested=True).links
+            return close.end() if close else len(self.page)
+        if opens and name in ("html", "meta"):
+            pattern, field = (_LANG, "lang") if name == "html" else (_CHARSET, "charset")
+            found = pattern.search(self.page[at:end])
+            if found and not getattr(self, field):
+                setattr(self, field, found[1])
+        self.text.append("\n" if name in _BLOCK_NAMES else "")
+        return end
+
+
+_BLOCK_NAMES = frozenset(BLOCKS)
 
 
 def plain_text(page: str) -> str:
     """Visible text: a line for each block, single spaces, character references resolved."""
-    page = _HIDDEN.sub(lambda m: " " if m[1] or m[2] else "", page)
-    page = _TAG.sub("", _BLOCK.sub("\n", page))
-    text = _SPACES.sub(" ", html.unescape(page).replace("\r", "\n"))
-    return _LINES.sub("\n", text).strip()
+    return Scanner(page).plain()
+
+
+def _links(page: str) -> list[str]:
+    return Scanner(page).links
 
 
 def digest(data: bytes) -> str:
@@ -73,7 +188,8 @@ def serialise(headers: list[tuple[str, str]], block: bytes) -> bytes:
 
 def responses(pages: DataFrame, date: str = UNKNOWN_DATE) -> DataFrame:
     """Response records of crawled pages: page_id, record_id, target_uri, warc_date, headers and html."""
-    page = [F.col("page_id").cast("string"), F.col("url").cast("string")]
+    # pages may share an id and an address, or have none: the content tells them apart
+    page = [F.col("page_id").cast("string"), F.col("url").cast("string"), F.sha1(whole_text("html"))]
     source = F.concat_ws("|", *(F.coalesce(c, F.lit("")) for c in page))
     hexed = F.md5(F.concat(F.lit("response|"), source))
     spans = [F.substring(hexed, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
@@ -84,12 +200,6 @@ def responses(pages: DataFrame, date: str = UNKNOWN_DATE) -> DataFrame:
                         whole_text("html").alias("html"))
 
 
-def _links(page: str) -> list[str]:
-    # comments go, those in a hidden element up to its end only
-    page = _HIDDEN.sub(lambda m: _COMMENT.sub("", m[0]), page)
-    return [html.unescape("".join(m)) for m in _LINK.findall(page)]
-
-
 def _derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["page_id", "kind", "record_id", "refers_to", "target_uri", "content_type", "block_digest", "source_digest", "content_length", "record"]
     kinds = [pa.int64(), *[pa.string()] * 7, pa.int64(), pa.binary()]
@@ -98,12 +208,11 @@ def _derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batch.to_pylist():
             page, source = r["html"], r["record_id"]
             payload = digest(page.encode())
-            found = (_TITLE.search(page), _LANG.search(page), _CHARSET.search(page))
-            title, lang, charset = (m[1] if m else "" for m in found)
-            fields = [("title", html.unescape(title)), ("languages-cld", lang), ("charset", charset),
-                      *(("source-header", h) for h in r["headers"].split("\r\n") if h), *(("outlink", x) for x in _links(page))]
+            read = Scanner(page)
+            fields = [("title", html.unescape(read.title)), ("declared-language", read.lang), ("charset", read.charset),
+                      *(("source-header", h) for h in r["headers"].split("\r\n") if h), *(("outlink", x) for x in read.links)]
             meta = "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in fields if v).encode()
-            for kind, content_type, block in (("metadata", "application/warc-fields", meta), ("conversion", "text/plain; charset=utf-8", plain_text(page).encode())):
+            for kind, content_type, block in (("metadata", "application/warc-fields", meta), ("conversion", "text/plain; charset=utf-8", read.plain().encode())):
                 own = record_id(kind, source)
                 head = [("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Refers-To", source), ("WARC-Target-URI", r["target_uri"]), ("WARC-Date", r["warc_date"]),
                         ("WARC-Refers-To-Target-URI", r["target_uri"]), ("WARC-Refers-To-Date", r["warc_date"]), ("WARC-Source-Payload-Digest", payload),
