@@ -1,13 +1,16 @@
 """Op 10: approximate nearest neighbours by a robust-pruned directed graph in each shard.
 
-Equal vectors are one node that keeps its smallest ids, so copies cost nothing. Nodes are dealt to shards of
-bounded size. In a shard, points join the graph in growing batches: a greedy search from the entry point
+Vectors of one direction are one node that keeps the rows with its smallest ids, so copies and scaled copies cost
+nothing and never crowd out each other's links: by cosine they tie, and a tie goes to the smaller vec_id. Nodes are
+dealt to shards of bounded size. In a shard, points join the graph in growing batches: a greedy search from the entry point
 proposes neighbours, pruning with a relaxed distance keeps diverse ones, and edges back are pruned again
-when a point has too many. Queries are searched in every shard by beam search, in blocks, and the best of
-all shards are merged. Scores are cosines of the original vectors in double precision.
+when a point has too many. Queries are searched in every shard by beam search, in blocks; all that a beam holds is
+scored by the cosine of the original vectors in double precision, and the best of all shards are merged.
 
 Vectors that are null, zero or hold null or non-finite components take no part, nor do rows without an id.
-Vectors of different length are never compared. Repeated rows count once. A tie goes to the smaller vec_id.
+Vectors of different length are never compared. Repeated rows count once. Components are scaled by powers of two before
+they are squared, so very large and very small ones have finite scores. Directions are equal if all
+components of their unit vectors are within 1e-12. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -132,10 +135,31 @@ def build(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float =
 
 # ---- Spark ----
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their largest component between 1/2 and 1; exact, and safe to square."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
+def units(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def cosines(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Cosine of every row of ``x`` with ``q``."""
+    x, q = scaled(x), scaled(q[None])[0]
+    return (x @ q) / (np.linalg.norm(x, axis=1) * np.linalg.norm(q))
+
+
+#: Decimals of a unit vector's components that tell directions apart.
+DIGITS = 12
+_ROW = pa.list_(pa.struct([("vec_id", pa.int64()), ("vector", pa.binary())]))
+
+
 def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors that take part, as doubles; of equal vectors in a batch the ``K + 1`` smallest ids."""
+    """Directions of the vectors that take part, each with the ``K + 1`` rows of smallest id that a batch has; and the queries."""
     for batch in batches:
-        held: dict[bytes, set[int]] = {}
+        held: dict[bytes, dict[int, bytes]] = {}
         queries = []
         for vec_id, values in zip(batch.column("vec_id").to_pylist(), batch.column("embedding")):
             if vec_id is None or not values.is_valid:
@@ -145,33 +169,26 @@ def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             v = values.values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
             if not np.isfinite(v).all() or not v.any():
                 continue
-            held.setdefault(v.tobytes(), set()).add(vec_id)
+            direction = (np.round(units(v[None])[0], DIGITS) + 0.0).tobytes()
+            mine = held.setdefault(direction, {})
+            mine[vec_id] = min(v.tobytes(), mine.get(vec_id, v.tobytes()))
             if vec_id % EVERY == 0:
                 queries.append((vec_id, v.tobytes()))
-        rows = [(k, sorted(ids)[:K + 1], None) for k, ids in held.items()] + [(v, None, i) for i, v in queries]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.int64())),
-                                          pa.array([r[2] for r in rows], pa.int64())], ["vector", "ids", "query_id"])
-
-
-def _unit(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    x = np.array([np.frombuffer(r) for r in rows])
-    scaled = x / np.abs(x).max(axis=1, keepdims=True)  # so that no square overflows
-    return x, scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+        rows = [(d, [{"vec_id": i, "vector": ids[i]} for i in sorted(ids)[:K + 1]], None, None) for d, ids in held.items()]
+        rows += [(None, None, i, v) for i, v in queries]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], _ROW), pa.array([r[2] for r in rows], pa.int64()),
+                                          pa.array([r[3] for r in rows], pa.binary())], ["direction", "rows", "query_id", "vector"])
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each shard: its vectors, their ids and its graph."""
+    """One row for each shard: its nodes' directions, their rows and its graph."""
     for (dim, shard), rows in grouped_rows(batches, ["dim", "shard"]):
-        rows.sort(key=lambda r: r["vector"])
-        graph, entry = build(_unit([r["vector"] for r in rows])[1].astype(np.float32))
+        rows.sort(key=lambda r: r["direction"])
+        graph, entry = build(units(np.array([np.frombuffer(r["direction"]) for r in rows])).astype(np.float32))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([dim], pa.int32()), pa.array([shard], pa.int32()), pa.array([entry], pa.int32()), pa.array([[r["vector"] for r in rows]], pa.list_(pa.binary())),
-             pa.array([[r["ids"] for r in rows]], pa.list_(pa.list_(pa.int64()))), pa.array([graph.astype("<i4").tobytes()], pa.binary())],
-            ["dim", "shard", "entry", "vectors", "ids", "graph"])
-
-
-def cosines(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    return (x @ q) / (np.linalg.norm(x, axis=1) * np.linalg.norm(q))
+            [pa.array([dim], pa.int32()), pa.array([shard], pa.int32()), pa.array([entry], pa.int32()), pa.array([[r["direction"] for r in rows]], pa.list_(pa.binary())),
+             pa.array([[r["rows"] for r in rows]], pa.list_(_ROW)), pa.array([graph.astype("<i4").tobytes()], pa.binary())],
+            ["dim", "shard", "entry", "directions", "rows", "graph"])
 
 
 def _search(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -179,32 +196,37 @@ def _search(left: pa.Table, right: pa.Table) -> pa.Table:
     out: list[tuple[int, int, float]] = []
     if left.num_rows and right.num_rows:
         shard = left.slice(0, 1).to_pylist()[0]
-        x, unit = _unit(shard["vectors"])
-        unit = unit.astype(np.float32)
-        graph = np.frombuffer(shard["graph"], "<i4").astype(np.int64).reshape(len(x), -1)
-        ids = shard["ids"]
+        unit = units(np.array([np.frombuffer(d) for d in shard["directions"]])).astype(np.float32)
+        graph = np.frombuffer(shard["graph"], "<i4").astype(np.int64).reshape(len(unit), -1)
+        first = np.concatenate([[0], np.cumsum([len(r) for r in shard["rows"]])])
+        ids = np.array([r["vec_id"] for rows in shard["rows"] for r in rows], np.int64)
+        x = np.array([np.frombuffer(r["vector"]) for rows in shard["rows"] for r in rows])
         queries = right.column("query_id").to_pylist()
-        q, q_unit = _unit(right.column("vector").to_pylist())
+        q = np.array([np.frombuffer(v) for v in right.column("vector").to_pylist()])
         for a in range(0, len(q), 512):
-            found, _ = beam_search(unit, graph, shard["entry"], q_unit[a:a + 512].astype(np.float32), BEAM)
+            found, _ = beam_search(unit, graph, shard["entry"], units(q[a:a + 512]).astype(np.float32), BEAM)
             for k, row in enumerate(found):
-                near = row[row >= 0][:2 * K + 2]
-                scores = cosines(x[near], q[a + k])
-                mine = sorted((-s, i) for p, s in zip(near.tolist(), scores.tolist()) for i in ids[p] if i != queries[a + k])
-                out.extend((queries[a + k], i, -s) for s, i in mine[:K])
+                near = np.concatenate([np.arange(first[p], first[p + 1]) for p in row[row >= 0]])
+                near = near[ids[near] != queries[a + k]]
+                scores = cosines(x[near], q[a + k]) if len(near) else np.zeros(0)
+                best = np.lexsort((ids[near], -scores))[:K]
+                out.extend((queries[a + k], int(ids[near[p]]), float(scores[p])) for p in best)
     return pa.table({"query_id": pa.array([r[0] for r in out], pa.int64()), "vec_id": pa.array([r[1] for r in out], pa.int64()), "score": pa.array([r[2] for r in out], pa.float64())})
 
 
 def nearest(vectors: DataFrame) -> DataFrame:
     """The ``K`` nearest rows of every row whose vec_id is divisible by ``EVERY``."""
+    kind = "array<struct<vec_id:bigint,vector:binary>>"
     rows = written(arrow_map(vectors.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<double>")), _usable,
-                             "vector binary, ids array<bigint>, query_id bigint"), "vectors")
-    nodes = rows.where("ids is not null").groupBy("vector").agg(F.slice(F.array_distinct(F.sort_array(F.flatten(F.collect_list("ids")))), 1, K + 1).alias("ids"))
-    nodes = nodes.withColumn("dim", (F.octet_length("vector") / 8).cast("int"))
+                             f"direction binary, rows {kind}, query_id bigint, vector binary"), "vectors")
+    first = F.slice(F.array_distinct(F.sort_array(F.flatten(F.collect_list("rows")))), 1, K + 1).alias("rows")
+    # a direction that many batches have is reduced in groups first
+    nodes = rows.where("rows is not null").withColumn("_group", F.pmod(F.xxhash64("rows"), F.lit(64))).groupBy("direction", "_group").agg(first).groupBy("direction").agg(first)
+    nodes = nodes.withColumn("dim", (F.octet_length("direction") / 8).cast("int"))
     sizes = nodes.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / F.lit(SHARD)).cast("int").alias("shards"))
-    dealt = nodes.join(sizes, "dim").withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("shards")).cast("int")).select("dim", "shard", "vector", "ids")
+    dealt = nodes.join(sizes, "dim").withColumn("shard", F.pmod(F.xxhash64("direction"), F.col("shards")).cast("int")).select("dim", "shard", "direction", "rows")
     index = arrow_map(dealt.repartition("dim", "shard").sortWithinPartitions("dim", "shard"), _index,
-                      "dim int, shard int, entry int, vectors array<binary>, ids array<array<bigint>>, graph binary")
+                      f"dim int, shard int, entry int, directions array<binary>, rows array<{kind}>, graph binary")
     index = written(index, "graphs")
     asked = rows.where("query_id is not null").select("query_id", "vector").distinct().withColumn("dim", (F.octet_length("vector") / 8).cast("int"))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
