@@ -42,6 +42,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shielded(docs: DataFrame, stage: Callable[[DataFrame], DataFrame], own: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """Apply a stage that returns the columns it gets; columns other than ``own`` have neutral names meanwhile, so none
+    can clash with those of the stage."""
+    names = {c: c if c in own else f"col{k}" for k, c in enumerate(docs.columns)}
+    out = stage(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]))
+    return out.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def parts_for(total_bytes: int, each: int = 16 << 20) -> int:
     """How many buckets of about ``each`` bytes a corpus of ``total_bytes`` needs."""
     return max(1, -(-int(total_bytes) // each))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, whole_text, written
+from .common import shielded, table, whole_text, written
 from .graph import components
 from .registry import query
 
@@ -247,7 +247,7 @@ def line_classes(links: DataFrame) -> DataFrame:
 def report(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: lines that are not blank, those dropped as equal and as near, and their numbers;
     and the lines that are linked to different ones, with their class and number of links."""
-    marked, links = drops(numbered(docs))
+    marked, links = drops(numbered(docs.select("doc_id", "text")))
     gone = F.col("exact") | F.col("near")
     marked = marked.join(line_classes(links), "node", "left")
     linked = F.when(F.col("class_id").isNotNull(), F.struct("line_no", "class_id", "links"))
@@ -261,8 +261,13 @@ def report(docs: DataFrame) -> DataFrame:
 def clean(docs: DataFrame) -> DataFrame:
     """The documents without their dropped lines, with the columns they have.
 
-    A document all of whose lines are dropped goes: all it says is said earlier. Others keep all columns but text as they are.
+    A document all of whose lines are dropped goes: all it says is said earlier. Others keep all columns but text as they are,
+    whatever their names.
     """
+    return shielded(docs, _clean)
+
+
+def _clean(docs: DataFrame) -> DataFrame:
     rows = written(numbered(docs), "numbered")
     marked, _ = drops(rows)
     gone = F.col("exact") | F.col("near")

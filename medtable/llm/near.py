@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, flat, grouped_rows, pieces, table, whole_text, written
+from .common import arrow_map, flat, grouped_rows, pieces, shielded, table, whole_text, written
 from .graph import components
 from .registry import query
 from .words import mix, word_hashes
@@ -227,12 +227,19 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that stay, one of each class, with all their columns."""
+    """The documents that stay, one of each class, with all their columns, whatever their names.
+
+    Of equal texts with one doc_id the row stays whose other columns come first as text.
+    """
+    return shielded(docs, lambda rows: _keep_one(rows, threshold))
+
+
+def _keep_one(docs: DataFrame, threshold: float) -> DataFrame:
     stay = written(_classified(docs, threshold).where("kept").select(F.col("doc_id").alias("_id"), "_hash"), "stay")
     text = F.xxhash64(whole_text())
     rows = docs.join(stay.hint("merge"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (text == F.col("_hash")))
-    # equal rows with one doc_id: the first one
-    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.lit(0))))
+    others = F.to_json(F.struct(*[docs[c] for c in docs.columns if c != "text"], F.col("text").isNull()))
+    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(others)))
     return rows.where("_nth = 1").select(*[docs[c] for c in docs.columns])
 
 
