@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medtable.llm import bpe, lines, near, packing, toxicity
-from medtable.llm.common import table, written
+from medtable.llm.common import shielded, table, written
 from medtable.session import configure
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Op 7: documents predicted to be toxic go."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, docs.columns).where(F.col("predicted") == 0).select(*docs.columns)
+    return shielded(docs, lambda rows: toxicity.score(rows, model, rows.columns).where(F.col("predicted") == 0).select(*rows.columns))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
