@@ -14,6 +14,8 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # what goes to a Python worker at once; records may be whole texts
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
