@@ -14,6 +14,11 @@ EXT1 = f"STRUCT<{_EXT}>"
 EXTENSION = f"STRUCT<{_EXT},extension:ARRAY<{EXT1}>>"
 COMMON = f"resourceType STRING, id STRING, meta {META}, text {TEXT}"
 
+NAME = "STRUCT<use:STRING,family:STRING,given:ARRAY<STRING>,text:STRING,prefix:ARRAY<STRING>,suffix:ARRAY<STRING>>"
+IDENTIFIER = f"STRUCT<system:STRING,value:STRING,type:{CONCEPT}>"
+TELECOM = "STRUCT<system:STRING,value:STRING,use:STRING>"
+ADDRESS = "STRUCT<use:STRING,text:STRING,line:ARRAY<STRING>,city:STRING,state:STRING,postalCode:STRING,country:STRING>"
+
 # One entry per record type. Every field an operator may fill or repair is listed, because
 # withField can only replace what the struct already has.
 SCHEMAS = {
@@ -58,4 +63,28 @@ SCHEMAS = {
         encounter {REF}, issued STRING, effectiveDateTime STRING, effectivePeriod {PERIOD}, conclusion STRING,
         result ARRAY<{REF}>, imagingStudy ARRAY<{REF}>,
         presentedForm ARRAY<STRUCT<contentType:STRING,data:STRING>>, performer ARRAY<{REF}>""",
+    "AllergyIntolerance": f"""{COMMON}, clinicalStatus {CONCEPT}, verificationStatus {CONCEPT}, type STRING,
+        category ARRAY<STRING>, criticality STRING, code {CONCEPT}, patient {REF}, encounter {REF},
+        onsetDateTime STRING, recordedDate STRING, recorder {REF}, asserter {REF},
+        reaction ARRAY<STRUCT<substance:{CONCEPT},manifestation:ARRAY<{CONCEPT}>,severity:STRING,onset:STRING>>""",
+    "Procedure": f"""{COMMON}, status STRING, category {CONCEPT}, code {CONCEPT}, subject {REF}, encounter {REF},
+        performedDateTime STRING, performedPeriod {PERIOD}, performer ARRAY<STRUCT<function:{CONCEPT},actor:{REF}>>,
+        location {REF}, reasonCode ARRAY<{CONCEPT}>, bodySite ARRAY<{CONCEPT}>, outcome {CONCEPT}""",
+    "Immunization": f"""{COMMON}, status STRING, vaccineCode {CONCEPT}, patient {REF}, encounter {REF},
+        occurrenceDateTime STRING, primarySource BOOLEAN, lotNumber STRING, site {CONCEPT}, route {CONCEPT},
+        doseQuantity {QUANTITY}, performer ARRAY<STRUCT<actor:{REF}>>""",
+    "DocumentReference": f"""{COMMON}, status STRING, type {CONCEPT}, category ARRAY<{CONCEPT}>, subject {REF},
+        date STRING, author ARRAY<{REF}>, description STRING,
+        content ARRAY<STRUCT<attachment:STRUCT<contentType:STRING,data:STRING,url:STRING,title:STRING>>>,
+        context STRUCT<encounter:ARRAY<{REF}>,period:{PERIOD}>""",
+    "CarePlan": f"""{COMMON}, status STRING, intent STRING, title STRING, description STRING,
+        category ARRAY<{CONCEPT}>, subject {REF}, encounter {REF}, period {PERIOD}, created STRING, author {REF},
+        activity ARRAY<STRUCT<detail:STRUCT<status:STRING,code:{CONCEPT},description:STRING>>>, goal ARRAY<{REF}>""",
+    "RelatedPerson": f"""{COMMON}, active BOOLEAN, patient {REF}, relationship ARRAY<{CONCEPT}>, name ARRAY<{NAME}>,
+        telecom ARRAY<{TELECOM}>, gender STRING, birthDate STRING, address ARRAY<{ADDRESS}>""",
+    "Practitioner": f"""{COMMON}, active BOOLEAN, identifier ARRAY<{IDENTIFIER}>, name ARRAY<{NAME}>,
+        telecom ARRAY<{TELECOM}>, gender STRING, birthDate STRING, address ARRAY<{ADDRESS}>,
+        qualification ARRAY<STRUCT<code:{CONCEPT},issuer:{REF}>>""",
+    "Organization": f"""{COMMON}, active BOOLEAN, identifier ARRAY<{IDENTIFIER}>, type ARRAY<{CONCEPT}>, name STRING,
+        telecom ARRAY<{TELECOM}>, address ARRAY<{ADDRESS}>, partOf {REF}""",
 }

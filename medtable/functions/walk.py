@@ -7,12 +7,15 @@ Branches that hold nothing of interest are never read, so column pruning still w
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .paths import _STEP
+
 #: What a leaf rule gets: the field's name and type, and the type of the struct around it. It returns a function that
 #: makes the new value from the old one and the struct around it, or None.
 Rule = Callable[[str, T.DataType, T.StructType], "Callable[[Column, Column], Column] | None"]
@@ -41,6 +44,24 @@ def holds(kind: T.DataType, test: Callable[[T.DataType], bool]) -> bool:
     return isinstance(kind, T.StructType) and any(holds(f.dataType, test) for f in kind.fields)
 
 
+def type_at(schema: T.StructType, spec: str) -> T.DataType | None:
+    """Type of a path such as ``a.b[0].c`` or ``a[*].b``, or None where the schema has no such field; nothing is analysed."""
+    kind: T.DataType | None = schema
+    many = False
+    for name, brackets in _STEP.findall(spec):
+        if many and isinstance(kind, T.ArrayType):
+            kind = kind.elementType
+        if not isinstance(kind, T.StructType) or name not in kind.names:
+            return None
+        kind = kind[name].dataType
+        for inside in re.findall(r"\[([^\]]*)\]", brackets):
+            if not isinstance(kind, T.ArrayType):
+                return None
+            many = many or inside == "*"
+            kind = kind if inside == "*" else kind.elementType
+    return T.ArrayType(kind) if many and not isinstance(kind, T.ArrayType) else kind
+
+
 # ---- every reference of a record ----
 
 _FOUND = "array<struct<path:string,reference:string>>"

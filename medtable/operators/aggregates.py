@@ -139,24 +139,28 @@ def health_summary(patient: DataFrame, observation: DataFrame, condition: DataFr
     """Newest vital and lab per name, active conditions, encounter counts, newest encounter.
 
     Maps are keyed by code names, a bounded vocabulary; of several codes with one name the newest value
-    wins, and rows without a name or class count as "Unknown". The detail rows of active conditions are a
-    separate, chunked table.
+    wins, and rows without a name or type count as "Unknown". Lab results carry the reference range of that value
+    (``ref_low`` and ``ref_high``, if the frame has them) as ``low-high``, empty where there is none. Encounters are counted
+    by type. The detail rows of active conditions are a separate, chunked table.
     """
+    low, high = (F.col(c).cast("string") if c in observation.columns else F.lit(None).cast("string") for c in ("ref_low", "ref_high"))
+    observation = observation.withColumn("_range", F.when(low.isNotNull(), F.concat(low, F.lit("-"), F.coalesce(high, F.lit("")))).otherwise(""))
     rows = observation.where("value IS NOT NULL").withColumns({
         "_name": F.coalesce("code_display", F.lit("Unknown")), "_vital": F.coalesce(F.col("code_code").isin(HEALTH_VITALS), F.lit(False))})
-    newest = latest_per(rows, ["patient_id", "_vital", "_name"], ["issued_datetime", "observation_id"], ["value", "unit", "issued_datetime"])
-    entry = F.struct("_name", F.struct("value", "unit", F.col("issued_datetime").alias("date")))
+    newest = latest_per(rows, ["patient_id", "_vital", "_name"], ["issued_datetime", "observation_id"], ["value", "unit", "issued_datetime", "_range"])
+    reading = ["value", "unit", F.col("issued_datetime").alias("date")]
+    entry, lab = F.struct("_name", F.struct(*reading)), F.struct("_name", F.struct(*reading, F.col("_range").alias("reference_range")))
     is_vital = F.col("_vital")
     obs = newest.groupBy("patient_id").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.when(is_vital, entry)))).alias("vital_signs"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.when(~is_vital, entry)))).alias("lab_results"))
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(~is_vital, lab)))).alias("lab_results"))
     active = condition.where("clinical_status = 'active'").groupBy("patient_id", "code_display").agg(F.count(F.lit(1)).alias("_n"))
     conditions = active.groupBy("patient_id").agg(F.array_sort(F.collect_list("code_display")).alias("conditions"), F.sum("_n").alias("active_condition_count"))
-    by_type = encounter.withColumn("class_code", F.coalesce("class_code", F.lit("Unknown"))).groupBy("patient_id", "class_code").agg(
-        F.count(F.lit(1)).alias("_n"), F.max_by(F.struct("class_code", "start_datetime", "reason_display"), F.struct("start_datetime", "encounter_id")).alias("_last"),
+    by_type = encounter.withColumn("type", F.coalesce("type_display", F.lit("Unknown"))).groupBy("patient_id", "type").agg(
+        F.count(F.lit(1)).alias("_n"), F.max_by(F.struct("type", "start_datetime", "reason_display"), F.struct("start_datetime", "encounter_id")).alias("_last"),
         F.max(F.struct("start_datetime", "encounter_id")).alias("_at"))
     encounters = by_type.groupBy("patient_id").agg(
-        F.sum("_n").alias("encounter_count"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("class_code", "_n")))).alias("encounters_by_type"),
+        F.sum("_n").alias("encounter_count"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("type", "_n")))).alias("encounters_by_type"),
         F.max_by("_last", "_at").alias("most_recent"))
     return (patient.select("patient_id", "name_text", "gender", "birth_date", S.age_years(F.col("birth_date"), F.lit(as_of).cast("date")).alias("age"))
             .join(obs, "patient_id", "left").join(conditions, "patient_id", "left").join(encounters, "patient_id", "left")

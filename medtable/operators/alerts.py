@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions import scalars as S
-from .timeseries import _like
+from .timeseries import _like, first_of_each
 
 
 @dataclass(frozen=True)
@@ -75,6 +75,14 @@ def check_alerts(metrics: DataFrame, definitions: Sequence[Definition], as_of: s
         F.col("op"), F.col("metric_value"), F.col("lower"), F.col("upper"))).drop("total")
 
 
+def alert_samples(metrics: DataFrame, definitions: Sequence[Definition], as_of: str, order: Sequence[str], k: int = 10) -> DataFrame:
+    """The first ``k`` metrics that each definition's check looks at, as examples for its alert."""
+    now = F.lit(as_of).cast("timestamp")
+    seen = [F.when(d.matches() & (F.col("ts") >= now - F.expr(f"INTERVAL '{d.lookback_hours}' HOUR")) & (F.col("ts") <= now), F.lit(d.name)) for d in definitions]
+    rows = metrics.withColumn("name", F.explode(F.array_compact(F.array(*seen))))
+    return first_of_each(rows, ["name"], order, k)
+
+
 def hourly_totals(metrics: DataFrame, definitions: Sequence[Definition]) -> DataFrame:
     """Sum and count per definition and hour, from one partial aggregate."""
     aggs = []

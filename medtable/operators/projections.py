@@ -210,12 +210,18 @@ SILVER = {"Patient": patient_silver, "Observation": observation_silver, "Medicat
 
 
 def silver_by_type(raw: DataFrame, run_time: str = "2002-01-01") -> dict[str, DataFrame]:
-    """Split a mixed raw frame by record type and project each; unknown types are not parsed."""
+    """Split a mixed raw frame by record type and project each.
+
+    Records of other types, and texts without a type, are not parsed: they are the frame ``other``, as they came and
+    with their type, so every row of the input is in one of the frames.
+    """
     kind = F.get_json_object("json_data", "$.resourceType")
     out = {}
     for name, fn in SILVER.items():
         rows = raw.where(kind == name).select(F.from_json("json_data", types.SCHEMAS[name]).alias("r")).select("r.*")
         out[name] = fn(rows, run_time)
+    other = raw.withColumn("resource_type", kind)
+    out["other"] = other.where(F.col("resource_type").isNull() | ~F.col("resource_type").isin(list(SILVER)))
     return out
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..functions import codes
 from ..functions import scalars as S
 from ..functions.paths import path
+from ..functions.walk import type_at
 
 ISSUE = "struct<level:string,field:string,rule:string,message:string>"
 
@@ -507,11 +508,8 @@ VALUE_TYPES = ("not_null", "in_set", "between", "match_regex", "match_strftime_f
 
 
 def _known(df: DataFrame, spec: str) -> T.DataType | None:
-    """Type of a dotted path, from the plan alone."""
-    try:
-        return df.select(path(spec).alias("x")).schema["x"].dataType
-    except Exception:  # unresolved column: the analyser has no narrower public type for every miss
-        return None
+    """Type of a dotted path, from the schema alone."""
+    return type_at(df.schema, spec)
 
 
 def run_suite(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:

@@ -139,6 +139,13 @@ def issue_counts(issues: DataFrame) -> DataFrame:
     return totals.join(top, keys).select(*keys, "count", F.transform("_t", lambda x: x["message"]).alias("top_messages"))
 
 
+def first_of_each(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], k: int) -> DataFrame:
+    """The first ``k`` rows of each key. The rank is filtered, so Spark keeps ``k`` rows of a key in each task
+    before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("position", rank).where(F.col("position") <= k)
+
+
 def batch_validation(results: DataFrame) -> DataFrame:
     """Validation rate and issues per resource, per type and in total (rollup)."""
     return results.rollup("resource_type").agg(

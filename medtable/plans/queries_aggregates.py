@@ -141,8 +141,8 @@ def bp_by_patient(spark, sf):
     return A.bp_by_patient(A.bp_readings(records(spark, sf, "Observation")))
 
 
-def _latest(which):
-    return (f"(SELECT patient_id, string_agg(code_display || '=' || CAST(value AS VARCHAR) || ' ' || unit || ' ' || strftime(issued_datetime, '%Y-%m-%d'), '|' "
+def _latest(which, more="''"):
+    return (f"(SELECT patient_id, string_agg(code_display || '=' || CAST(value AS VARCHAR) || ' ' || unit || ' ' || strftime(issued_datetime, '%Y-%m-%d') || {more}, '|' "
             f"ORDER BY code_display) AS s FROM r WHERE rn = 1 AND {which} GROUP BY 1)")
 
 
@@ -152,17 +152,19 @@ _HV = "code_code IN (" + ", ".join(f"'{c}'" for c in A.HEALTH_VITALS) + ")"
 @query("patient_health_summary_g10_a18", oracle_prelude("patient", "observation+", "condition+", "encounter") + f""",
  r AS (SELECT *, row_number() OVER (PARTITION BY patient_id, code_code ORDER BY issued_datetime DESC, observation_id DESC) AS rn FROM observation),
  c AS (SELECT patient_id, array_to_string(list_sort(list(DISTINCT code_display)), '|') AS l, count(*) AS n FROM condition WHERE clinical_status = 'active' GROUP BY 1),
- e AS (SELECT patient_id, count(*) AS n, arg_max(class_code || ' ' || strftime(start_datetime, '%Y-%m-%d') || ' ' || coalesce(reason_display, '-'),
+ e AS (SELECT patient_id, count(*) AS n, arg_max(coalesce(type_display, 'Unknown') || ' ' || strftime(start_datetime, '%Y-%m-%d') || ' ' || coalesce(reason_display, '-'),
    (start_datetime, encounter_id)) AS last FROM encounter GROUP BY 1),
- et AS (SELECT patient_id, string_agg(class_code || '=' || CAST(n AS VARCHAR), '|' ORDER BY class_code) AS s FROM
-   (SELECT patient_id, class_code, count(*) AS n FROM encounter GROUP BY 1, 2) GROUP BY 1)
+ et AS (SELECT patient_id, string_agg(type || '=' || CAST(n AS VARCHAR), '|' ORDER BY type) AS s FROM
+   (SELECT patient_id, coalesce(type_display, 'Unknown') AS type, count(*) AS n FROM encounter GROUP BY 1, 2) GROUP BY 1)
 SELECT p.patient_id, name_text, gender, strftime(birth_date, '%Y-%m-%d') AS birth_date, CAST({_AGE} AS INT) AS age, coalesce(v.s, '') AS vital_signs,
   coalesce(b.s, '') AS lab_results, coalesce(c.l, '') AS conditions, CAST(coalesce(c.n, 0) AS BIGINT) AS active_condition_count,
   CAST(coalesce(e.n, 0) AS BIGINT) AS encounter_count, coalesce(et.s, '') AS encounters_by_type, e.last AS most_recent
-FROM patient p LEFT JOIN {_latest(_HV)} v USING (patient_id) LEFT JOIN {_latest('NOT ' + _HV)} b USING (patient_id)
+FROM patient p LEFT JOIN {_latest(_HV)} v USING (patient_id) LEFT JOIN {_latest('NOT ' + _HV, "' [' || CASE WHEN pk % 2 = 0 THEN '10.0-40.0' ELSE '' END || ']'")} b USING (patient_id)
  LEFT JOIN c USING (patient_id) LEFT JOIN e USING (patient_id) LEFT JOIN et USING (patient_id)""")
 def patient_health_summary(spark, sf):
-    out = A.health_summary(flat(spark, sf, "patient"), flat(spark, sf, "observation", True), flat(spark, sf, "condition", True),
+    even = F.col("pk") % 2 == 0
+    observation = flat(spark, sf, "observation", True).withColumns({"ref_low": F.when(even, 10.0), "ref_high": F.when(even, 40.0)})
+    out = A.health_summary(flat(spark, sf, "patient"), observation, flat(spark, sf, "condition", True),
                            flat(spark, sf, "encounter"), AS_OF)
 
     def shown(col, text):
@@ -172,12 +174,15 @@ def patient_health_summary(spark, sf):
         v = x["value"]
         return F.concat(x["key"], F.lit("="), v["value"].cast("string"), F.lit(" "), v["unit"], F.lit(" "), F.date_format(v["date"], "yyyy-MM-dd"))
 
+    def lab(x):
+        return F.concat(reading(x), F.lit(" ["), x["value"]["reference_range"], F.lit("]"))
+
     last = F.col("most_recent")
     return out.withColumns({
-        "vital_signs": shown("vital_signs", reading), "lab_results": shown("lab_results", reading),
+        "vital_signs": shown("vital_signs", reading), "lab_results": shown("lab_results", lab),
         "conditions": F.coalesce(F.array_join("conditions", "|"), F.lit("")),
         "encounters_by_type": shown("encounters_by_type", lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string"))),
-        "most_recent": F.concat(last["class_code"], F.lit(" "), F.date_format(last["start_datetime"], "yyyy-MM-dd"), F.lit(" "), F.coalesce(last["reason_display"], F.lit("-")))})
+        "most_recent": F.concat(last["type"], F.lit(" "), F.date_format(last["start_datetime"], "yyyy-MM-dd"), F.lit(" "), F.coalesce(last["reason_display"], F.lit("-")))})
 
 
 @query("patient_active_conditions_g10", oracle_prelude("condition+") + """

@@ -11,7 +11,7 @@ from ..functions.paths import path
 from ..functions.skew import asof_last
 from ..operators import aggregates as A
 from ..operators import joins as J
-from ..sources.star import AS_OF, FLAT_OF, flat, oracle_prelude, records, table
+from ..sources.star import AS_OF, CORE, flat, oracle_prelude, records, table
 from .registry import query
 
 TS = "'%Y-%m-%d %H:%M:%S'"
@@ -120,7 +120,7 @@ _ALL = oracle_prelude("patient", "encounter", "observation+", "condition+", "med
 
 def _edges(spark, sf):
     """The references of all six record types of the star."""
-    return reduce(DataFrame.unionByName, [J.reference_edges(records(spark, sf, kind), kind) for kind in FLAT_OF])
+    return reduce(DataFrame.unionByName, [J.reference_edges(records(spark, sf, kind), kind) for kind in CORE])
 
 
 @query("reference_edges_j17", _ALL + "," + _EDGES + " SELECT * FROM edges")
@@ -152,7 +152,7 @@ def report_results(spark, sf):
  UNION ALL SELECT patient_id, 'Observation', observation_id, true FROM observation UNION ALL SELECT patient_id, 'DiagnosticReport', report_id, true FROM diagnostic_report
  UNION ALL SELECT patient_id, 'MedicationRequest', medication_request_id, true FROM medication_request""")
 def patient_everything(spark, sf):
-    frames = {k: records(spark, sf, k) for k in FLAT_OF if k != "Patient"}
+    frames = {k: records(spark, sf, k) for k in CORE if k != "Patient"}
     rows = J.everything(records(spark, sf, "Patient"), frames)
     return rows.select("patient_id", "resource_type", "id", (F.get_json_object("json", "$.id") == F.col("id")).alias("ok"))
 

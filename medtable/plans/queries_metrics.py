@@ -149,6 +149,14 @@ def alert_check(spark, sf):
     return L.check_alerts(flat(spark, sf, "metric"), DEFINITIONS, "2024-01-20 12:00:00")
 
 
+@query("alert_samples_l05", METRIC + " " + " UNION ALL ".join(
+    f"""SELECT * FROM (SELECT '{d.name}' AS name, event_id, round(value, 6) AS value, CAST(row_number() OVER (ORDER BY ts, event_id) AS INT) AS position FROM metric WHERE {_WHERE[d.name]}
+ AND ts BETWEEN TIMESTAMP '2024-01-20 12:00:00' - INTERVAL {d.lookback_hours} HOUR AND TIMESTAMP '2024-01-20 12:00:00') WHERE position <= 10""" for d in DEFINITIONS))
+def alert_samples(spark, sf):
+    """Ten sample metrics for each alert; the limit is the feature."""
+    return L.alert_samples(flat(spark, sf, "metric"), DEFINITIONS, "2024-01-20 12:00:00", ["ts", "event_id"]).select("name", "event_id", "value", "position")
+
+
 _HITS = METRIC.replace("WITH ", "WITH RECURSIVE ", 1) + ", h AS (" + " UNION ALL ".join(
     f"SELECT '{d.name}' AS name, date_trunc('hour', ts) AS hour, coalesce(sum(value) FILTER (WHERE {_WHERE[d.name]}), 0) AS s, count(value) FILTER (WHERE {_WHERE[d.name]}) AS n FROM metric GROUP BY 2"
     for d in DEFINITIONS) + "), w AS (" + " UNION ALL ".join(

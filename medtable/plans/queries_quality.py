@@ -12,8 +12,9 @@ from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import repair as E
 from ..operators import rules as R
+from ..operators import timeseries as M
 from ..operators.specs import FLATTEN, apply_spec
-from ..sources.star import AS_OF, FLAT_OF, dirty_records, flat, messy_records, oracle_prelude, raw, records, stored_text
+from ..sources.star import AS_OF, CORE, FLAT, dirty_records, flat, messy_records, oracle_prelude, raw, records, stored_text
 from .registry import query
 
 Z = "'%Y-%m-%dT%H:%M:%SZ'"
@@ -82,6 +83,19 @@ def declared_rules(spark, sf):
     return _union(R.issue_rows(df, k, R.declared_rules(k)) for k, df in _dirty(spark, sf).items())
 
 
+# the other types, with an id each
+MORE = oracle_prelude("allergy_intolerance+", "procedure+", "immunization+", "document_reference", "care_plan", "related_person").replace("WITH ", ", ", 1) + """,
+ al AS (SELECT *, allergy_id AS id FROM allergy_intolerance), pr AS (SELECT *, procedure_id AS id FROM procedure), im AS (SELECT *, immunization_id AS id FROM immunization),
+ dr AS (SELECT *, document_id AS id FROM document_reference), cp AS (SELECT *, care_plan_id AS id FROM care_plan),
+ rp AS (SELECT *, related_person_id AS id, CASE WHEN k % 10 = 0 THEN strftime(birth_date, '%m/%d/%Y') ELSE strftime(birth_date, '%Y-%m-%d') END AS b FROM related_person)
+"""
+_ABSENT = "'Required field is missing'"
+_MORE_ISSUES = _all(
+    _issue("AllergyIntolerance", "error", "patient", "required", _ABSENT, "al", "pk % 7 = 0"), _issue("Procedure", "error", "status", "required", _ABSENT, "pr", "status IS NULL"),
+    _issue("Procedure", "error", "performedDateTime", "regex", _no_match("strftime(performed, '%Y-%m-%d')"), "pr", "sk % 5 = 0"),
+    _issue("Immunization", "error", "occurrenceDateTime", "required", _ABSENT, "im", "occurred IS NULL"), _issue("DocumentReference", "error", "content", "required", _ABSENT, "dr", "k % 6 = 0"),
+    _issue("CarePlan", "error", "intent", "required", _ABSENT, "cp", "intent IS NULL"), _issue("RelatedPerson", "error", "birthDate", "regex", _no_match("b"), "rp", "k % 10 = 0"),
+    _issue("RelatedPerson", "error", "gender", "allowed", _not_in("gender", codes.GENDERS), "rp", "gender = 'X'"))
 _FIELD_ISSUES = _all(
     _issue("Patient", "error", "birthDate", "regex", _no_match("b"), "p", "k % 17 = 0"), _issue("Patient", "error", "gender", "allowed", _not_in("g", codes.GENDERS), "p", "k % 13 = 0"),
     _issue("Observation", "error", "status", "required", "'Required field is missing'", "o", "s IS NULL"), _issue("Observation", "error", "code", "required", "'Required field is missing'", "o", "NOT has_code"),
@@ -92,9 +106,18 @@ def _field_issues(spark, sf):
     return _union(R.issue_rows(df, k, R.field_rules(k)) for k, df in _dirty(spark, sf).items())
 
 
-@query("field_rules_q06", DIRTY + _FIELD_ISSUES)
+@query("field_rules_q06", DIRTY + MORE + _FIELD_ISSUES + " UNION ALL " + _MORE_ISSUES)
 def field_rules(spark, sf):
-    return _field_issues(spark, sf)
+    """Q06: the field schemas of all twelve types; three of them have no defect in the star."""
+    rest = [k for k in R.FIELDS if k not in KINDS]
+    return _union([_field_issues(spark, sf), *(R.issue_rows(records(spark, sf, k), k, R.field_rules(k)) for k in rest)])
+
+
+@query("errors_per_type_l05", DIRTY + MORE + ", i AS (" + _FIELD_ISSUES + " UNION ALL " + _MORE_ISSUES + """)
+ SELECT resource_type, resource_id, field, message, CAST(row_number() OVER (PARTITION BY resource_type ORDER BY resource_id, field, rule) AS INT) AS position FROM i QUALIFY position <= 5""")
+def errors_per_type(spark, sf):
+    """Five errors of each type; the limit is the feature."""
+    return M.first_of_each(field_rules(spark, sf), ["resource_type"], ["resource_id", "field", "rule"], 5).select("resource_type", "resource_id", "field", "message", "position")
 
 
 @query("suggested_corrections_q12", DIRTY + ", i AS (" + _FIELD_ISSUES + f""") SELECT resource_type, resource_id, field,
@@ -179,14 +202,28 @@ def key_set_consistency(spark, sf):
     return R.key_set_issues(raw(spark, sf, "Patient"))
 
 
-@query("dimension_report_q17_q16", DIRTY + f"""SELECT 'Patient' AS resource_type, CAST(count(*) AS BIGINT) AS resources, 1.0::DOUBLE AS completeness,
-  round(1 - count(*) FILTER (WHERE g = 'M' OR k % 17 = 0) * 1.0 / count(*), 6) AS conformance, round(1 - count(*) FILTER (WHERE k % 11 = 0) * 1.0 / count(*), 6) AS consistency,
-  round(1 - count(*) FILTER (WHERE date_diff('day', DATE '2001-01-01' + CAST(k % 28 AS INT), DATE '2002-01-10') > 365) * 1.0 / count(*), 6) AS timeliness FROM p
- UNION ALL SELECT 'Encounter', count(*), round(1 - count(*) FILTER (WHERE s IS NULL) * 1.0 / (count(*) * 5), 6), round(1 - count(*) FILTER (WHERE s IS NULL) * 1.0 / count(*), 6), 1.0,
-  round(1 - count(*) FILTER (WHERE date_diff('day', CAST(start_datetime AS DATE), DATE '2002-01-10') > 365) * 1.0 / count(*), 6) FROM e""")
+def _dimensions(kind, src, completeness, invalid, inconsistent, updated):
+    """The four dimensions of a type and their mean."""
+    stale = f"date_diff('day', CAST({updated} AS DATE), DATE '2002-01-10') > 365"
+    shares = [completeness, *(f"1 - count(*) FILTER (WHERE {test}) * 1.0 / count(*)" for test in (invalid, inconsistent, stale))]
+    names = ("completeness", "conformance", "consistency", "timeliness")
+    return (f"SELECT '{kind}' AS resource_type, CAST(count(*) AS BIGINT) AS resources, " + ", ".join(f"round({x}, 6) AS {n}" for x, n in zip(shares, names))
+            + ", round((" + " + ".join(f"({x})" for x in shares) + f") / 4, 6) AS overall FROM {src}")
+
+
+_GAPS = "1 - sum({}) * 1.0 / (count(*) * {})"
+
+
+@query("dimension_report_q17_q16", DIRTY + ", cd AS (SELECT * FROM (" + FLAT["condition"].replace("{", "").replace("}", "") + ")), mr AS (SELECT * FROM (" + FLAT["medication_request"].replace("{", "").replace("}", "") + ")) " + " UNION ALL ".join([
+    _dimensions("Patient", "p", "1.0::DOUBLE", "g = 'M' OR k % 17 = 0", "k % 11 = 0", "DATE '2001-01-01' + CAST(k % 28 AS INT)"),
+    _dimensions("Encounter", "e", _GAPS.format("(s IS NULL)::INT", 5), "s IS NULL", "false", "start_datetime"),
+    _dimensions("Observation", "o", _GAPS.format("(s IS NULL)::INT + (NOT has_code)::INT + (ln = 5)::INT", 6), "s IS NULL OR NOT has_code OR s NOT IN (" + ", ".join(f"'{v}'" for v in codes.RECORD_STATUS) + ")",
+                "NOT has_code", "issued_datetime"),
+    _dimensions("Condition", "cd", "1.0::DOUBLE", "false", "false", "onset_datetime"),
+    _dimensions("MedicationRequest", "mr", _GAPS.format("(ln = 3)::INT", 6), "false", "false", "authored_datetime")]))
 def dimension_report(spark, sf):
-    """Q17 with A29, Q15, Q16; the overall score has its own query."""
-    return _union(R.dimension_report(dirty_records(spark, sf, k), k, "2002-01-10") for k in ("Patient", "Encounter")).drop("overall")
+    """Q17 with A29, Q15, Q16 and the overall score, for five types."""
+    return _union(R.dimension_report(dirty_records(spark, sf, k), k, "2002-01-10") for k in R.REQUIRED)
 
 
 _GATE = """, x AS (SELECT id, coalesce((s IS NULL)::INT, 0) + (NOT has_code)::INT + coalesce((s IS NOT NULL AND s NOT IN (""" + _OBS_IN + """))::INT, 0) AS n,
@@ -271,12 +308,27 @@ def expectations(spark, sf):
     return R.run_suite(dirty_records(spark, sf, "Patient"), SUITE)
 
 
-@query("suites_q27_q31_a45_k14", DIRTY + """, t AS (SELECT 'Patient' AS resource_type, 8 AS e, 7 AS s UNION ALL SELECT 'Observation', 9, 8 UNION ALL SELECT 'Encounter', 9, 8 UNION ALL SELECT 'Condition', 7, 7 UNION ALL SELECT 'MedicationRequest', 9, 9)
- SELECT resource_type, CAST(e AS BIGINT) AS expectations, CAST(s AS BIGINT) AS successful, round(s * 1.0 / e, 6) AS success_ratio FROM t""")
+#: Expectations of a type's gold suite, and those of its value set.
+_SUITE_SIZES = {"Patient": (8, 1), "Observation": (9, 1), "Encounter": (9, 1), "Condition": (7, 0), "MedicationRequest": (9, 1), "DiagnosticReport": (8, 0), "AllergyIntolerance": (7, 0), "Procedure": (9, 1),
+                "Immunization": (9, 1), "DocumentReference": (9, 1)}
+#: Columns that the tiers above bronze ask for besides value sets.
+_SILVER = {"Patient": 0}
+
+
+def _suite_rows():
+    """Expectations and successes of 30 suites: the dirty types miss their value set from silver on."""
+    for kind, (gold, sets) in _SUITE_SIZES.items():
+        silver_only = _SILVER.get(kind, 1)
+        for level, n in (("bronze", gold - 1 - silver_only - sets), ("silver", gold - 1), ("gold", gold)):
+            missed = int(level != "bronze" and kind in KINDS)
+            yield f"SELECT '{kind}' AS resource_type, '{level}' AS tier, CAST({n} AS BIGINT) AS expectations, CAST({n - missed} AS BIGINT) AS successful, round({n - missed} * 1.0 / {n}, 6) AS success_ratio"
+
+
+@query("suites_q27_q31_a45_k14", " UNION ALL ".join(_suite_rows()))
 def suites(spark, sf):
-    """Gold suites of five types; the dirty ones miss their value set."""
-    frames = {**_dirty(spark, sf), **{k: records(spark, sf, k) for k in ("Condition", "MedicationRequest")}}
-    return R.tier_validation(frames, "gold")
+    """The suites of ten types at three tiers; the dirty types miss their value set."""
+    frames = {**_dirty(spark, sf), **{k: records(spark, sf, k) for k in R.SUITES if k not in KINDS}}
+    return _union(R.tier_validation(frames, level).withColumn("tier", F.lit(level)) for level in ("bronze", "silver", "gold"))
 
 
 @query("schema_check_q01", oracle_prelude("encounter") + """SELECT * FROM (SELECT 'photo' AS field, 'missing' AS rule, 'Missing field: photo' AS message, CAST(count(*) AS BIGINT) AS rows FROM encounter
@@ -337,7 +389,7 @@ def auto_correction(spark, sf):
     def listed(kind):
         line = F.transform("corrections", lambda x: F.concat(x["path"], F.lit(": "), x["old"], F.lit(" -> "), x["new"]))
         return E.correct(messy_records(spark, sf, kind)).select(F.lit(kind).alias("resource_type"), "id", F.array_join(line, "|").alias("corrections"))
-    return reduce(DataFrame.unionByName, [listed(kind) for kind in FLAT_OF])
+    return reduce(DataFrame.unionByName, [listed(kind) for kind in CORE])
 
 
 @query("corrected_records_e01_e02_e03_e04", DIRTY + """SELECT 'Observation' AS resource_type, id, 'http://loinc.org' AS system, CASE ln WHEN 6 THEN 'soon' ELSE strftime(issued_datetime, '%Y-%m-%d') END AS date,

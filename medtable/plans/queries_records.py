@@ -1,12 +1,15 @@
 """Registered projections of nested records: specs, silver, gold and row shapes."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.paths import as_array, as_bool, as_float, as_int, as_timestamp, nav, path, template, text_of
 from ..operators import projections as P
 from ..operators import specs
-from ..sources.star import AS_OF, RACE_URL, flat, oracle_prelude, raw, records
+from ..sources.star import AS_OF, CORE, RACE_URL, flat, oracle_prelude, raw, records
 from .registry import query
 
 Z = "'%Y-%m-%dT%H:%M:%SZ'"
@@ -215,6 +218,20 @@ def _silver(spark, sf, kind):
     return P.silver_by_type(raw(spark, sf, kind), AS_OF)[kind]
 
 
+@query("silver_mixed_r08_s09", oracle_prelude("patient", "encounter", "observation", "condition", "medication_request", "diagnostic_report", "procedure") + " UNION ALL ".join(
+    f"SELECT '{frame}' AS frame, {kind} AS resource_type, CAST(count(*) AS BIGINT) AS n FROM {src}" for frame, kind, src in [
+        *((k, f"'{k}'", t) for k, t in (("Patient", "patient"), ("Encounter", "encounter"), ("Observation", "observation"), ("Condition", "condition"), ("MedicationRequest", "medication_request"))),
+        ("other", "'DiagnosticReport'", "diagnostic_report"), ("other", "'Procedure'", "procedure"), ("other", "'none'", "patient WHERE k % 9 = 0")]))
+def silver_mixed(spark, sf):
+    """One raw frame of seven types and broken texts; what has no projection is kept as it came."""
+    mixed = reduce(DataFrame.unionByName, [raw(spark, sf, k) for k in (*CORE, "Procedure")])
+    broken = raw(spark, sf, "Patient").where(F.get_json_object("json_data", "$.id").cast("bigint") % 9 == 0).select(F.substring("json_data", 1, 15).alias("json_data"))
+    frames = P.silver_by_type(mixed.unionByName(broken), AS_OF)
+    counts = [df.select(F.lit(name).alias("frame"), F.coalesce(F.col("resource_type"), F.lit("none")).alias("resource_type") if name == "other" else F.lit(name).alias("resource_type"))
+              for name, df in frames.items()]
+    return reduce(DataFrame.unionByName, counts).groupBy("frame", "resource_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("patient_silver_r02_r07", oracle_prelude("patient") + f"""SELECT patient_id AS id, name_text AS family, {_GIVEN1} AS given, {_GIVEN2} AS middle, {_GIVEN1} || ' ' || name_text AS "full",
  gender, strftime(birth_date, '%Y-%m-%d') AS "birthDate", address_line AS street, address_city AS city, address_state AS state, address_postal_code AS "postalCode", email, phone,
  'MRN' || patient_id AS mrn, 'Patient' AS source_type FROM patient""")

@@ -38,13 +38,21 @@ def detect_format(spark: SparkSession, path: str) -> str | None:
 
 
 def read_auto(spark: SparkSession, path: str, schema: T.StructType | None = None, strict: bool = False) -> DataFrame | None:
-    """Read in the detected format; nothing there gives None, or an error in strict mode."""
+    """Read in the detected format; nothing there gives None, or an error in strict mode.
+
+    Delta tables need the session to have that source; without it the error says so.
+    """
     fmt = detect_format(spark, path)
     if fmt is None:
         if strict:
             raise FileNotFoundError(f"no readable data in {path}")
         return None
     reader = spark.read.format(fmt)
+    if fmt == "delta":
+        try:
+            return reader.load(path)
+        except Exception as e:  # the name of the error differs with what is missing
+            raise NotImplementedError(f"{path} is a Delta table, and this session cannot read Delta: {str(e).splitlines()[0]}") from e
     return (reader.schema(schema) if schema is not None and fmt == "json" else reader).load(path)
 
 

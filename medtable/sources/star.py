@@ -18,7 +18,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 
 AS_OF = "2002-01-01"
-BASE = {"patient": "customer", "encounter": "orders"}
+BASE = {"patient": "customer", "encounter": "orders", "care_plan": "orders", "related_person": "customer", "practitioner": "supplier", "organization": "nation",
+        "document_reference": "documents"}
 
 
 def _pick(expr: str, values: list[str]) -> str:
@@ -93,6 +94,39 @@ FLAT = {
           CASE WHEN l_suppkey % 2 = 0 THEN 'Conclusion ' || CAST(l_suppkey AS STRING) END AS conclusion,
           CAST(NULL AS STRING) AS clinical_text, l_linenumber AS ln, l_partkey AS pk, l_suppkey AS sk
         FROM {{lineitem}} WHERE l_returnflag = 'N' AND l_linenumber = 1""",
+    "allergy_intolerance": f"""
+        SELECT {_LINE_ID} AS allergy_id, CAST(l_orderkey AS STRING) AS encounter_id, 'A' || CAST(l_partkey % 40 AS STRING) AS code_code, p_brand AS substance,
+          {_pick("l_suppkey % 3", ["active", "inactive", "resolved"])} AS clinical_status, {_pick("l_suppkey % 4", ["mild", "moderate", "severe"])} AS severity,
+          CASE WHEN l_partkey % 5 <> 0 THEN 'Rash ' || CAST(l_partkey % 6 AS STRING) END AS manifestation, l_shipdate AS recorded_date,
+          l_linenumber AS ln, l_partkey AS pk, l_suppkey AS sk
+        FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey WHERE l_linenumber = 5 AND l_partkey % 2 = 0""",
+    "procedure": f"""
+        SELECT {_LINE_ID} AS procedure_id, CAST(l_orderkey AS STRING) AS encounter_id, 'P' || CAST(l_partkey % 30 AS STRING) AS code_code, 'Procedure ' || CAST(l_partkey % 30 AS STRING) AS code_display,
+          CASE WHEN l_partkey % 9 <> 0 THEN 'completed' END AS status, l_shipdate AS performed, l_linenumber AS ln, l_partkey AS pk, l_suppkey AS sk
+        FROM {{lineitem}} WHERE l_linenumber = 6""",
+    "immunization": f"""
+        SELECT {_LINE_ID} AS immunization_id, CAST(l_orderkey AS STRING) AS encounter_id, 'V' || CAST(l_partkey % 20 AS STRING) AS code_code, 'Vaccine ' || CAST(l_partkey % 20 AS STRING) AS code_display,
+          CASE l_linestatus WHEN 'F' THEN 'completed' ELSE 'not-done' END AS status, CASE WHEN l_partkey % 8 <> 0 THEN l_shipdate END AS occurred, l_quantity AS dose,
+          l_linenumber AS ln, l_partkey AS pk, l_suppkey AS sk
+        FROM {{lineitem}} WHERE l_linenumber = 7""",
+    "care_plan": """
+        SELECT o_orderkey AS k, 'CP' || CAST(o_orderkey AS STRING) AS care_plan_id, CAST(o_orderkey AS STRING) AS encounter_id, CAST(o_custkey AS STRING) AS patient_id,
+          CASE o_orderstatus WHEN 'F' THEN 'completed' ELSE 'active' END AS status, CASE WHEN o_orderkey % 4 <> 0 THEN 'plan' END AS intent,
+          o_orderpriority AS title, o_orderdate AS created
+        FROM {orders} WHERE o_orderkey % 3 = 0""",
+    "related_person": f"""
+        SELECT c_custkey AS k, 'RP' || CAST(c_custkey AS STRING) AS related_person_id, CAST(c_custkey AS STRING) AS patient_id, c_name AS name_text,
+          CASE WHEN c_custkey % 15 = 0 THEN 'X' ELSE {_pick("c_custkey % 2", ["male", "female"])} END AS gender,
+          DATE '1945-01-01' + CAST((c_custkey * 41) % 20000 AS INT) AS birth_date, {_pick("c_nationkey % 3", ["parent", "spouse", "sibling"])} AS relationship
+        FROM {{customer}}""",
+    "practitioner": """
+        SELECT s_suppkey AS k, CAST(s_suppkey AS STRING) AS practitioner_id, s_name AS name_text, s_nationkey AS nk FROM {supplier}""",
+    "organization": """
+        SELECT n_nationkey AS k, CAST(n_nationkey AS STRING) AS organization_id, n_name AS name_text, r_name AS address_country FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
+    "document_reference": f"""
+        SELECT doc_id AS k, 'D' || CAST(doc_id AS STRING) AS document_id, CAST(doc_id AS STRING) AS patient_id, lang, text,
+          {_pick("doc_id % 4", ["Progress note", "Discharge summary", "Imaging report", "Consent form"])} AS type_display, DATE '2024-01-01' + CAST(doc_id % 365 AS INT) AS note_date
+        FROM {{documents}}""",
     "metric": f"""
         SELECT event_id, ts, 'quality.' || event_type AS metric, event_type AS dimension,
           {_pick("user_id % 4", ["Patient", "Observation", "Encounter", "Condition"])} AS resource_type,
@@ -129,7 +163,7 @@ def flat(spark: SparkSession, sf_dir: str, name: str, with_patient: bool = False
     df = spark.sql(FLAT[name], **used)
     # Stored instants carry no zone; records use UTC instants.
     df = df.select(*[F.col(n).cast("timestamp").alias(n) if t == "timestamp_ntz" else F.col(n) for n, t in df.dtypes])
-    if with_patient and "patient_id" not in df.columns:
+    if with_patient and "patient_id" not in df.columns and "encounter_id" in df.columns:
         owner = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("encounter_id"),
                                                       F.col("o_custkey").cast("string").alias("patient_id"))
         df = df.join(owner, "encounter_id")
@@ -280,7 +314,50 @@ RECORDS = {
     ],
 }
 
-FLAT_OF = {"Patient": "patient", "Encounter": "encounter", "Observation": "observation", "Condition": "condition",
+RECORDS |= {
+    "AllergyIntolerance": [
+        "'AllergyIntolerance' AS resourceType", "allergy_id AS id", _concept("'urn:clinical'", "clinical_status", "clinical_status") + " AS clinicalStatus",
+        _concept("'http://snomed.info/sct'", "code_code", "substance") + " AS code", "CASE WHEN pk % 7 <> 0 THEN " + _ref("'Patient/' || patient_id") + " END AS patient",
+        _ref("'Encounter/' || encounter_id") + " AS encounter", _ref("'Practitioner/' || CAST(sk AS STRING)") + " AS recorder", _instant("recorded_date") + " AS recordedDate",
+        "array(named_struct('substance', " + _concept("'urn:substance'", "code_code", "substance") + ", 'manifestation', CASE WHEN manifestation IS NOT NULL THEN array("
+        + _concept("'urn:manifestation'", "manifestation", "manifestation") + ") END, 'severity', severity)) AS reaction",
+    ],
+    "Procedure": [
+        "'Procedure' AS resourceType", "procedure_id AS id", "status", _concept("'http://snomed.info/sct'", "code_code", "code_display") + " AS code",
+        _ref("'Patient/' || patient_id") + " AS subject", _ref("'Encounter/' || encounter_id") + " AS encounter",
+        "CASE WHEN sk % 5 = 0 THEN date_format(performed, 'yyyy-MM-dd') ELSE " + _instant("performed") + " END AS performedDateTime",
+        "array(named_struct('actor', " + _ref("'Practitioner/' || CAST(sk AS STRING)") + ")) AS performer",
+    ],
+    "Immunization": [
+        "'Immunization' AS resourceType", "immunization_id AS id", "status", _concept("'http://hl7.org/fhir/sid/cvx'", "code_code", "code_display") + " AS vaccineCode",
+        _ref("'Patient/' || patient_id") + " AS patient", _ref("'Encounter/' || encounter_id") + " AS encounter", _instant("occurred") + " AS occurrenceDateTime",
+        "named_struct('value', CAST(dose AS DOUBLE), 'unit', 'mL') AS doseQuantity",
+    ],
+    "DocumentReference": [
+        "'DocumentReference' AS resourceType", "document_id AS id", "'current' AS status", _concept("'http://loinc.org'", "type_display", "type_display") + " AS type",
+        _ref("'Patient/' || patient_id") + " AS subject", _instant("note_date") + " AS date",
+        "CASE WHEN k % 6 <> 0 THEN array(named_struct('attachment', named_struct('contentType', 'text/plain', 'data', base64(encode(text, 'UTF-8'))))) END AS content",
+    ],
+    "CarePlan": [
+        "'CarePlan' AS resourceType", "care_plan_id AS id", "status", "intent", "title", _ref("'Patient/' || patient_id") + " AS subject",
+        _ref("'Encounter/' || encounter_id") + " AS encounter", "named_struct('start', " + _instant("created") + ") AS period", _instant("created") + " AS created",
+    ],
+    "RelatedPerson": [
+        "'RelatedPerson' AS resourceType", "related_person_id AS id", "true AS active", _ref("'Patient/' || patient_id") + " AS patient", "gender",
+        "CASE WHEN k % 10 = 0 THEN date_format(birth_date, 'MM/dd/yyyy') ELSE date_format(birth_date, 'yyyy-MM-dd') END AS birthDate",
+        "array(" + _concept("'urn:relationship'", "relationship", "relationship") + ") AS relationship", "array(named_struct('use', 'official', 'text', name_text)) AS name",
+    ],
+    "Practitioner": [
+        "'Practitioner' AS resourceType", "practitioner_id AS id", "true AS active", "array(named_struct('use', 'official', 'text', name_text)) AS name",
+        "array(named_struct('code', " + _concept("'urn:qualification'", "'MD'", "'Doctor'") + ", 'issuer', " + _ref("'Organization/' || CAST(nk AS STRING)") + ")) AS qualification",
+    ],
+    "Organization": ["'Organization' AS resourceType", "organization_id AS id", "true AS active", "name_text AS name", "array(named_struct('country', address_country)) AS address"],
+}
+
+#: The six types that most operators are checked on.
+CORE = ("Patient", "Encounter", "Observation", "Condition", "MedicationRequest", "DiagnosticReport")
+FLAT_OF = {"AllergyIntolerance": "allergy_intolerance", "Procedure": "procedure", "Immunization": "immunization", "DocumentReference": "document_reference", "CarePlan": "care_plan",
+           "RelatedPerson": "related_person", "Practitioner": "practitioner", "Organization": "organization", "Patient": "patient", "Encounter": "encounter", "Observation": "observation", "Condition": "condition",
            "MedicationRequest": "medication_request", "DiagnosticReport": "diagnostic_report"}
 
 
@@ -355,7 +432,7 @@ def dirty_records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
             "status": F.when(ln == 2, F.lit(None)).when(ln == 6, F.lit("done")).otherwise(F.col("status")),
             "code": F.when(~((ln == 7) & (pk % 2 == 0)), F.col("code").withField("coding", coding)),
             "subject": F.col("subject").withField("reference", F.when(ln == 4, bare).when(ln == 3, F.concat(F.lit("Patient"), bare)).otherwise(F.col("subject")["reference"]))})
-    raise ValueError(f"no defects defined for {kind}")
+    return df  # the projection of the other types has its defects in place
 
 
 def _as(value, kind: T.StructType):

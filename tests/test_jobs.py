@@ -216,7 +216,7 @@ def test_health_summary_of_shared_and_missing_names(spark):
     seen = [("p", "o1", "c1", "Glucose", 1.0, "u", "2024-01-01"), ("p", "o2", "c2", "Glucose", 2.0, "u", "2024-01-02"), ("p", "o3", None, None, 3.0, "u", "2024-01-03")]
     observation = spark.createDataFrame(seen, "patient_id string, observation_id string, code_code string, code_display string, value double, unit string, issued_datetime string")
     condition = spark.createDataFrame([], "patient_id string, clinical_status string, code_display string")
-    encounter = spark.createDataFrame([("p", "e", None, "2024-01-01", "r")], "patient_id string, encounter_id string, class_code string, start_datetime string, reason_display string")
+    encounter = spark.createDataFrame([("p", "e", None, "2024-01-01", "r")], "patient_id string, encounter_id string, type_display string, start_datetime string, reason_display string")
     row = health_summary(patient, observation, condition, encounter, "2024-06-01").collect()[0]
     assert {k: v["value"] for k, v in row.lab_results.items()} == {"Glucose": 2.0, "Unknown": 3.0} and row.encounters_by_type == {"Unknown": 1}
 
@@ -285,3 +285,10 @@ def test_threshold_of_a_value_is_that_of_a_column(spark, op):
         rows = spark.createDataFrame([(v,) for v in values], "v DOUBLE").coalesce(1).select("v", scalars.crosses(F.lit(op), F.col("v"), F.lit(0.3), F.lit(upper).cast("double")).alias("hit"))
         rule = L.Definition("d", "m", op, 0.3, upper)
         assert {r["v"]: r["hit"] for r in rows.collect()} == {v: L.crosses(rule, v) for v in values}
+
+
+def test_delta_without_its_source_is_a_clear_error(spark, tmp_path):
+    (tmp_path / "_delta_log").mkdir()
+    (tmp_path / "_delta_log" / "00000000000000000000.json").write_text("{}")
+    with pytest.raises(NotImplementedError, match="is a Delta table"):
+        S.read_auto(spark, str(tmp_path))

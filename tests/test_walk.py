@@ -159,3 +159,11 @@ def test_union_of_drifting_frames(spark):
         {"a": 1.0, "s": {"x": 1, "y": [{"p": 1.0, "q": None}], "w": None}, "n": None, "t": "text"},
         {"a": 2.5, "s": {"x": None, "y": [{"p": 2.5, "q": "z"}, None], "w": True}, "n": {"q": 9}, "t": '{"u":2}'},
         {"a": None, "s": None, "n": None, "t": None}], key=str)
+
+
+def test_type_at(nested):
+    at = {spec: walk.type_at(nested, spec) for spec in ("id", "class.code", "contained[0].code.coding[1].system", "performer[*].reference", "extension[?url='x'].extension", "names[0]", "names", "nope", "id.x",
+                                                        "class[0]", "contained[0].nope")}
+    text = T.StringType()
+    assert at == {"id": text, "class.code": text, "contained[0].code.coding[1].system": text, "performer[*].reference": T.ArrayType(text), "extension[?url='x'].extension": nested["extension"].dataType.elementType["extension"].dataType,
+                  "names[0]": text, "names": T.ArrayType(text), "nope": None, "id.x": None, "class[0]": None, "contained[0].nope": None}
