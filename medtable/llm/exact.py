@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_map, flat, pieces, table, whole_text, written
@@ -106,29 +106,48 @@ KEY = ["print", "size"]
 _MARK = "doc_id bigint, print bigint, size bigint, points bigint, text_sha256 string"
 
 
-def _best() -> Column:
+#: Cells that the rows of a fingerprint are dealt to, and the rows for which a group has one cell more.
+CELLS, CELL_ROWS = 32, 64
+
+
+def _best(*more: str) -> Column:
     """Orders the rows of a group: most code points first, then the smallest doc_id, null last."""
-    return F.struct(F.col("points"), F.col("doc_id").isNotNull().alias("known"), F.bitwise_not("doc_id").alias("order"))
+    return F.struct(F.col("points"), F.col("doc_id").isNotNull().alias("known"), F.bitwise_not("doc_id").alias("order"), *more)
+
+
+def _same_chunks() -> Column:
+    """Streaming comparison: one chunk of each side at a time, up to the first that differs. Fingerprints have equal sizes, so
+    both sides have equally many chunks."""
+    place = F.sequence(F.lit(0), F.size("chunks") - 1)
+    differ = F.exists(place, lambda k: ~F.get("chunks", k).eqNullSafe(F.get("_chunks", k)))
+    return F.when(F.size("chunks") == 0, F.lit(True)).otherwise(~differ)
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept and text_sha256."""
+    """One row per document: doc_id, keep_id, group_size, kept and text_sha256.
+
+    The rows of a group are dealt to cells by their own hash, each with a copy of the group's leading row, so a large group
+    of copies is the work of many tasks.
+    """
     docs = docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text"))
     marks = written(arrow_map(docs, _prints(False), _MARK), "prints")
     groups = marks.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"), F.max(_best()).alias("_lead"))
-    twins = written(groups.where("_n > 1").select(*KEY, "_lead"), "twins")
+    cells = F.least(F.ceil(F.col("_n") / CELL_ROWS), F.lit(CELLS)).cast("int").alias("_cells")
+    twins = written(groups.where("_n > 1").select(*KEY, "_lead", cells), "twins")
     single = marks.join(twins, KEY, "left_anti").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
                                                         F.lit(True).alias("kept"), "text_sha256")
     # only here do texts move, and only those of rows that have a twin are stored
     # (twins grow with the data, so they are never broadcast, and small runs move texts as large ones do)
-    rest = written(arrow_map(docs, _prints(True), _MARK + ", chunks array<binary>").join(twins.hint("merge"), KEY), "twin_texts")
+    texts = arrow_map(docs, _prints(True), _MARK + ", chunks array<binary>").withColumn("_cell", F.pmod(F.monotonically_increasing_id(), F.lit(CELLS)).cast("int"))
+    wanted = twins.withColumn("_cell", F.explode(F.sequence(F.lit(0), F.lit(CELLS - 1))))
+    rest = written(texts.join(wanted.hint("merge"), [*KEY, "_cell"]).withColumn("_cell", F.col("_cell") % F.col("_cells")), "twin_texts")
     classes, number = [], 0
     while True:
-        leaders = rest.where(_best().eqNullSafe(F.col("_lead"))).dropDuplicates(KEY).select(*KEY, F.col("chunks").alias("_chunks"))
-        # streaming comparison, one chunk of each side at a time
-        same = F.forall(F.zip_with("chunks", "_chunks", lambda a, b: a.eqNullSafe(b)), lambda x: x)
-        compared = rest.join(leaders, KEY).withColumn("_same", same)
-        done = written(compared.where("_same").select("doc_id", *KEY, "points", "text_sha256", F.lit(number).alias("_round")), "compared")
+        leaders = rest.where(_best().eqNullSafe(F.col("_lead"))).dropDuplicates(KEY)
+        leaders = leaders.select(*KEY, F.col("chunks").alias("_chunks"), F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)).alias("_cell"))
+        compared = rest.join(leaders, [*KEY, "_cell"]).withColumn("_same", _same_chunks())
+        done = compared.where("_same").select("doc_id", *KEY, "points", "text_sha256", F.lit(number).alias("_round"), F.monotonically_increasing_id().alias("_row"))
+        done = written(done, "compared")
         classes.append(done)
         other = compared.where(~F.col("_same")).drop("_same", "_chunks", "_lead")
         if done.count() == rest.count():
@@ -139,10 +158,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     for more in classes[1:]:
         rows = rows.unionByName(more)
     same_key = [*KEY, "_round"]
-    sums = rows.groupBy(*same_key).agg(F.count(F.lit(1)).alias("group_size"), F.max(_best()).alias("_lead"))
-    # of rows that share the leading doc_id and length, one stays
-    ties = Window.partitionBy(*same_key, "points", "doc_id").orderBy("text_sha256")
-    kept = _best().eqNullSafe(F.col("_lead")) & (F.row_number().over(ties) == 1)
+    # of rows that share the leading doc_id and length, the one with the largest number stays
+    sums = rows.groupBy(*same_key).agg(F.count(F.lit(1)).alias("group_size"), F.max(_best("_row")).alias("_lead"))
+    kept = _best("_row").eqNullSafe(F.col("_lead"))
     grouped = rows.join(sums, same_key).select("doc_id", F.bitwise_not("_lead.order").alias("keep_id"), "group_size", kept.alias("kept"), "text_sha256")
     return single.unionByName(grouped)
 
