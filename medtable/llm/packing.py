@@ -105,7 +105,7 @@ def slots(patterns: list[tuple[int, list[int]]]) -> dict[int, tuple[np.ndarray,
 def ranked(rows: DataFrame, total: int) -> DataFrame:
     """Adds ``rank``, from 0 among the pieces of a length, without ordering a whole length in one task."""
     groups = max(1, -(-total // GROUP_ROWS))
-    rows = rows.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
+    rows = rows.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
     counts = rows.groupBy("length", "_group").agg(F.count(F.lit(1)).alias("_n"))
     # counts of a length: one row for each group, so this window holds rows / GROUP_ROWS rows of a length
     before = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
