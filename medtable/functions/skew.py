@@ -187,27 +187,33 @@ def asof_last(refs: DataFrame, facts: DataFrame, key: str, ref_ts: str, fact_ts:
               value: str, out: str) -> DataFrame:
     """Newest fact at or before each reference row, without a range join.
 
-    The last fact of each day is carried over the days of a key; inside a day references and facts
-    are merged in time order. Work per task is bounded by a key's days or by one day of a key.
+    The last fact of a day is carried over the days of a key, the last one of a minute over the minutes of a day, and
+    inside a minute references and facts are merged in time order. Work per task is bounded by a key's days, a
+    day's minutes or the rows of one key in one minute.
     """
     facts = facts.select(key, F.col(fact_ts).alias("_ts"), F.col(fact_tie).cast("string").alias("_tie"),
                          F.struct(F.col(value).alias("v")).alias("_v"))
-    facts = facts.where(F.col("_ts").isNotNull()).withColumn("_day", F.to_date("_ts"))
+    facts = facts.where(F.col("_ts").isNotNull()).withColumns({"_day": F.to_date("_ts"), "_minute": F.date_trunc("minute", "_ts")})
     known = refs.where(F.col(ref_ts).isNotNull() & F.col(key).isNotNull())
     unknown = refs.where(F.col(ref_ts).isNull() | F.col(key).isNull())
     cols = refs.columns
-    marks = known.select(key, F.col(ref_ts).alias("_ts"), F.to_date(ref_ts).alias("_day"),
-                         F.struct(*cols).alias("_row"))
-    ends = facts.groupBy(key, "_day").agg(F.max_by("_v", F.struct("_ts", "_tie")).alias("_end"))
-    days = marks.select(key, "_day").distinct().unionByName(ends, allowMissingColumns=True)
-    days = days.groupBy(key, "_day").agg(F.first("_end", ignorenulls=True).alias("_end"))
-    prior = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    carry = days.select(key, "_day", F.last("_end", ignorenulls=True).over(prior).alias("_carry"))
+    marks = known.select(key, F.col(ref_ts).alias("_ts"), F.to_date(ref_ts).alias("_day"), F.date_trunc("minute", ref_ts).alias("_minute"), F.struct(*cols).alias("_row"))
+    in_minutes = facts.groupBy(key, "_day", "_minute").agg(F.max_by("_v", F.struct("_ts", "_tie")).alias("_end"))
+    in_days = in_minutes.groupBy(key, "_day").agg(F.max_by("_end", "_minute").alias("_end"))
+
+    def carried(ends: DataFrame, segment: list[str], step: str, out_col: str) -> DataFrame:
+        """For each step of a reference, the last fact of the earlier steps of its segment."""
+        at = [*segment, step]
+        steps = marks.select(*at).distinct().unionByName(ends.select(*at, "_end"), allowMissingColumns=True)
+        steps = steps.groupBy(*at).agg(F.first("_end", ignorenulls=True).alias("_end"))
+        prior = Window.partitionBy(*segment).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+        return steps.select(*at, F.last("_end", ignorenulls=True).over(prior).alias(out_col))
+
+    by_day, by_minute = carried(in_days, [key], "_day", "_before_day"), carried(in_minutes, [key, "_day"], "_minute", "_before_minute")
     stream = (facts.withColumn("_is_ref", F.lit(0))
               .unionByName(marks.withColumn("_is_ref", F.lit(1)), allowMissingColumns=True))
-    merged = Window.partitionBy(key, "_day").orderBy("_ts", "_is_ref", "_tie")
-    merged = merged.rowsBetween(Window.unboundedPreceding, 0)
-    seen = (stream.withColumn("_in_day", F.last("_v", ignorenulls=True).over(merged))
-            .where(F.col("_is_ref") == 1).join(carry, [key, "_day"], "left"))
-    found = seen.select("_row.*", F.coalesce("_in_day", "_carry").getField("v").alias(out))
+    merged = Window.partitionBy(key, "_day", "_minute").orderBy("_ts", "_is_ref", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    seen = (stream.withColumn("_inside", F.last("_v", ignorenulls=True).over(merged)).where(F.col("_is_ref") == 1)
+            .join(by_minute, [key, "_day", "_minute"], "left").join(by_day, [key, "_day"], "left"))
+    found = seen.select("_row.*", F.coalesce("_inside", "_before_minute", "_before_day").getField("v").alias(out))
     return found.unionByName(unknown, allowMissingColumns=True)
