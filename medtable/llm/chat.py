@@ -96,7 +96,7 @@ x AS (SELECT conv_id, n,
              [CASE WHEN r[k].role = 'assistant' THEN
                concat(CAST(coalesce(list_sum([length(r[j].role) + length(r[j].text) + 13 FOR j IN range(1, k)]), 0) + length(r[k].role) + 5 AS BIGINT), '+', length(r[k].text) + 8) END FOR k IN range(1, len(r) + 1)] AS rs
       FROM r)
-SELECT conv_id, CAST(n AS INTEGER) AS prefix_turns, md5(prompt) AS prompt_md5, CAST(length(prompt) AS INTEGER) AS prompt_length, md5(cc) AS chosen_md5, md5(rr) AS rejected_md5,
+SELECT conv_id, CAST(n AS INTEGER) AS prefix_turns, prompt, CAST(length(prompt) AS INTEGER) AS prompt_length, cc AS chosen_completion, rr AS rejected_completion,
        coalesce(array_to_string([s FOR s IN cs IF s IS NOT NULL], ','), '') AS chosen_spans, coalesce(array_to_string([s FOR s IN rs IF s IS NOT NULL], ','), '') AS rejected_spans
 FROM x"""
 
@@ -107,6 +107,5 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def spans(name: str) -> Column:
         return F.array_join(F.transform(name, lambda s: F.concat(s["start"].cast("string"), F.lit("+"), s["length"].cast("string"))), ",")
-    return made.select("conv_id", "prefix_turns", F.md5(F.col("prompt").cast("binary")).alias("prompt_md5"), F.length("prompt").alias("prompt_length"),
-                       F.md5(F.col("chosen_completion").cast("binary")).alias("chosen_md5"), F.md5(F.col("rejected_completion").cast("binary")).alias("rejected_md5"),
+    return made.select("conv_id", "prefix_turns", "prompt", F.length("prompt").alias("prompt_length"), "chosen_completion", "rejected_completion",
                        spans("chosen_spans").alias("chosen_spans"), spans("rejected_spans").alias("rejected_spans"))
