@@ -7,8 +7,8 @@ Pairs whose first word is so frequent that it would fill a bucket alone are spre
 Scoring tasks map the files they need into memory and find hashes by binary search.
 
 Words are runs of ``[^\\x20\\x09-\\x0D]`` in lower case (A-Z), then one end. A start mark is the context of the first
-word. The model has order 2: at order 3 the distinct triples alone would need more shared disk than four times
-the input. Discounts follow the counts of counts; where those are too few for the usual estimate (tiny corpora),
+word. The model has order 2: of 27.1 million tokens (0.10 GB of documents) 22.6 million triples would be sent to be counted, 2.5 times
+the input at 11 bytes each, and order 2 takes 2.9 times the input already. Discounts follow the counts of counts; where those are too few for the usual estimate (tiny corpora),
 0.5, 1 and 1.5 are used. An empty training set gives every word the uniform share of the one unknown word.
 Null texts are empty and have one token.
 """

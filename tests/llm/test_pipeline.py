@@ -28,7 +28,7 @@ def folder(spark, tmp_path_factory):
     words = [f"{a}{b}" for a in "bdfgklmnprst" for b in ("ala", "eno", "iru", "osa", "umi")]
     lines = [" ".join(rnd.choices(words, k=rnd.randrange(9, 16))) for _ in range(150)]
     data = []
-    for k in range(260):
+    for k in range(150):
         text = "\n".join(" ".join(rnd.choices(words, k=rnd.randrange(9, 16))) for _ in range(rnd.randrange(1, 6)))
         if k % 6 == 0:
             text += " you id1ot " + rnd.choice(["idiot", "i d i o t", "idiiiot"])
@@ -57,7 +57,7 @@ def test_toxicity_stage(spark, folder):
     kept, given = rows_of(out), rows_of(docs)
     assert not kept - given
     gone = [json.loads(r)[1] for r in (given - kept).elements()]
-    assert len(gone) >= 40 and all("id1ot" in (t or "") for t in gone)
+    assert len(gone) >= 20 and all("id1ot" in (t or "") for t in gone)
     # the rest is what the same model scores below the threshold, read one by one
     model = toxicity.train(docs, table(spark, folder, "labels"))
     decoder = toxicity.Decoder(model["costs"].value)
@@ -79,7 +79,9 @@ def test_line_stage(spark, folder):
         for s in (t or "").split("\n"):
             first.setdefault(s.strip(" \t\v\f\r"), len(first))
     lines = [s for s in first if s]
-    near = {b for n, b in enumerate(lines) for a in lines[:n] if min(len(a), len(b)) >= 40 and abs(len(a) - len(b)) <= 2 and _edits(a, b) <= 2}
+    tally = {s: collections.Counter(s) for s in lines}  # an edit changes two counts at most
+    near = {b for n, b in enumerate(lines) for a in lines[:n] if min(len(a), len(b)) >= 40 and abs(len(a) - len(b)) <= 2
+            and sum(((tally[a] - tally[b]) + (tally[b] - tally[a])).values()) <= 4 and _edits(a, b) <= 2}
     seen = set()
     for i, t in rows:
         keep, said = [], False
@@ -120,18 +122,25 @@ def test_near_stage(spark, folder):
     assert not rows_of(out) - rows_of(docs)
 
 
-def test_whole_run(spark, folder):
+def test_whole_run(spark, folder, monkeypatch):
+    """Every stage works on what its predecessor kept, and the last one packs all of it."""
     from tokenizers import Tokenizer
 
-    docs = table(spark, folder, "documents")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = corpus_pipeline.written(stage(spark, docs, folder), name)
+    kept, write = {}, corpus_pipeline.written
+
+    def noted(df, name):
+        kept[name] = write(df, name)
+        return kept[name]
+    monkeypatch.setattr(corpus_pipeline, "written", noted)
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert list(kept) == [name for name, _ in corpus_pipeline.STAGES]
     tool, want = Tokenizer.from_file(bpe.default_vocabulary()), collections.Counter()
-    for r in docs.collect():
+    for r in kept["near_dedup"].collect():
         ids = np.array([*tool.encode(r.text or "", add_special_tokens=False).ids, 2], "<u4")
         want.update((r.doc_id, a, zlib.crc32(ids[a:a + 4096].tobytes()), len(ids)) for a in range(0, len(ids), 4096))
-    got = corpus_pipeline.run(spark, folder).collect()
-    assert collections.Counter((r.doc_id, r.start, r.ids_crc32, r.doc_tokens) for r in got) == want and len(got) > 100
+    assert collections.Counter((r.doc_id, r.start, r.ids_crc32, r.doc_tokens) for r in got) == want and len(got) > 60
+    sizes = [kept[name].count() for name, _ in corpus_pipeline.STAGES[:-1]]
+    assert table(spark, folder, "documents").count() > sizes[0] > sizes[1] > sizes[2]
 
 
 def test_empty_corpus(spark, tmp_path):
