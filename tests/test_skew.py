@@ -129,3 +129,21 @@ def test_distinct_list(df, rows):
     for k in {r[0] for r in rows if r[0]}:
         vals = [r[4] for r in rows if r[0] == k]
         assert got[k] == (sorted(set(vals)), len(vals))
+
+
+@pytest.mark.parametrize("limit", [1, 100, 10**6])
+def test_sequence_moves_rows_once_whatever_is_hot(spark, df, monkeypatch, limit):
+    """Numbers do not depend on which keys are cut into cells, and what ``made`` names is not moved with the rows."""
+    monkeypatch.setattr(K, "HOT_ROWS", limit)
+    got = K.sequence_within(df.drop("tie", "day"), ["k"], ["day", "ts"], "tie", "n", {"tie": S.row_key(F.col("id")), "day": F.to_date("ts")})
+    assert got.columns == ["k", "ts", "id", "v", "c", "tie", "day", "n"]
+    rows = got.select("k", "ts", "tie", "n").toPandas().sort_values(["ts", "tie"])
+    assert len(rows) == 1500 and (rows["n"] == rows.groupby("k", dropna=False).cumcount() + 1).all()
+
+
+def test_lines_meet_their_orders_as_stored_rows(spark, sf):
+    """The join of lines and orders moves numbers, not the texts of records."""
+    from medtable.sources.star import flat
+    text = flat(spark, sf, "observation", with_patient=True)._jdf.queryExecution().optimizedPlan().toString()
+    below = text[text.index("Join"):]
+    assert "observation_id" not in below and "l_orderkey" in below
