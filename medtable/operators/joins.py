@@ -167,13 +167,15 @@ def report_results(report: DataFrame, observation: DataFrame) -> DataFrame:
 
 def everything(patient: DataFrame, frames: dict[str, DataFrame]) -> DataFrame:
     """A patient's record and every record that refers to it, as (patient_id, resource_type, id, json)."""
-    def row(kind, pid, df):
-        return df.select(pid.alias("patient_id"), F.lit(kind).alias("resource_type"), F.col("id"), F.to_json(F.struct("*")).alias("json"))
+    def row(kind, df):
+        whole = F.to_json(F.struct(*[c for c in df.columns if c != "patient_id"]))
+        return df.select("patient_id", F.lit(kind).alias("resource_type"), F.col("id"), whole.alias("json"))
 
     ids = patient.select(F.col("id").alias("patient_id"))
-    out = row("Patient", F.col("id"), patient)
+    out = row("Patient", patient.withColumn("patient_id", F.col("id")))
     for kind, df in frames.items():
-        out = out.unionByName(row(kind, S.last_segment(path("subject.reference")), df).join(ids, "patient_id", "left_semi"))
+        # a record becomes text after the join, so the text is not moved
+        out = out.unionByName(row(kind, df.withColumn("patient_id", S.last_segment(path("subject.reference"))).join(ids, "patient_id", "left_semi")))
     return out
 
 
