@@ -152,3 +152,14 @@ def test_narrative_text(spark):
     small = N.narrative(N.narrative_items(patient, cond, med, rep, ob, note, "2020-12-31", allergy), chunk_rows=3)
     parts = [r["narrative"] for r in small.orderBy("chunk").collect()]
     assert len(parts) > 1 and "\n".join(parts) == docs[0]["narrative"]
+
+
+def test_silver_rows_of_a_mixed_frame(spark):
+    """Every row is in one frame, broken texts too, and only records of its own type are parsed."""
+    from medtable.operators import projections as P
+    raw = spark.createDataFrame([('{"resourceType":"Patient","id":"1"}',), ('{"resourceType":"Procedure","id":"2"}',), ('{"resou',), (None,)], "json_data STRING")
+    got = {(r["frame"], r["resource_type"], r["Patient"]["id"] if r["Patient"] else None) for r in P.silver_rows(raw).collect()}
+    assert got == {("Patient", "Patient", "1"), ("other", "Procedure", None), ("other", None, None)}
+    frames = P.silver_by_type(raw)
+    assert frames["other"].columns == ["json_data", "resource_type"] and frames["other"].count() == 3
+    assert [r["id"] for r in frames["Patient"].collect()] == ["1"]
