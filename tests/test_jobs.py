@@ -292,3 +292,21 @@ def test_delta_without_its_source_is_a_clear_error(spark, tmp_path):
     (tmp_path / "_delta_log" / "00000000000000000000.json").write_text("{}")
     with pytest.raises(NotImplementedError, match="is a Delta table"):
         S.read_auto(spark, str(tmp_path))
+
+
+def test_order_faults_where_blocks_meet(spark, monkeypatch):
+    """A fault between the last row of a block and the first of the next is counted once."""
+    where = scratch_dir(spark, "t")
+    spark.createDataFrame([(1,), (2,), (5,), (3,), (4,), (6,), (1,)], "a INT").coalesce(1).write.parquet(where)
+    for size in (1, 2, 3, 4, 100):
+        monkeypatch.setattr(K, "BLOCK_ROWS", size)
+        assert tuple(K.order_faults(spark, where, ["a"]).first()) == (7, 2, 0)
+
+
+def test_made_columns_of_a_sorted_table_are_whole(spark):
+    where = scratch_dir(spark, "t")
+    rows = spark.range(500).select(F.col("id").cast("string").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("tie"), "id")
+    K.write_sorted(rows, where, ["k"], ["tie"], files=3, made={"tie": F.sha2("k", 256)})
+    back = spark.read.parquet(where)
+    assert back.columns == rows.columns and back.exceptAll(rows).isEmpty() and back.count() == 500
+    assert tuple(K.order_faults(spark, where, ["k", "tie"]).first()) == (500, 0, 0)
