@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,6 +21,9 @@ from .paths import _STEP
 #: makes the new value from the old one and the struct around it, or None.
 Rule = Callable[[str, T.DataType, T.StructType], "Callable[[Column, Column], Column] | None"]
 
+#: Whether any text of a list may be one that the rule of a leaf changes; it gets what a rule gets. Null counts as true.
+May = Callable[[str, T.DataType, T.StructType], "Callable[[Column], Column]"]
+
 CHANGE = "array<struct<path:string,old:string,new:string>>"
 
 
@@ -96,38 +100,99 @@ def _touched(kind: T.DataType, rule: Rule) -> bool:
     return holds(kind, lambda k: isinstance(k, T.StructType) and any(rule(f.name, f.dataType, k) for f in k.fields))
 
 
-def rewrite(schema: T.StructType, rule: Rule) -> dict[str, Column]:
-    """New values of the columns that a rule can change; other columns, and other branches of these, are not rebuilt."""
+def leaves(items: Column, kind: T.DataType, rule: Rule) -> list[tuple[str, T.DataType, T.StructType, Column]]:
+    """Name, type, struct around and all values, as one flat list, of each leaf that a rule can change in the elements of a list."""
+    if isinstance(kind, T.ArrayType):
+        return leaves(F.flatten(F.array_compact(items)), kind.elementType, rule)  # flatten alone is null where an inner list is
+    out = []
+    for f in kind.fields:
+        if rule(f.name, f.dataType, kind) is not None:
+            out.append((f.name, f.dataType, kind, items[f.name]))
+        elif _touched(f.dataType, rule):
+            out += leaves(items[f.name], f.dataType, rule)
+    return out
+
+
+def makings(schema: T.StructType, rule: Rule, may: May) -> dict[str, Column]:
+    """What corrected copies and change lists of a record are made of, by its path: the new value of each leaf outside lists, and for each
+    outermost list its corrected copy, or null where it holds nothing to change. Lambdas are interpreted, so few lists should be walked."""
+    out: dict[str, Column] = {}
+
+    def visit(value, kind, path):
+        if isinstance(kind, T.ArrayType):
+            tests = [~may(name, leaf, around)(flat).eqNullSafe(F.lit(False)) for name, leaf, around, flat in leaves(value, kind.elementType, rule)]
+            out[path] = F.when(value.isNotNull() & reduce(Column.__or__, tests), _rewrite(value, kind, rule))
+            return
+        for f in kind.fields:
+            own, at = rule(f.name, f.dataType, kind), f"{path}.{f.name}" if path else f.name
+            inner = F.col(f"`{f.name}`") if value is None else value[f.name]
+            if own is not None:
+                out[at] = own(inner, F.struct(*[F.col(f"`{x.name}`") for x in schema.fields]) if value is None else value)
+            elif _touched(f.dataType, rule):
+                visit(inner, f.dataType, at)
+
+    visit(None, schema, "")
+    return out
+
+
+def rewrite(schema: T.StructType, rule: Rule, made: dict[str, Column] | None = None) -> dict[str, Column]:
+    """New values of the columns that a rule can change; other columns, and other branches of these, are not rebuilt.
+
+    ``made`` holds the columns of ``makings``; without it every list is walked.
+    """
     out = {}
     for f in schema.fields:
         own = rule(f.name, f.dataType, schema)
         if own is not None:
-            out[f.name] = own(F.col(f"`{f.name}`"), F.struct(*[F.col(f"`{x.name}`") for x in schema.fields]))
+            out[f.name] = made[f.name] if made else own(F.col(f"`{f.name}`"), F.struct(*[F.col(f"`{x.name}`") for x in schema.fields]))
         elif _touched(f.dataType, rule):
-            out[f.name] = _rewrite(F.col(f"`{f.name}`"), f.dataType, rule)
+            out[f.name] = _rewrite(F.col(f"`{f.name}`"), f.dataType, rule, made, f.name)
     return out
 
 
-def _rewrite(value: Column, kind: T.DataType, rule: Rule) -> Column:
+def _rewrite(value: Column, kind: T.DataType, rule: Rule, made: dict[str, Column] | None = None, at: str = "") -> Column:
     if isinstance(kind, T.ArrayType):
-        return F.transform(value, lambda x: _rewrite(x, kind.elementType, rule))
+        return F.coalesce(made[at], value) if made else F.transform(value, lambda x: _rewrite(x, kind.elementType, rule))
     new = value
     for f in kind.fields:
-        own = rule(f.name, f.dataType, kind)
+        own, inner = rule(f.name, f.dataType, kind), f"{at}.{f.name}"
         if own is not None:
-            new = new.withField(f.name, own(value[f.name], value))
+            new = new.withField(f.name, made[inner] if made else own(value[f.name], value))
         elif _touched(f.dataType, rule):
-            new = new.withField(f.name, _rewrite(value[f.name], f.dataType, rule))
+            new = new.withField(f.name, _rewrite(value[f.name], f.dataType, rule, made, inner))
     return new  # a null struct stays null
 
 
-def changes(before: Column, after: Column, kind: T.DataType, rule: Rule, path: Column, label: Callable[[Column, str], Column]) -> Column:
-    """A list of (path, old, new) of the leaves that a rule changed in a value of type ``kind``.
+def changes(schema: T.StructType, rule: Rule, made: dict[str, Column], label: Callable[[Column, str], Column]) -> Column:
+    """A list of (path, old, new) of the leaves that a rule changes in a record; ``made`` holds the columns of ``makings``.
 
     ``label`` makes the logged path from the path of the struct and the name of the field.
     """
+    def outside(value, kind, path, at):
+        if isinstance(kind, T.ArrayType):
+            return [F.when(made[at].isNotNull(), _changes(value, made[at], kind, rule, path, label)).otherwise(F.array().cast(CHANGE))]
+        parts = []
+        for f in kind.fields:
+            inner = f"{at}.{f.name}"
+            if rule(f.name, f.dataType, kind) is not None:
+                parts.append(changed(value[f.name], made[inner], label(path, f.name)))
+            elif _touched(f.dataType, rule):
+                parts += outside(value[f.name], f.dataType, _below(path, f.name), inner)
+        return parts
+
+    parts = []
+    for f in schema.fields:
+        value = F.col(f"`{f.name}`")
+        if rule(f.name, f.dataType, schema) is not None:
+            parts.append(changed(value, made[f.name], F.lit(f.name)))
+        elif _touched(f.dataType, rule):
+            parts += outside(value, f.dataType, F.lit(f.name), f.name)
+    return F.concat(*parts) if parts else F.array().cast(CHANGE)
+
+
+def _changes(before: Column, after: Column, kind: T.DataType, rule: Rule, path: Column, label: Callable[[Column, str], Column]) -> Column:
     if isinstance(kind, T.ArrayType):
-        each = F.transform(before, lambda x, i: changes(x, F.get(after, i), kind.elementType, rule, _item(path, i), label))
+        each = F.transform(before, lambda x, i: _changes(x, F.get(after, i), kind.elementType, rule, _item(path, i), label))
         return F.coalesce(F.flatten(each), F.array().cast(CHANGE))
     parts = []
     for f in kind.fields:
@@ -135,7 +200,7 @@ def changes(before: Column, after: Column, kind: T.DataType, rule: Rule, path: C
         if rule(f.name, f.dataType, kind) is not None:
             parts.append(changed(old, new, label(path, f.name)))
         elif _touched(f.dataType, rule):
-            parts.append(changes(old, new, f.dataType, rule, _below(path, f.name), label))
+            parts.append(_changes(old, new, f.dataType, rule, _below(path, f.name), label))
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 

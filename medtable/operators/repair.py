@@ -75,6 +75,16 @@ def correction_rule(name: str, kind: T.DataType, around: T.StructType):
     return None
 
 
+def correction_test(name: str, kind: T.DataType, around: T.StructType):
+    """Whether a list of texts may hold one that the rule of a field changes; all that change pass, some others may."""
+    low = name.lower()
+    if low == "system":
+        return lambda texts: F.arrays_overlap(texts, F.split(F.lit("\n".join(codes.SYSTEM_FIXES)), "\n"))
+    if low == "reference":
+        return lambda texts: F.array_join(texts, "\n").rlike(r"(^|\n)[^/\n]+(\n|\z)")
+    return lambda texts: F.array_join(texts, "") != ""
+
+
 def _logged(path: Column, name: str) -> Column:
     """A corrected element is logged under its own path, other fields under theirs."""
     return path if name == "system" else F.concat(path, F.lit(f".{name}"))
@@ -83,18 +93,15 @@ def _logged(path: Column, name: str) -> Column:
 def correct(df: DataFrame) -> DataFrame:
     """Every coded element, date and reference of a whole record, at any depth, and a ``corrections`` list of (path, old, new).
 
-    The corrected columns are made once; the list compares them with the old ones.
+    Corrected leaves and lists are made once; lists are walked only where they may hold something to correct.
     """
-    kept = {f.name: f for f in df.schema.fields}
-    new = walk.rewrite(df.schema, correction_rule)
-    both = df.withColumns({f"_new_{c}": v for c, v in new.items()})
-    log = []
-    for c in new:
-        own = correction_rule(c, kept[c].dataType, df.schema)
-        log.append(walk.changed(F.col(c), F.col(f"_new_{c}"), F.lit(c)) if own is not None
-                   else walk.changes(F.col(c), F.col(f"_new_{c}"), kept[c].dataType, correction_rule, F.lit(c), _logged))
-    listed = F.concat(*log) if log else F.array().cast(walk.CHANGE)
-    return both.select(*[F.col(f"_new_{c}" if c in new else c).alias(c) for c in df.columns], listed.alias("corrections"))
+    made = walk.makings(df.schema, correction_rule, correction_test)
+    columns = {at: f"_made_{n}" for n, at in enumerate(made)}
+    both = df.withColumns({columns[at]: v for at, v in made.items()})
+    have = {at: F.col(c) for at, c in columns.items()}
+    new = walk.rewrite(df.schema, correction_rule, have)
+    listed = walk.changes(df.schema, correction_rule, have, _logged)
+    return both.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns], listed.alias("corrections"))
 
 
 # Valid status values per type. Fixed values.

@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medtable.functions import types, walk
+from medtable.functions import codes, types, walk
+from medtable.functions import scalars as S
 from medtable.operators import joins as J
 from medtable.operators import repair as E
 from medtable.operators.specs import union_drifting
+from medtable.plans.catalog import QUERIES
 
 NESTED_DDL = """id STRING, `class` STRUCT<system:STRING,code:STRING>, issued STRING, subject STRUCT<reference:STRING,display:STRING>,
     contained ARRAY<STRUCT<id:STRING,recordedDate:STRING,code:STRUCT<coding:ARRAY<STRUCT<system:STRING,code:STRING>>>,actor:STRUCT<reference:STRING,inner:STRUCT<reference:STRING>>>>,
@@ -120,6 +122,49 @@ def test_untouched_branches_are_not_rebuilt(nested):
     assert "withField" not in str(walk.rewrite(T.StructType.fromDDL(f"a {types.QUANTITY}, b STRING"), lambda *_: None))
 
 
+def test_lists_with_nothing_to_correct_are_not_walked(spark):
+    df = spark.createDataFrame([
+        (1, [([("loinc", "a")], "Patient/1"), (None, None)]), (2, [(None, "Patient2"), ([("http://loinc.org", "a")], "Patient/1")]),
+        (3, [(None, None), ([(None, "a"), ("urn:x", "b"), None], "Group/9")]), (4, [(None, "x/y"), None, ([("snomed", None)], "not one\n")]), (5, []), (6, None),
+        (7, [([], "a/b"), (None, "x\nPatient2/"), (None, "0a1b2c3d-0000-1111-2222-0123456789ab")])],
+        "id INT, part ARRAY<STRUCT<coding:ARRAY<STRUCT<system:STRING,code:STRING>>,reference:STRING>>")
+    copy = walk.makings(df.schema, E.correction_rule, E.correction_test)["part"]
+    # a null system (3) and a text without a slash (4) only may be wrong
+    assert {r["id"] for r in df.select("id", copy.alias("c")).collect() if r["c"] is not None} == {1, 2, 3, 4, 7}
+    plain = df.filter("id IN (5, 6)").union(spark.createDataFrame([(8, [([("urn:x", "b")], "Group/9"), (None, None), None])], df.schema))
+    assert all(r["c"] is None for r in plain.select(copy.alias("c")).collect())
+    got = {r["id"]: r for r in E.correct(df.union(plain)).collect()}
+    assert {i: [tuple(c) for c in r["corrections"]] for i, r in got.items() if r["corrections"]} == {
+        1: [("part[0].coding[0]", "loinc", "http://loinc.org")], 2: [("part[0].reference", "Patient2", "Patient/2")],
+        7: [("part[2].reference", "0a1b2c3d-0000-1111-2222-0123456789ab", "Patient/0a1b2c3d-0000-1111-2222-0123456789ab")]}
+    before = {r["id"]: r["part"] for r in df.union(plain).collect()}
+    assert all(r["part"] == before[i] for i, r in got.items() if not r["corrections"])
+
+
+def test_dates_by_shape_are_those_of_all_layouts(spark):
+    def tried(text):
+        options = []
+        for pattern, target in codes.DATE_FIXES:
+            iso = F.regexp_replace(text, pattern, target)
+            options.append(F.when(text.rlike(pattern) & F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).isNotNull(), iso))
+        for layout in ("M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "yyyy/M/d", "d MMM yyyy", "MMM d, yyyy"):
+            options.append(F.when(~text.rlike(r"^\d{4}-\d{2}"), F.date_format(F.try_to_timestamp(text, F.lit(layout)), "yyyy-MM-dd")))
+        return F.coalesce(*options, text)
+
+    days = [f"{y}-{m:02d}-{d:02d}" for y in ("0000", "0001", "1582", "1900", "2000", "2023", "9999") for m in (0, 1, 2, 4, 10, 12, 13) for d in (0, 1, 5, 14, 28, 29, 30, 31, 32)]
+    tails = ["", "T00:00:00", "T00:00:00Z", "T00:00:00.000Z", "T00:00:00+02:00", "T00:00:00-0200", "T00:00:01Z", "T00:00:00Z\n", "T00:00:00Z\r\n", "T00:00:00Z ", " 00:00:00", "\n"]
+    odd = [None, "", " ", "soon", "2001", "2001-02", "2001-2-3", "2/3/2001", "13/2/2001", "2/13/2001", "31/2/2001", "2-3-2001", "2001/2/3", "20010203", "20011303", "3 Feb 2001", "Feb 3, 2001", "1/2/20011", "1/2/2001\n",
+           "\u0662/\u0663/2001", "20010203\n", " 2001-02-03T00:00:00Z", "12001-02-03", "2001-02-03T00:00:00Z2", "+2001/2/3", "Mai 3, 2001"]
+    df = spark.createDataFrame([(t,) for t in [d + x for d in days for x in tails] + odd], "t STRING")
+    got = df.select("t", S.fix_date(F.col("t")).alias("now"), tried(F.col("t")).alias("was")).collect()
+    assert [(r["t"], r["now"]) for r in got if r["now"] != r["was"]] == [] and sum(r["now"] != r["t"] for r in got) > 500
+
+
+def test_correction_list_is_not_made_inside_a_lambda(spark, sf):
+    text = QUERIES["auto_correction_e01_e02_e03_e04"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "corrections" in text and "transform(concat(" not in text
+
+
 def test_resolve_splits_hubs_and_takes_the_smallest_depth(spark):
     rnd = random.Random(3)
     edges = [("E", str(k), "P", "hub") for k in range(400)] + [("P", "hub", "O", str(k)) for k in range(5)]
