@@ -212,3 +212,23 @@ def test_type_at(nested):
     text = T.StringType()
     assert at == {"id": text, "class.code": text, "contained[0].code.coding[1].system": text, "performer[*].reference": T.ArrayType(text), "extension[?url='x'].extension": nested["extension"].dataType.elementType["extension"].dataType,
                   "names[0]": text, "names": T.ArrayType(text), "nope": None, "id.x": None, "class[0]": None, "contained[0].nope": None}
+
+
+def test_resolve_moves_the_edges_once(spark):
+    """The edges are dealt out by their record in one exchange that every step reads again; loops and null ids are kept apart."""
+    names = "src_type STRING, src_id STRING, dst_type STRING, dst_id STRING"
+    rows = [("A", "1", "A", "1"), ("A", "1", "B", "2"), ("A", "1", "B", "2"), ("B", "2", "C", "3"), ("B", "2", "A", "1"), ("C", "3", "D", None), ("A", None, "B", "2")]
+    edges = spark.createDataFrame(rows, names)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = J.resolve(edges.select("src_type", "src_id"), edges, 2)
+        got = {tuple(r) for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert got == {("A", "1", "B", "2", 1), ("A", "1", "C", "3", 2), ("B", "2", "C", "3", 1), ("B", "2", "A", "1", 1), ("B", "2", "D", None, 2),
+                   ("C", "3", "D", None, 1), ("A", None, "B", "2", 1), ("A", None, "C", "3", 2), ("A", None, "A", "1", 2)}
+    # all exchanges of pairs that are not read again: the edges, the first frontier at its records, and what comes back to the roots
+    moved = [line for line in plan.split("\n") if " Exchange hashpartitioning(" in line and "ReusedExchange" not in line]
+    assert len([line for line in moved if "REPARTITION" in line]) == 2 and "cast(node" not in plan
