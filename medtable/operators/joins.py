@@ -171,17 +171,23 @@ def report_results(report: DataFrame, observation: DataFrame) -> DataFrame:
     return refs.join(obs, "observation_id", "left").withColumn("missing", F.col("_hit").isNull()).drop("_hit")
 
 
-def everything(patient: DataFrame, frames: dict[str, DataFrame]) -> DataFrame:
-    """A patient's record and every record that refers to it, as (patient_id, resource_type, id, json)."""
+def everything(patient: DataFrame, frames: dict[str, DataFrame], made: dict[str, tuple[Column, Callable[..., DataFrame]]] | None = None) -> DataFrame:
+    """A patient's record and every record that refers to it, as (patient_id, resource_type, id, json).
+
+    ``made`` names types whose frames hold the rows that records are made of: the subject of a row, and a function that makes the
+    records and keeps the columns named after the frame. Those are made after the rows have met their patients, so no record is moved.
+    """
     def row(kind, df):
         whole = F.to_json(F.struct(*[c for c in df.columns if c != "patient_id"]))
         return df.select("patient_id", F.lit(kind).alias("resource_type"), F.col("id"), whole.alias("json"))
 
-    ids = patient.select(F.col("id").alias("patient_id"))
+    ids = patient.select(F.col("id").alias("_of"))
     out = row("Patient", patient.withColumn("patient_id", F.col("id")))
     for kind, df in frames.items():
+        subject, make = (made or {}).get(kind, (F.col("subject"), lambda rows, *keep: rows))
         # a record becomes text after the join, so the text is not moved
-        out = out.unionByName(row(kind, df.withColumn("patient_id", S.last_segment(path("subject.reference"))).join(ids, "patient_id", "left_semi")))
+        of = df.withColumn("_of", S.last_segment(subject["reference"])).join(ids, "_of", "left_semi")
+        out = out.unionByName(row(kind, make(of, "_of").withColumnRenamed("_of", "patient_id")))
     return out
 
 

@@ -11,7 +11,7 @@ from ..functions.paths import path
 from ..functions.skew import asof_last
 from ..operators import aggregates as A
 from ..operators import joins as J
-from ..sources.star import AS_OF, CORE, flat, oracle_prelude, records, table
+from ..sources.star import AS_OF, CORE, flat, oracle_prelude, records, table, unmade
 from .registry import query
 
 TS = "'%Y-%m-%d %H:%M:%S'"
@@ -152,8 +152,8 @@ def report_results(spark, sf):
  UNION ALL SELECT patient_id, 'Observation', observation_id, true FROM observation UNION ALL SELECT patient_id, 'DiagnosticReport', report_id, true FROM diagnostic_report
  UNION ALL SELECT patient_id, 'MedicationRequest', medication_request_id, true FROM medication_request""")
 def patient_everything(spark, sf):
-    frames = {k: records(spark, sf, k) for k in CORE if k != "Patient"}
-    rows = J.everything(records(spark, sf, "Patient"), frames)
+    parts = {k: unmade(spark, sf, k) for k in CORE if k != "Patient"}
+    rows = J.everything(records(spark, sf, "Patient"), {k: df for k, (df, *_) in parts.items()}, {k: how for k, (_, *how) in parts.items()})
     return rows.select("patient_id", "resource_type", "id", (F.get_json_object("json", "$.id") == F.col("id")).alias("ok"))
 
 

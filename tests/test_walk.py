@@ -232,3 +232,16 @@ def test_resolve_moves_the_edges_once(spark):
     # all exchanges of pairs that are not read again: the edges, the first frontier at its records, and what comes back to the roots
     moved = [line for line in plan.split("\n") if " Exchange hashpartitioning(" in line and "ReusedExchange" not in line]
     assert len([line for line in moved if "REPARTITION" in line]) == 2 and "cast(node" not in plan
+
+
+def test_records_are_made_after_they_met_their_patients(spark, sf):
+    """What moves to the patients is flat rows; the records are those that ``records`` gives."""
+    from medtable.sources import star
+
+    people = star.records(spark, sf, "Patient").where("cast(id AS bigint) % 3 = 0")
+    df, *how = star.unmade(spark, sf, "Observation")
+    got, want = J.everything(people, {"Observation": df}, {"Observation": how}), J.everything(people, {"Observation": star.records(spark, sf, "Observation")})
+    assert got.count() > 1000 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    plan = QUERIES["patient_everything_j20"](spark, sf)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    joins = [k for k, line in enumerate(plan) if "Join LeftSemi" in line]
+    assert len(joins) == 5 and not any("named_struct(" in plan[k + 1] or " struct(" in plan[k + 1] for k in joins)
