@@ -147,3 +147,40 @@ def test_lines_meet_their_orders_as_stored_rows(spark, sf):
     text = flat(spark, sf, "observation", with_patient=True)._jdf.queryExecution().optimizedPlan().toString()
     below = text[text.index("Join"):]
     assert "observation_id" not in below and "l_orderkey" in below
+
+
+def test_ranged_rows_stand_in_order_and_move_once(spark, df, tmp_path, monkeypatch):
+    """Cells dealt out by ranges: written as they are, the rows are sorted in their files and across them, hot keys and null keys too."""
+    from medtable.sources import writers as W
+
+    monkeypatch.setattr(K, "HOT_ROWS", 100)
+    rows = df.drop("tie", "day").unionByName(df.where("id < '2'").drop("tie", "day").withColumns({"ts": F.lit(None).cast("timestamp"), "id": F.concat("id", F.lit("x"))}))
+    made = {"tie": S.row_key(F.col("id")), "day": F.to_date("ts")}
+    out = K.sequence_within(rows, ["k"], ["day", "ts"], "tie", "n", made, ranged=True)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_off" in plan and "Join LeftOuter, (_cell" not in plan  # offsets come with the rows, which are not joined with them
+    where = str(tmp_path / "sorted")
+    W.write_sorted(out, where, ["k"], ["ts", "tie"], placed=True)
+    assert tuple(W.order_faults(spark, where, ["k", "ts", F.unhex("tie")]).first()) == (rows.count(), 0, 0)
+    assert tuple(W.order_faults(spark, where, ["k", "ts", "tie"]).first()) == (rows.count(), 0, 0)
+    got = spark.read.parquet(where)
+    want = K.sequence_within(rows.withColumns(made), ["k"], ["day", "ts"], "tie", "n").select(got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    for _, g in got.toPandas().groupby("k", dropna=False):
+        g = g.sort_values("n")
+        assert list(g["n"]) == list(range(1, len(g) + 1))
+        assert list(zip(g["ts"].isna().map(lambda x: not x), g["ts"].fillna(pd.Timestamp(0)), g["tie"])) == sorted(zip(g["ts"].isna().map(lambda x: not x), g["ts"].fillna(pd.Timestamp(0)), g["tie"]))
+
+
+def test_the_sorted_timeline_is_not_dealt_out_again(spark, sf, monkeypatch):
+    """One pass writes the sorted files from the numbered rows, and the events are made once."""
+    from medtable.plans import queries_gold as Q
+    from medtable.sources import writers as W
+
+    seen = []
+    kept = W.write_sorted
+    monkeypatch.setattr(W, "write_sorted", lambda df, *a, **k: (seen.append(df._jdf.queryExecution().optimizedPlan().toString()), kept(df, *a, **k))[1])
+    where = Q._sorted_timeline(spark, sf)
+    [plan] = seen
+    assert "o_orderkey" not in plan and plan.count("RepartitionByExpression") == 1
+    assert spark.read.parquet(where).count() == Q.all_events(spark, sf).count()
