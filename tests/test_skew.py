@@ -184,3 +184,17 @@ def test_the_sorted_timeline_is_not_dealt_out_again(spark, sf, monkeypatch):
     [plan] = seen
     assert "o_orderkey" not in plan and plan.count("RepartitionByExpression") == 1
     assert spark.read.parquet(where).count() == Q.all_events(spark, sf).count()
+
+
+def test_narrative_reads_stored_observations(spark, sf):
+    """The observations and those of the last dates of both categories are handed to ``store`` before their sections read them."""
+    from medtable.plans import narrative as N
+    from medtable.sources.star import AS_OF, flat
+
+    frames = {n: flat(spark, sf, n, True) for n in ("condition", "medication_request", "diagnostic_report", "observation")}
+    meds = frames["medication_request"].withColumn("dosage_text", F.lit("take"))
+    reports = frames["diagnostic_report"].withColumns({"results": F.array("report_id"), "report_text": F.lit(None).cast("string")})
+    obs = frames["observation"].withColumns({"ref_low": F.lit(1.0), "ref_high": F.lit(2.0)})
+    kept = []
+    N.narrative_items(flat(spark, sf, "patient"), frames["condition"], meds, reports, obs, flat(spark, sf, "note"), AS_OF, store=lambda df: kept.append(df.columns) or df)
+    assert len(kept) == 3 and "pk" not in kept[0] and all("_d" in c for c in kept[1:])
